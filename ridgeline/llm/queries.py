@@ -7,13 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import sharding, simhash
+from ridgeline.llm import licenses, quality, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(_table(spark, sf_dir, "documents"), ["doc_id"]).drop("matches")
+
+
+def op3_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.judged(docs, quality.fitted(docs, _table(spark, sf_dir, "labels")), ["doc_id"])
+
+
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.grouped(_table(spark, sf_dir, "documents"), "doc_id")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -25,5 +34,11 @@ def op7_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", sharding.size_of(F.col("text")).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_simhash_groups, op7_two_pass_shuffle)}
+def op10_fuzzy_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = toxicity.scored(docs, toxicity.fitted(docs, _table(spark, sf_dir, "labels")), ["doc_id"])
+    return out.select("doc_id", (~toxicity.trained_on(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op3_boosted_quality, op4_simhash_groups, op7_two_pass_shuffle, op10_fuzzy_lexicon)}
 ORACLE_SQL: dict[str, str] = {}

@@ -95,4 +95,4 @@ def map_texts(docs: DataFrame, cols: list, schema: str, make: Callable[[], Calla
             if out is not None:
                 yield pa.RecordBatch.from_pydict(out)
 
-    return docs.select(*cols).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys(cols)).mapInArrow(run, schema)
