@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import licenses, quality, sharding, simhash, toxicity
+from ridgeline.llm import bpe, licenses, packing, quality, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,20 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def tokenizer_files() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), *tokenizer_files()).drop("ids")
+
+
+def op6_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(_table(spark, sf_dir, "documents"), ["doc_id"], *tokenizer_files()).drop("ids", "id_bytes")
+
+
 def op7_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shuffled(_table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
     text = F.coalesce("text", F.lit(""))
@@ -40,5 +54,5 @@ def op10_fuzzy_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~toxicity.trained_on(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op3_boosted_quality, op4_simhash_groups, op7_two_pass_shuffle, op10_fuzzy_lexicon)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op3_boosted_quality, op4_simhash_groups, op5_hilbert_packing, op6_chunk_reuse_bpe, op7_two_pass_shuffle, op10_fuzzy_lexicon)}
 ORACLE_SQL: dict[str, str] = {}
