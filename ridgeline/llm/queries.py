@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import bpe, licenses, packing, quality, sharding, simhash, toxicity
+from ridgeline.llm import bpe, licenses, packing, quality, sharding, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(_table(spark, sf_dir, "documents"), ["doc_id"]).drop("matches")
 
 
+def op2_linear_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.deduplicated(_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.judged(docs, quality.fitted(docs, _table(spark, sf_dir, "labels")), ["doc_id"])
@@ -54,5 +59,5 @@ def op10_fuzzy_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~toxicity.trained_on(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op3_boosted_quality, op4_simhash_groups, op5_hilbert_packing, op6_chunk_reuse_bpe, op7_two_pass_shuffle, op10_fuzzy_lexicon)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op2_linear_suffix_dedup, op3_boosted_quality, op4_simhash_groups, op5_hilbert_packing, op6_chunk_reuse_bpe, op7_two_pass_shuffle, op10_fuzzy_lexicon)}
 ORACLE_SQL: dict[str, str] = {}
