@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import bpe, lattice, licenses, packing, quality, sharding, simhash, suffix, toxicity
+from ridgeline.llm import bpe, grulm, lattice, licenses, packing, quality, sharding, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,11 +58,15 @@ def op8_lattice_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
 
 
+def op9_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grulm.scored(_table(spark, sf_dir, "documents"))
+
+
 def op10_fuzzy_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = toxicity.scored(docs, toxicity.fitted(docs, _table(spark, sf_dir, "labels")), ["doc_id"])
     return out.select("doc_id", (~toxicity.trained_on(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op2_linear_suffix_dedup, op3_boosted_quality, op4_simhash_groups, op5_hilbert_packing, op6_chunk_reuse_bpe, op7_two_pass_shuffle, op8_lattice_links, op10_fuzzy_lexicon)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op2_linear_suffix_dedup, op3_boosted_quality, op4_simhash_groups, op5_hilbert_packing, op6_chunk_reuse_bpe, op7_two_pass_shuffle, op8_lattice_links, op9_gated_lm, op10_fuzzy_lexicon)}
 ORACLE_SQL: dict[str, str] = {}
