@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from ridgeline.llm import packing, quality, simhash, suffix, toxicity
 from ridgeline.llm.queries import tokenizer_files
-from ridgeline.llm.shared import written
+from ridgeline.llm.shared import boxed, unboxed, written
 
 #: A document goes from this toxicity score on.
 TOXIC_FROM = 0.7
+BOX = ["_row", "doc_id", "text"]
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,13 +25,13 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold."""
     model = toxicity.fitted(docs, _labels(spark, sf_dir))
-    return toxicity.scored(docs, model, docs.columns).where(F.col("score") < TOXIC_FROM).select(*docs.columns)
+    return unboxed(toxicity.scored(boxed(docs), model, BOX).where(F.col("score") < TOXIC_FROM), docs)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule and the trees keep."""
     trees = quality.fitted(docs, _labels(spark, sf_dir))
-    return quality.judged(docs, trees, docs.columns).where("kept").select(*docs.columns)
+    return unboxed(quality.judged(boxed(docs), trees, BOX).where("kept"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +43,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that a document with a smaller id has too; n_chars is that of what is left."""
-    out = suffix.deduplicated(docs, docs.columns, as_text=True)
-    changed = {"text": F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col("kept_text")), "n_chars": F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast("long"))}
-    return out.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
+    out = suffix.deduplicated(boxed(docs), BOX, as_text=True)
+    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col("kept_text"))
+    n_chars = F.when(F.col("text").isNull(), F.col("_row").getField("n_chars")).otherwise(F.length("kept_text")).cast(dict(docs.dtypes).get("n_chars", "long")) if "n_chars" in docs.columns else None
+    return unboxed(out, docs, {"text": text} | ({"n_chars": n_chars} if n_chars is not None else {}))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

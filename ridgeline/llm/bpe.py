@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from ridgeline.llm.shared import map_texts
+from ridgeline.llm.shared import map_texts, schema_of
 from ridgeline.llm.textgrid import Hasher, U
 
 #: Pre-tokens and joins that a worker keeps; the table starts anew beyond that.
@@ -207,8 +207,6 @@ def decoded(ids: list[int], tokenizer_path: str) -> str:
 
 def encoded(docs: DataFrame, keep: list[str], tokenizer_path: str, ranks_path: str | None = None, text_col: str = "text") -> DataFrame:
     """The columns of keep, and n_tokens long, ids binary (little-endian, 2 or 4 bytes an id), id_bytes int, ids_sha256, decoded_sha256."""
-    types = dict(docs.dtypes)
-
     def make():
         enc = encoder(tokenizer_path, ranks_path)
         reuse = ChunkReuse(enc)
@@ -227,5 +225,4 @@ def encoded(docs: DataFrame, keep: list[str], tokenizer_path: str, ranks_path: s
 
         return f
 
-    own = "".join(f"`{c}` {types[c]}, " for c in keep)
-    return map_texts(docs, [*keep, text_col], own + "n_tokens long, ids binary, id_bytes int, ids_sha256 string, decoded_sha256 string", make, text_col)
+    return map_texts(docs, [*keep, text_col], schema_of(docs, keep, "n_tokens long, ids binary, id_bytes int, ids_sha256 string, decoded_sha256 string"), make, text_col)

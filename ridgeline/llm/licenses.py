@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ridgeline.llm.shared import flat, map_texts
+from ridgeline.llm.shared import flat, map_texts, schema_of
 from ridgeline.llm.textgrid import ALNUM, LOWER, words
 
 # The phrases whose places count, and their labels.
@@ -195,8 +195,6 @@ def scanned(docs: DataFrame, keep: list[str], text_col: str = "text", templates:
     matches are the templates' (label, start word, end word). score is 0 without any label, 0.5 for base phrases
     alone, and with a template 0.5 plus half the largest share of a match's words that are mandatory wording.
     """
-    types = dict(docs.dtypes)
-
     def make():
         by_first = compiled(templates)
         needles = sorted({a.encode() for a in ANCHORS})
@@ -233,5 +231,4 @@ def scanned(docs: DataFrame, keep: list[str], text_col: str = "text", templates:
 
         return f
 
-    own = ", ".join(f"`{c}` {types[c]}" for c in keep)
-    return map_texts(docs, [*keep, text_col], f"{own}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, matches array<struct<label: string, start: long, end: long>>", make, text_col)
+    return map_texts(docs, [*keep, text_col], schema_of(docs, keep, "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, matches array<struct<label: string, start: long, end: long>>"), make, text_col)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.shared import flat, map_texts
+from ridgeline.llm.shared import flat, map_texts, schema_of
 from ridgeline.llm.textgrid import SPACED, Hasher, U, mix, per_text, words
 
 SYMBOLS = b"#*$%&|<>"
@@ -180,7 +180,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, t
 
         return f
 
-    got = map_texts(sample, ["doc_id", "y", text_col], f"doc_id {dict(docs.dtypes)['doc_id']}, y int, x array<double>", make, text_col).toArrow()
+    got = map_texts(sample, ["doc_id", "y", text_col], schema_of(docs, ["doc_id"], "y int, x array<double>"), make, text_col).toArrow()
     x = np.array(got.column("x").combine_chunks().flatten()).reshape(-1, len(FEATURES)) if got.num_rows else np.zeros((0, len(FEATURES)))
     order = np.lexsort((*x.T, np.array(got.column("doc_id"))))  # the same trees whatever the order of rows
     return grown(x[order], np.array(got.column("y"))[order].astype(float) if got.num_rows else np.zeros(0), np.array(list(FEATURES.values())))
@@ -188,8 +188,6 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, t
 
 def judged(docs: DataFrame, trees: Trees, keep: list[str], keep_from: float = KEEP_FROM, text_col: str = "text") -> DataFrame:
     """The columns of keep, the base columns, base_failed, quality double and kept. Every row once."""
-    types = dict(docs.dtypes)
-
     def make():
         def f(piece: pa.RecordBatch) -> dict:
             base, x = statistics(*flat(piece.column(text_col)))
@@ -199,5 +197,4 @@ def judged(docs: DataFrame, trees: Trees, keep: list[str], keep_from: float = KE
 
         return f
 
-    own = "".join(f"`{c}` {types[c]}, " for c in keep)
-    return map_texts(docs, list(dict.fromkeys([*keep, text_col])), own + "".join(f"{c} long, " for c in BASE) + "base_failed boolean, quality double, kept boolean", make, text_col)
+    return map_texts(docs, list(dict.fromkeys([*keep, text_col])), schema_of(docs, keep, "".join(f"{c} long, " for c in BASE) + "base_failed boolean, quality double, kept boolean"), make, text_col)

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of text that a worker holds as numpy arrays at a time.
@@ -49,6 +50,23 @@ def volume(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
     return row["n"], row["b"] or 0
 
 
+def schema_of(docs: DataFrame, keep: list[str], rest: str) -> StructType:
+    """The columns of keep as in docs, whatever their names, then those of rest."""
+    return StructType([StructField(c, docs.schema[c].dataType, True) for c in keep] + StructType.fromDDL(rest).fields)
+
+
+def boxed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_row, id, text): all other columns in one, so that no name of theirs can clash with an operator's."""
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    return docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in rest)).alias("_row"), id_col, text_col)
+
+
+def unboxed(df: DataFrame, like: DataFrame, changed: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The columns of `like` from a boxed frame; changed gives some of them anew."""
+    own = {id_col: F.col(id_col), text_col: F.col(text_col)} | (changed or {})
+    return df.select(*((own[c] if c in own else F.col("_row").getField(c)).alias(c) for c in like.columns))
+
+
 def parts_for(spark: SparkSession, size: int, each: int) -> int:
     """Partitions so that each holds about `each` bytes (or rows), and no fewer than the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), -(-size // each), 1)
@@ -84,7 +102,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = PIECE_
             lo = hi
 
 
-def map_texts(docs: DataFrame, cols: list, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict | None]], text_col: str = "text", limit: int = PIECE_BYTES) -> DataFrame:
+def map_texts(docs: DataFrame, cols: list, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], dict | None]], text_col: str = "text", limit: int = PIECE_BYTES) -> DataFrame:
     """mapInArrow over pieces. make() runs once a task and returns the function from a piece to the output's columns."""
     on_workers(docs.sparkSession)
 

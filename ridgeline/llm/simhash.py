@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.llm.components import components
-from ridgeline.llm.shared import map_texts, on_workers, parts_for, written
+from ridgeline.llm.shared import map_texts, on_workers, parts_for, schema_of, written
 
 U = np.uint64
 BITS = 64
@@ -60,8 +60,7 @@ def fingerprints(docs: DataFrame, keep: list[str], n: int = 4, seed: int = 42, t
 
         return f
 
-    types = dict(docs.dtypes)
-    return map_texts(docs, [*keep, text_col], ", ".join([f"`{c}` {types[c]}" for c in keep] + ["fp long"]), make, text_col, limit=4 << 20)
+    return map_texts(docs, [*keep, text_col], schema_of(docs, keep, "fp long"), make, text_col, limit=4 << 20)
 
 
 def within(fps: np.ndarray, group: np.ndarray, radius: int = 4, chunk: int = 1 << 19) -> Iterator[tuple[int, np.ndarray]]:

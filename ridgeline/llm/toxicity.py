@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.llm.quality import sampled
-from ridgeline.llm.shared import flat, map_texts, parts_for
+from ridgeline.llm.shared import flat, map_texts, parts_for, schema_of
 from ridgeline.llm.textgrid import ALNUM, LOWER, Hasher, U, mix, words
 
 SAMPLE_ROWS = 20_000
@@ -347,7 +347,6 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, t
 
 def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns of keep, score double and hits (term, edits, quoted, word number). Every row once."""
-    types = dict(docs.dtypes)
     terms, weights = model.terms, model.weights
 
     def make():
@@ -361,5 +360,4 @@ def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text
 
         return f
 
-    own = "".join(f"`{c}` {types[c]}, " for c in keep)
-    return map_texts(docs, list(dict.fromkeys([*keep, text_col])), own + "score double, hits array<struct<term: string, edits: int, quoted: boolean, word: int>>", make, text_col)
+    return map_texts(docs, list(dict.fromkeys([*keep, text_col])), schema_of(docs, keep, "score double, hits array<struct<term: string, edits: int, quoted: boolean, word: int>>"), make, text_col)
