@@ -115,7 +115,7 @@ def grown(x: np.ndarray, y: np.ndarray, signs: np.ndarray, trees: int = 60, dept
     below a constrained split stays on its side of the midpoint, so whole trees are monotonic."""
     pos = float(y.mean()) if len(y) else 0.5
     empty = Trees(np.zeros((0, 2**depth - 1), np.int64), np.zeros((0, 2**depth - 1)), np.zeros((0, 2**depth)), 0.0)
-    if not 0 < pos < 1:
+    if not len(y) or not 0 < pos < 1:
         return empty
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     code = np.column_stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)])

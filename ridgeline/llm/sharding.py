@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ridgeline.llm.shared import volume
 
 SEED = 42
+#: Partitions of pass two at most; one may hold many buckets, which it takes one after another.
+MOST_TASKS = 20_000
 
 
 def size_of(text: Column) -> Column:
@@ -44,7 +46,9 @@ def shuffled(docs: DataFrame, shards: int, *, key_col: str = "doc_id", text_col:
         F.pmod(content, F.lit(buckets)).cast("int").alias("b"),
     )
     in_order = F.array_sort(F.collect_list(F.struct("h", "g", "r")), lambda x, y: F.when(x["h"] < y["h"], -1).when(x["h"] > y["h"], 1).otherwise(0))
-    mixed = rows.groupBy("s", "b").agg(in_order.alias("a")).select("s", "b", F.size("a").alias("n"), F.shuffle("a", F.lit(seed)).alias("a"))
+    # shuffle() draws from a generator a partition, so partitions and the order in them are fixed by the data alone
+    dealt = rows.repartition(min(shards * buckets, MOST_TASKS), "s", "b")
+    mixed = dealt.groupBy("s", "b").agg(in_order.alias("a")).sortWithinPartitions("s", "b").select("s", "b", F.shuffle("a", F.lit(seed)).alias("a"))
     # the counts by bucket come from a plain aggregate; only they meet in a window, one row a bucket
     before = F.sum("n").over(W.partitionBy("s").orderBy("b").rowsBetween(W.unboundedPreceding, -1))
     starts = rows.groupBy("s", "b").agg(F.count(F.lit(1)).alias("n")).select(F.col("s").alias("s2"), F.col("b").alias("b2"), F.coalesce(before, F.lit(0)).alias("base"))

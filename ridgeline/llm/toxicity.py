@@ -39,9 +39,11 @@ CONTEXT = 6
 # Words that report what others said, in four languages.
 REPORTING = frozenset("said says say called calls quote quoted quotes quoting wrote writes term word phrase reported dit disait cite mot sagte sagt zitat wort dijo dice cita palabra".split())
 _MARKS = '"“”„«»‘’'
-#: Of the offset, of the weights of the terms with an exact, misspelled or quoted hit, and of the logarithm of one
-#: plus all exact hits. A hit that stands alone though its term needs two counts for nothing.
-PRIOR = np.array([-5.0, 1.0, 0.8, 0.1, 1.0])
+#: What a misspelled and a quoted hit count for against an exact one, before the corrections below.
+MISSPELLED, QUOTED = 0.8, 0.1
+#: Of the offset, of the hit terms' weights, of those of misspelled and of quoted ones again (corrections to the above),
+#: and of the logarithm of one plus the unquoted hits. A hit that stands alone though its term needs two counts for nothing.
+PRIOR = np.array([-5.0, 1.0, 0.0, 0.0, 1.0])
 
 
 @dataclass
@@ -257,13 +259,13 @@ def _scan(piece: pa.RecordBatch, text_col: str, automaton: LexiconAutomaton) ->
         where[d] = hits(text, spans, found)
         times = Counter(t for _, t, _, _ in where[d])
         by_kind: list[dict[int, float]] = [{}, {}, {}]
-        exact = 0
+        plain = 0
         for e, t, quoted, _ in where[d]:
             if times[t] >= automaton.terms[t].need:
                 by_kind[2 if quoted else int(e > 0)][t] = automaton.terms[t].weight
-                exact += not quoted and e == 0
-        x[d, 1:4] = [sum(k.values()) for k in by_kind]
-        x[d, 4] = np.log1p(exact)
+                plain += not quoted
+        exact, wrong, told = (sum(k.values()) for k in by_kind)
+        x[d, 1:] = exact + MISSPELLED * wrong + QUOTED * told, wrong, told, np.log1p(plain)
     return x, where
     raw = low.tobytes()
     hashes, at, inv = np.unique(Hasher(low).spans(starts, ends), return_index=True, return_inverse=True)
