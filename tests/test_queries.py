@@ -2,6 +2,7 @@
 
 import os
 
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -24,7 +25,7 @@ def duck():
 
 def rows(frame):
     def cell(v):
-        if v is None or v != v:
+        if pd.isna(v):
             return "null"
         return str(v) if isinstance(v, str | bool) or type(v).__name__ == "bool" else repr(float(v) + 0.0)
 
