@@ -102,8 +102,6 @@ def greedy_survivors(nodes: DataFrame, conflicts: DataFrame, node: str = "id", m
     conflicts: (a, b) with a before b. Rounds settle what has no open conflict with an earlier row; links of settled
     rows fall away, so a round's work shrinks. Links are written between rounds, never collected.
     """
-    from pyspark.sql.utils import AnalysisException  # noqa: F401
-
     open_, gone = conflicts.select("a", "b").distinct(), None
     for _ in range(max_rounds):
         open_ = open_.checkpoint() if open_.sparkSession.sparkContext.getCheckpointDir() else open_
