@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ridgeline.functions import geo, text
-from ridgeline.operators import chain, facets, graph, lines, nearest, ranking, runs, tables
+from ridgeline.operators import chain, facets, graph, lines, match, nearest, ranking, runs, tables
 from ridgeline.sources import scans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -662,3 +662,12 @@ def event_sessions(spark, sf_dir):
     from ridgeline.streaming.tracks import sessions
 
     return sessions(table(spark, sf_dir, "events"), "30 minutes")
+
+
+@query()
+def track_matching(spark, sf_dir):
+    """Tracks with themselves as the network, every seventh one a known line: each of those rides itself."""
+    t = track(spark, sf_dir).select("line", "seq", "lat", "lon")
+    known = t.where("line % 7 = 0").withColumnRenamed("line", "cand")
+    m = match.matched(t.where("line % 7 < 2"), known, smooth_m=1.0, gap_m=1.0, run_m=1.0)
+    return m.select("line", "run", "cand", "a", "b", "reversed", F.round("from_km", 3).alias("from_km"), F.round("to_km", 3).alias("to_km"))
