@@ -71,4 +71,5 @@ def shortest_paths(edges: DataFrame, gaps: DataFrame, part: str = "part") -> Dat
         return pd.DataFrame(out, columns=[part, "src", "dst", "metres", "hops", "path"])
 
     kind = dict(gaps.dtypes)[part]
+    gaps, edges = gaps.toDF(*gaps.columns), edges.toDF(*edges.columns)  # they may come from one table
     return gaps.groupBy(part).cogroup(edges.groupBy(part)).applyInPandas(search, f"{part} {kind}, src string, dst string, metres double, hops int, path array<string>")

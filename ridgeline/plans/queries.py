@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ridgeline.functions import geo, text
-from ridgeline.operators import chain, facets, graph, lines, match, nearest, ranking, runs, tables
+from ridgeline.operators import chain, facets, graph, lines, nearest, ranking, runs, tables
 from ridgeline.sources import scans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,7 +91,7 @@ ASSIGNED = f"""{TRAILS}, {TOWNS}, pairs AS (SELECT t.*, a.anchor, a.region, {hav
 def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = towns(spark, sf_dir)
     got = nearest.nearest_anchor(trails(spark, sf_dir), t, MAX_KM)
-    return got.join(F.broadcast(t.select("anchor", "region").limit(1_000_000)), "anchor", "left")
+    return got.join(F.broadcast(t.select("anchor", "region")), "anchor", "left")
 
 
 # --- assignment and aggregation -------------------------------------------------------------------------------------
@@ -279,13 +279,14 @@ def joint_gaps_wrap(spark, sf_dir):
 
 # --- spatial joins --------------------------------------------------------------------------------------------------
 
-_BOX = """box AS (SELECT line, min(lat) AS a, min(lon) AS b, max(lat) AS c, max(lon) AS d FROM track WHERE seq < 3 GROUP BY 1)"""
+_BOX = "box AS (SELECT line, lat - 0.0004 AS a, lon - 0.0006 AS b, lat + 0.0004 AS c, lon + 0.0006 AS d FROM trails)"
 
 
-@query(f"WITH {TRACK}, {_BOX} SELECT x.line AS a, y.line AS b FROM box x JOIN box y ON x.line < y.line AND x.a <= y.c AND y.a <= x.c AND x.b <= y.d AND y.b <= x.d")
+@query(f"WITH {TRAILS}, {_BOX} SELECT x.line AS a, y.line AS b FROM box x JOIN box y ON x.line < y.line AND x.a <= y.c AND y.a <= x.c AND x.b <= y.d AND y.b <= x.d")
 def bbox_overlap_join(spark, sf_dir):
-    boxes = track(spark, sf_dir).where("seq < 3").groupBy("line").agg(*(f(c).alias(f"{n}_{c}") for n, f in (("min", F.min), ("max", F.max)) for c in ("lat", "lon")))
-    return nearest.overlapping_boxes(boxes, 0.02)
+    half = {"lat": 0.0004, "lon": 0.0006}
+    boxes = trails(spark, sf_dir).select("line", *((F.col(c) + k * half[c]).alias(f"{n}_{c}") for n, k in (("min", -1), ("max", 1)) for c in ("lat", "lon")))
+    return nearest.overlapping_boxes(boxes, 0.002)
 
 
 def _seg_m(p, q, a, b, c, d):
@@ -295,24 +296,20 @@ def _seg_m(p, q, a, b, c, d):
     return f"(sqrt(pow({ex} - {t} * {dx}, 2) + pow({ey} - {t} * {dy}, 2)) * 111320)"
 
 
-_NETWORK = "net AS (SELECT o_orderkey AS line, 46 + (o_custkey * 37 % 1000) / 20000.0::DOUBLE AS lat, 10 + (o_custkey * 91 % 1000) / 20000.0::DOUBLE AS lon, 46 + ((o_custkey + o_orderkey % 7) * 37 % 1000) / 20000.0::DOUBLE AS lat2, 10 + ((o_custkey + o_orderkey % 7) * 91 % 1000) / 20000.0::DOUBLE AS lon2 FROM orders)"
-_SHARE = f"""{TRACK}, {_NETWORK}, short AS (SELECT * FROM track WHERE seq < 4), near AS (SELECT DISTINCT s.line AS a, s.seq, n.line AS b FROM short s JOIN (SELECT * FROM net WHERE abs(lat2 - lat) < 0.02 AND abs(lon2 - lon) < 0.02 AND line % 40 < 2) n
+_NETWORK = "net AS (SELECT 1000000 + anchor AS line, lat, lon, lat + 0.01 AS lat2, lon + 0.012 AS lon2 FROM towns)"
+_SHARE = f"""{TRACK}, {TOWNS}, {_NETWORK}, near AS (SELECT DISTINCT s.line AS a, s.seq, n.line AS b FROM track s JOIN net n
  ON n.line <> s.line AND s.lat BETWEEN least(n.lat, n.lat2) - 0.0035 AND greatest(n.lat, n.lat2) + 0.0035 AND s.lon BETWEEN least(n.lon, n.lon2) - 0.005 AND greatest(n.lon, n.lon2) + 0.005 AND {_seg_m("s.lat", "s.lon", "n.lat", "n.lon", "n.lat2", "n.lon2")} <= 200),
- share AS (SELECT a, b, count(*) AS near, any_value(m.n) AS n FROM near JOIN (SELECT line, count(*) AS n FROM short GROUP BY 1) m ON m.line = a GROUP BY 1, 2)"""
+ share AS (SELECT a, b, count(*) AS near, any_value(m.n) AS n FROM near JOIN (SELECT line, count(*) AS n FROM track GROUP BY 1) m ON m.line = a GROUP BY 1, 2)"""
 
 
 def _network(spark, sf_dir):
-    """A two-point line for each order."""
-    p, q = F.col("o_custkey"), F.col("o_custkey") + F.col("o_orderkey") % 7
-    place = lambda k: F.struct((46 + (k * 37 % 1000) / 20000.0).alias("lat"), (10 + (k * 91 % 1000) / 20000.0).alias("lon"))
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("line"), F.posexplode(F.array(place(p), place(q))).alias("seq", "p")).select("line", "seq", "p.lat", "p.lon")
+    """A two-point line from each town."""
+    end = lambda k: F.struct((F.col("lat") + 0.01 * k).alias("lat"), (F.col("lon") + 0.012 * k).alias("lon"))
+    return towns(spark, sf_dir).select((1_000_000 + F.col("anchor")).alias("line"), F.posexplode(F.array(end(0), end(1))).alias("seq", "p")).select("line", "seq", "p.lat", "p.lon")
 
 
 def _share(spark, sf_dir):
-    n = _network(spark, sf_dir).where("line % 40 < 2")
-    w = W.partitionBy("line")
-    small = n.withColumn("ok", (F.max("lat").over(w) - F.min("lat").over(w) < 0.02) & (F.max("lon").over(w) - F.min("lon").over(w) < 0.02)).where("ok").drop("ok")
-    return nearest.covered_share(track(spark, sf_dir).where("seq < 4"), small, 200.0, 0.003)
+    return nearest.covered_share(track(spark, sf_dir), _network(spark, sf_dir), 200.0, 0.003)
 
 
 @query(f"WITH {_SHARE} SELECT a, b, near, n, round(near / n::DOUBLE, 4) AS share FROM share")
@@ -343,7 +340,7 @@ def grid_nearest(spark, sf_dir):
 @query(f"""WITH {TRAILS}, {TOWNS}, d AS (SELECT t.line, a.anchor, {hav("t.lat", "t.lon", "a.lat", "a.lon")} + a.region * 10 AS cost FROM trails t, towns a)
 SELECT line, anchor, rk AS rank, round(cost, 2) AS cost FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY cost, anchor) AS rk FROM d) WHERE rk <= 3""")
 def topk_nearest(spark, sf_dir):
-    a = towns(spark, sf_dir).select("anchor", F.col("lat").alias("la"), F.col("lon").alias("lo"), "region").limit(1_000_000)
+    a = towns(spark, sf_dir).select("anchor", F.col("lat").alias("la"), F.col("lon").alias("lo"), "region")
     cost = geo.haversine_m(F.col("lat"), F.col("lon"), F.col("la"), F.col("lo")) + F.col("region") * 10
     d = trails(spark, sf_dir).crossJoin(F.broadcast(a)).select("line", "anchor", cost.alias("cost"))
     return d.withColumn("rank", F.row_number().over(W.partitionBy("line").orderBy("cost", "anchor"))).where("rank <= 3").select("line", "anchor", F.col("rank").cast("long").alias("rank"), F.round("cost", 2).alias("cost"))
@@ -505,9 +502,9 @@ def facet_counts(spark, sf_dir):
     return facets.counts(_parts(spark, sf_dir), _passes())
 
 
-@query("SELECT doc_id FROM documents WHERE strip_accents(lower(substr(text, 1, 200))) LIKE '%eu%' AND lang = 'fr'")
+@query("SELECT doc_id FROM documents WHERE strip_accents(lower(text)) LIKE '%idiot%'")
 def facet_search(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where(facets.found(F.substring("text", 1, 200), "ÈU") & (F.col("lang") == "fr")).select("doc_id")
+    return table(spark, sf_dir, "documents").where(facets.found(F.col("text"), "IDIÓT")).select("doc_id")
 
 
 @query(f"WITH {_PART} SELECT region, diff, count(*) AS n, grouping(diff)::INT AS level FROM p GROUP BY ROLLUP (region, diff) HAVING grouping(region) = 0")
@@ -534,11 +531,11 @@ _AZ = "regexp_replace(regexp_replace({}, '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '',
 _SLUG = _AZ.format("replace(replace(replace(replace(lower(t), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss')")
 
 
-@query(f"""WITH d AS (SELECT doc_id, substr(replace(text, chr(10), ' '), 1, 60) || ' Trail' AS t FROM documents)
+@query(f"""WITH d AS (SELECT doc_id, replace(text, chr(10), ' ') || ' Trail' AS t FROM documents)
 SELECT doc_id, regexp_replace(lower(t), '[^a-z0-9]', '', 'g') AS ascii_key, {_SLUG} AS slug, replace(replace({_SLUG}, '_trail', ''), 'trail_', '') AS duplicate_key,
  regexp_replace(replace(replace(replace(replace(replace(replace(lower(t), 'ä', 'a'), 'ö', 'o'), 'ü', 'u'), 'ß', 'ss'), 'é', 'e'), 'à', 'a'), '[^a-z0-9]', '', 'g') AS resort_key, 'gd_' || {_AZ.format("lower(t)")} AS prefixed FROM d""")
 def name_keys(spark, sf_dir):
-    t = F.concat(F.substring(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), 1, 60), F.lit(" Trail"))
+    t = F.concat(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), F.lit(" Trail"))
     d = table(spark, sf_dir, "documents").select("doc_id", t.alias("t"))
     t = F.col("t")
     return d.select("doc_id", text.ascii_key(t).alias("ascii_key"), text.slug(t).alias("slug"), text.duplicate_key(t).alias("duplicate_key"), text.resort_key(t).alias("resort_key"), text.prefixed_id("gd", t).alias("prefixed"))
@@ -563,11 +560,11 @@ def gpx_round_trip(spark, sf_dir):
 
 # --- graphs, lifts, chains ------------------------------------------------------------------------------------------
 
-_EDGES = "e AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_linenumber = 1 AND l_quantity < 4), g AS (SELECT 'p' || a AS src, 's' || b AS dst FROM e UNION SELECT 's' || b, 'p' || a FROM e)"
+_EDGES = "e AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem), g AS (SELECT 'p' || a AS src, 's' || b AS dst FROM e UNION SELECT 's' || b, 'p' || a FROM e)"
 
 
 def _part_graph(spark, sf_dir):
-    e = table(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_quantity < 4").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).distinct()
+    e = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).distinct()
     return e.union(e.select("dst", "src"))
 
 
@@ -576,17 +573,16 @@ def way_graph(spark, sf_dir):
     return _part_graph(spark, sf_dir).groupBy("src").agg(F.count(F.lit(1)).alias("degree"), F.min("dst").alias("first"))
 
 
-@query(f"""WITH RECURSIVE {_EDGES}, w AS (SELECT 's' || s_suppkey AS start, 's' || s_suppkey AS node, 0 AS hops FROM supplier WHERE s_suppkey <= 5 UNION SELECT start, dst, hops + 1 FROM w JOIN g ON src = node WHERE hops < 3)
+@query(f"""WITH RECURSIVE {_EDGES}, w AS (SELECT 's' || min(s_suppkey) AS start, 's' || min(s_suppkey) AS node, 0 AS hops FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY n_regionkey UNION SELECT start, dst, hops + 1 FROM w JOIN g ON src = node WHERE hops < 3)
 SELECT start, node, min(hops)::INT AS hops FROM w GROUP BY 1, 2""")
 def chain_bfs(spark, sf_dir):
-    starts = table(spark, sf_dir, "supplier").where("s_suppkey <= 5").select(F.concat(F.lit("s"), "s_suppkey").alias("start"))
+    starts = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).groupBy("n_regionkey").agg(F.concat(F.lit("s"), F.min("s_suppkey")).alias("start"))
     return graph.reached(_part_graph(spark, sf_dir), starts, 3)
 
 
-@query(f"WITH {TRACK}, v AS (SELECT DISTINCT line, round(lat, 3) AS lat, round(lon, 3) AS lon FROM track WHERE seq < 2) SELECT x.line AS a, y.line AS b, x.lat, x.lon FROM v x JOIN v y ON x.lat = y.lat AND x.lon = y.lon AND x.line <> y.line")
+@query(f"WITH {TRAILS}, v AS (SELECT DISTINCT line, round(lat, 5) AS lat, round(lon, 5) AS lon FROM trails) SELECT x.line AS a, y.line AS b, x.lat, x.lon FROM v x JOIN v y ON x.lat = y.lat AND x.lon = y.lon AND x.line <> y.line")
 def way_junctions(spark, sf_dir):
-    t = track(spark, sf_dir).where("seq < 2").withColumn("lat", F.round("lat", 3)).withColumn("lon", F.round("lon", 3))
-    return graph.junctions(t).select("a", "b", "lat", "lon")
+    return graph.junctions(trails(spark, sf_dir)).select("a", "b", "lat", "lon")
 
 
 @query(f"""WITH {CUM}, x AS (SELECT line, seq, km, {hav("lat", "lon", "46.01", "10.02")} AS da, {hav("lat", "lon", "46.03", "10.03")} AS db FROM cum)
@@ -624,8 +620,8 @@ def douglas_peucker(spark, sf_dir):
 
 @query()
 def track_network_labels(spark, sf_dir):
-    n = _network(spark, sf_dir).where("line % 40 < 2").withColumnRenamed("line", "cand")
-    return nearest.label_points(track(spark, sf_dir).where("seq < 6"), n, 150.0).select("line", "seq", "label", F.round("d", 2).alias("d"))
+    n = _network(spark, sf_dir).withColumnRenamed("line", "cand")
+    return nearest.label_points(track(spark, sf_dir), n, 150.0).select("line", "seq", "label", F.round("d", 2).alias("d"))
 
 
 @query()
@@ -644,9 +640,12 @@ def fuzzy_lookup(spark, sf_dir):
 
 @query()
 def shortest_path(spark, sf_dir):
-    e = _part_graph(spark, sf_dir).select(F.lit(1).alias("part"), "src", "dst", F.lit(1.0).alias("w"))
-    gaps = spark.createDataFrame([(1, "s1", f"s{k}") for k in range(2, 7)], "part int, src string, dst string")
-    return graph.shortest_paths(e, gaps).select("src", "dst", "metres", "hops")
+    """In each nation's own part of the graph, from its first supplier to its last."""
+    s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("s"), F.col("s_nationkey").alias("part"), "s_suppkey")
+    g = _part_graph(spark, sf_dir)
+    out = g.join(s, F.col("src") == F.col("s")).select("part", "src", "dst", F.lit(1.0).alias("w"))
+    gaps = s.groupBy("part").agg(F.min_by("s", "s_suppkey").alias("src"), F.max_by("s", "s_suppkey").alias("dst"))
+    return graph.shortest_paths(out.union(out.select("part", "dst", "src", "w")), gaps).select("part", "src", "dst", "metres", "hops")
 
 
 @query()
@@ -662,12 +661,3 @@ def event_sessions(spark, sf_dir):
     from ridgeline.streaming.tracks import sessions
 
     return sessions(table(spark, sf_dir, "events"), "30 minutes")
-
-
-@query()
-def track_matching(spark, sf_dir):
-    """Tracks with themselves as the network, every seventh one a known line: each of those rides itself."""
-    t = track(spark, sf_dir).select("line", "seq", "lat", "lon")
-    known = t.where("line % 7 = 0").withColumnRenamed("line", "cand")
-    m = match.matched(t.where("line % 7 < 2"), known, smooth_m=1.0, gap_m=1.0, run_m=1.0)
-    return m.select("line", "run", "cand", "a", "b", "reversed", F.round("from_km", 3).alias("from_km"), F.round("to_km", 3).alias("to_km"))
