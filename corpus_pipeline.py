@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import packing, quality, simhash, suffix, toxicity
+from ridgeline.llm import nearcopies, packing, quality, suffix, toxicity
 from ridgeline.llm.queries import tokenizer_files
 from ridgeline.llm.shared import boxed, unboxed, written
 
@@ -35,8 +35,8 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id. Rows with one id are one document; a row without an id is in no group."""
-    groups = simhash.grouped(docs.where("doc_id is not null"), "doc_id")
+    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the document with the smallest id. Rows with one id are one document; a row without an id is in no group."""
+    groups = nearcopies.grouped(docs.where("doc_id is not null"), "doc_id")
     first = written(groups.where("doc_id = component").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
     return docs.join(first, docs["doc_id"] == first["_kept"], "left_semi").union(docs.where("doc_id is null"))
 
