@@ -10,9 +10,9 @@ Counts are exact and cover the whole training corpus: blocks of documents give o
 They set the class and word biases, so the untrained model is the class unigram model.
 
 Weights are learned by truncated backpropagation over windows of WINDOW steps, the state carried from one window
-to the next and set to zero where a text ends. Each task trains on the share of training documents that
-`rate` names (by a hash of the text, the same share at every size), and the tasks' weights are averaged, in
-`rounds` rounds. Scoring runs over every document whole, windows of steps at a time with the state carried on,
+to the next and set to zero where a text ends. A round trains on one share of `rate` (by a hash of the text) of the
+training documents, each task on its part, and the tasks' weights are averaged; `rate` rounds take every training
+document once. Scoring runs over every document whole, windows of steps at a time with the state carried on,
 so a text's score is its complete log-likelihood.
 
 Cases: null and empty texts are the end alone; with no training document all counts are zero and words of a class
@@ -280,8 +280,8 @@ def _block_words(table: pa.Table, id_col: str, text_col: str):
     return table, h, tail, first, distinct, at, inv
 
 
-def scored(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rate: int = 8, rounds: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score), every row once. One in `rate` training documents is trained on in each round."""
+def scored(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rate: int = 8, rounds: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score), every row once. One in `rate` training documents is trained on in each round, each in one of `rate` rounds."""
     spark = docs.sparkSession
     on_workers(spark)
     total = volume(docs, text_col)[1]
@@ -323,7 +323,7 @@ def scored(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", r
     pooled = texts.groupBy("_block").applyInArrow(counted, "bucket long, block long, ends long, hash binary, n binary, tail binary").repartition(min(buckets, max(session, tasks)), "bucket")
     told = written(pooled.groupBy("bucket").applyInArrow(added, "block long, bucket long, answer binary, hash binary, n binary, tail binary, tokens long, ends long"), "counts")
     stats = corpus_stats(told.where("block < 0"))
-    weights = trained(docs, stats, id_col, text_col, rate, rounds)
+    weights = trained(docs, stats, id_col, text_col, rate, rate if rounds is None else rounds)
     told = told.where("block >= 0").select(F.col("block").alias("_block"), "bucket", "answer").repartition(tasks, "_block")
     id_type = dict(docs.dtypes)[id_col]
     names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -389,7 +389,7 @@ def trained(docs: DataFrame, stats: Stats, id_col: str, text_col: str, rate: int
 
             from ridgeline.llm.shared import pieces
 
-            t = Trainer(unpacked(start), 0.004 / (k + 1))
+            t = Trainer(unpacked(start), 0.004 / min(k + 1, 2))
             for piece in pieces(batches, text_col):
                 h, tail, first = tokens(*flat(piece.column(text_col)))
                 t.texts(np.append(np.insert(stats.row(h, tail), first[:-1], END), END))

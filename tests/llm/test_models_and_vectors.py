@@ -146,5 +146,17 @@ def test_state_carries_over_windows():
         assert abs(total - got[k]) < 1e-2
 
 
+def test_every_training_document_is_learned_from(docs, monkeypatch):
+    """The rounds' shares together are all training documents."""
+    taken = []
+    kept = grulm.trained
+    monkeypatch.setattr(grulm, "trained", lambda *a: taken.append(a[-2:]) or kept(*a))
+    grulm.scored(docs, block_bytes=1 << 16)
+    (rate, rounds), *_ = taken
+    share = F.pmod(F.xxhash64(F.lit(23), F.col("text")), F.lit(rate))
+    learned = docs.where(~grulm.held_out(F.col("doc_id")))
+    assert learned.where(share < rounds).count() == learned.count() > 0
+
+
 def test_empty_corpus(empty):
     assert grulm.scored(empty).count() == 0
