@@ -150,13 +150,15 @@ def osm_ways(responses: DataFrame, body: str = "text") -> DataFrame:
     return rows.select(F.col("e.id").alias("way_id"), F.col("e.tags").alias("tags"), F.col("e.geometry").alias("points"))
 
 
-def halves_collapsed(points: Column, rounds: int = 4) -> Column:
-    """While an array of even length from 4 on repeats its first half, only that stays."""
-    for _ in range(rounds):
-        half = (F.size(points) / 2).cast("int")
-        twice = (F.size(points) >= 4) & (F.size(points) % 2 == 0) & (F.slice(points, 1, F.greatest(half, F.lit(1))) == F.slice(points, half + 1, F.greatest(half, F.lit(1))))
-        points = F.when(twice, F.slice(points, 1, F.greatest(half, F.lit(1)))).otherwise(points)
-    return points
+def halves_collapsed(points: Column, rounds: int = 31) -> Column:
+    """While an array of even length from 4 on repeats its first half, only that stays; 31 rounds cover any array."""
+
+    def once(x: Column, _: Column) -> Column:
+        half = F.greatest((F.size(x) / 2).cast("int"), F.lit(1))
+        twice = (F.size(x) >= 4) & (F.size(x) % 2 == 0) & (F.slice(x, 1, half) == F.slice(x, half + 1, half))
+        return F.when(twice, F.slice(x, 1, half)).otherwise(x)
+
+    return F.aggregate(F.array_repeat(F.lit(0), rounds), points, once)
 
 
 def elevations(points: DataFrame, known: DataFrame) -> DataFrame:

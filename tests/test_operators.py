@@ -50,6 +50,11 @@ def test_listing(spark):
     assert [r.slug for r in scans.to_harvest(scans.listing_rows(pages), scans.listing_rows(pages).where("hidden")).collect()] == ["alpha-line"]
 
 
+def test_halves_collapse_as_often_as_they_repeat(spark):
+    x = spark.createDataFrame([([1, 2] * 64,), ([1, 2, 3] * 32,), (None,)], "a array<int>")
+    assert [r.h for r in x.select(scans.halves_collapsed(F.col("a")).alias("h")).collect()] == [[1, 2], [1, 2, 3], None]
+
+
 def test_page_geometry_and_halves(spark):
     html = """encodedpath: '_p~iF~ps|U_ulLnnqC'; new ElevationChart({"id":1,"x":"0","y":1500,"lat":"46.5","lng":"10.5"},{"id":2,"x":10.5,"y":"1490","lat":46.6,"lng":10.6})"""
     pages = spark.createDataFrame([("a", html), ("b", "nothing")], "slug string, html string")
