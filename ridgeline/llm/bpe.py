@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from ridgeline.llm.shared import map_texts, schema_of
-from ridgeline.llm.textgrid import Hasher, U
+from ridgeline.llm.textgrid import Rolling, U
 
 #: Pre-tokens and joins that a worker keeps; the table starts anew beyond that.
 CACHE = 400_000
@@ -102,7 +102,7 @@ def boundaries(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     n = len(off) - 1
     at = np.zeros(0, np.int64)
     if len(data) > WINDOW:
-        at = np.flatnonzero((Hasher(data).grams(WINDOW) & U((1 << CUT_BITS) - 1)) == 0) + WINDOW
+        at = np.flatnonzero((Rolling(data).grams(WINDOW) & U((1 << CUT_BITS) - 1)) == 0) + WINDOW
         at = at[at < len(data)]
         at = at[(data[at] & 0xC0) != 0x80]
     lo = np.searchsorted(at, off[:-1] + WINDOW, "left")  # a window never reaches into the text before

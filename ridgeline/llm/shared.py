@@ -55,6 +55,13 @@ def schema_of(docs: DataFrame, keep: list[str], rest: str) -> StructType:
     return StructType([StructField(c, docs.schema[c].dataType, True) for c in keep] + StructType.fromDDL(rest).fields)
 
 
+def pa_type(docs: DataFrame, column: str) -> pa.DataType:
+    """The Arrow type in which Python workers see a column."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(docs.schema[column].dataType)
+
+
 def boxed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_row, id, text): all other columns in one, so that no name of theirs can clash with an operator's."""
     rest = [c for c in docs.columns if c not in (id_col, text_col)]

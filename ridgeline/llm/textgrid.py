@@ -7,6 +7,9 @@ import numpy as np
 U = np.uint64
 _ODD = 0x9E3779B97F4A7C15
 _INV = pow(_ODD, -1, 1 << 64)
+PRIME = (1 << 61) - 1
+_BASE = 0x1A2B_59E3_779B_97F5 % PRIME
+_SEGMENT = 1 << 22
 _state: dict = {}
 
 
@@ -51,6 +54,40 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _state["byte"], _state["up"], _state["down"]
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for any 64-bit x."""
+    x = (x & U(PRIME)) + (x >> U(61))
+    return np.where(x >= U(PRIME), x - U(PRIME), x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, of numbers below it: by halves of 30 and 31 bits, as 2**61 is 1."""
+    low, mid = U((1 << 31) - 1), U((1 << 30) - 1)
+    a1, a0, b1, b0 = a >> U(31), a & low, b >> U(31), b & low
+    m = a1 * b0 + a0 * b1
+    return _folded(((a1 * b1) << U(1)) + (m >> U(30)) + ((m & mid) << U(31)) + _folded(a0 * b0))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, U)
+    have, step = 1, base
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = _times(out[:more], np.full(more, step, U))
+        have, step = have + more, step * step % PRIME
+    return out
+
+
+def _prime_tables(n: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Powers of _BASE modulo PRIME, each in halves of 31 and 30 bits, and their inverses."""
+    if _state.get("prime_n", 0) < n:
+        size = max(n, 1 << 20) + 128
+        up = _powers(_BASE, size)
+        halves = [up & U((1 << 31) - 1), up >> U(31)]
+        _state.update(prime_n=size - 64, halves=halves, inverse=_powers(pow(_BASE, -1, PRIME), size))
+    return _state["halves"], _state["inverse"]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads a hash's bits, in place."""
     with np.errstate(over="ignore"):
@@ -63,29 +100,51 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """64-bit hashes of any spans of data: prefix sums of byte codes times powers of an odd number, modulo 2**64."""
+    """Hashes of any spans of data: polynomials modulo the prime 2**61 - 1, from prefix sums, then mixed to 64 bits.
+
+    Two different spans of n bytes are alike with a chance of about n / 2**61, whatever their texts' structure;
+    modulo a power of two there are texts, as the Thue-Morse sequence and its complement, that are always alike.
+    """
 
     def __init__(self, data: np.ndarray):
-        code, up, self.down = _tables(len(data) + 1)
-        with np.errstate(over="ignore"):
-            self.sums = np.zeros(len(data) + 1, U)
-            np.cumsum(code[data] * up[: len(data)], out=self.sums[1:])
+        halves, self.inverse = _prime_tables(len(data) + 1)
+        code = data.astype(U)
+        code += U(1)
+        self.sums = []
+        for half in halves:
+            total = np.zeros(len(data) + 1, U)
+            for lo in range(0, len(data), _SEGMENT):  # so that a sum stays below 2**64
+                hi = min(len(data), lo + _SEGMENT)
+                np.cumsum(code[lo:hi] * half[lo:hi], out=total[lo + 1 : hi + 1])
+                if lo:
+                    total[lo + 1 : hi + 1] += _folded(total[lo : lo + 1])
+            self.sums.append(total)
 
-    def raw(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        a, b = (_folded(total[ends]) + (U(PRIME) - _folded(total[starts])) for total in self.sums)
+        b = _folded(b)
+        whole = _folded(_folded(a) + ((b & U((1 << 30) - 1)) << U(31)) + (b >> U(30)))  # b times 2**31
         with np.errstate(over="ignore"):
-            return (self.sums[ends] - self.sums[starts]) * self.down[starts]
+            return mix(_times(whole, self.inverse[starts]) + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
-    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+
+class Rolling:
+    """Cheap hashes of the k bytes from each place, modulo 2**64: to choose places by, not to tell texts apart."""
+
+    def __init__(self, data: np.ndarray):
+        code, up, self.down = _tables(len(data) + 1)
         with np.errstate(over="ignore"):
-            return mix(self.raw(starts, ends) + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+            self.sums = np.zeros(len(data) + 1, U)
+            np.cumsum(code[data] * up[: len(data)], out=self.sums[1:])
 
-    def grams(self, k: int) -> np.ndarray:
-        """Hash of the k bytes from each place that has k bytes."""
+    def grams(self, k: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """Of the places from lo to hi that have k bytes."""
         n = len(self.sums) - k
-        if n <= 0:
+        hi = n if hi is None else min(hi, n)
+        if hi <= lo:
             return np.zeros(0, U)
         with np.errstate(over="ignore"):
-            return mix((self.sums[k:] - self.sums[:-k]) * self.down[:n])
+            return mix((self.sums[lo + k : hi + k] - self.sums[lo:hi]) * self.down[lo:hi])
 
 
 def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ridgeline.llm import grulm, lattice
@@ -146,16 +147,48 @@ def test_state_carries_over_windows():
         assert abs(total - got[k]) < 1e-2
 
 
-def test_every_training_document_is_learned_from(docs, monkeypatch):
-    """The rounds' shares together are all training documents."""
-    taken = []
-    kept = grulm.trained
-    monkeypatch.setattr(grulm, "trained", lambda *a: taken.append(a[-2:]) or kept(*a))
-    grulm.scored(docs, block_bytes=1 << 16)
-    (rate, rounds), *_ = taken
-    share = F.pmod(F.xxhash64(F.lit(23), F.col("text")), F.lit(rate))
-    learned = docs.where(~grulm.held_out(F.col("doc_id")))
-    assert learned.where(share < rounds).count() == learned.count() > 0
+def test_every_training_document_is_learned_from(docs, rows):
+    """The rounds' shares together are all blocks, and a block's rows are all words of its training texts."""
+    blocks = grulm.blocked(docs, "doc_id", "text", 1 << 12).withColumn("share", grulm.share_of(4))
+    got = blocks.collect()
+    assert len(got) > 4 and {r.share for r in got} <= {0, 1, 2, 3} and sum(r.n_texts for r in got) == len(rows)
+    stats = grulm.Stats(0, 0, 0, np.zeros(0, np.uint64), np.zeros(0), np.zeros(grulm.TAIL), np.zeros(grulm.TAIL))
+    held, _, n, _ = brute_base(rows)
+    assert sum(len(grulm.training_rows(r.asDict(), stats)) - 1 for r in got) == n
+    seen = []
+    t = grulm.Trainer(grulm.initial(stats))
+    t.window = lambda x, y, h, live=None: seen.append(x.size if live is None else int(live.sum())) or h
+    for size in (1, 2, 23, 24, 25, 1000, 7001):
+        seen.clear()
+        t.texts(np.full(size + 1, grulm.END))
+        assert sum(seen) == size
+
+
+def test_many_short_texts_take_bounded_memory():
+    """The outputs that are alive at a time don't grow with the number of texts."""
+    import tracemalloc
+
+    stats = grulm.Stats(100, 60, 5, np.arange(grulm.HEAD, dtype=np.uint64), np.ones(grulm.HEAD), np.ones(grulm.TAIL), np.ones(grulm.TAIL))
+    w = grulm.initial(stats)
+    peaks = []
+    for n in (20_000, 80_000):
+        rows = np.random.default_rng(1).integers(0, grulm.END, 3 * n).astype(np.int16)
+        first = np.arange(n + 1) * 3
+        tracemalloc.start()
+        grulm.likelihood(w, rows, first)
+        peaks.append(tracemalloc.get_traced_memory()[1] - 4 * 8 * n)
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0] < 60 << 20
+
+
+def test_rows_merge_in_steps_of_fixed_fan_in(spark, monkeypatch):
+    monkeypatch.setattr(grulm, "FAN_IN", 3)
+
+    def add(table):
+        return pa.table({"n": pa.array([sum(table.column("n").to_pylist())], pa.int64())})
+
+    frame = spark.range(40).selectExpr("id as n")
+    assert grulm.merged(frame, 40, add, "n long", "sums").collect() == [(780,)]
 
 
 def test_empty_corpus(empty):
