@@ -46,7 +46,7 @@ END_CLASS = CLASSES - 1
 #: Input rows: head words, tail classes, the end.
 END = HEAD + TAIL
 #: Bytes of text in a block, and of those turned into words at a time.
-BLOCK_BYTES, PIECE_BYTES = 12 << 20, 1 << 20
+BLOCK_BYTES, PIECE_BYTES = 6 << 20, 1 << 20
 
 
 def held_out(doc_id: Column, remainder: int = 2, modulus: int = 7) -> Column:
