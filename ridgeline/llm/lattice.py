@@ -10,8 +10,11 @@ A pair that meets in several cells counts in the first alone, which each task wo
 so pairs are never written. Equal vectors are one row with a count before hashing. A cell gives out numbers of
 links and a spanning forest. A cell with more than TILE vectors is dealt out in pairs of tiles.
 
+Cells travel without vectors; those with one vector, or none at home, are dropped before vectors are joined.
+
 Cases: null vectors, zero vectors and those with null or non-finite parts link with nothing; vectors of
-different lengths never meet; rows may repeat (equal ids are one vector); a null id is left with no links and
+different lengths never meet; rows may repeat (equal ids are one vector; where it has several values that no smaller
+id has, the smallest of them links and the others don't); a null id is left with no links and
 a null component; an empty table gives an empty table.
 """
 
@@ -87,6 +90,7 @@ def cells(unit: np.ndarray, table: int, probes: int = PROBES, scale: float = SCA
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1)[:, None]  # so that no square leaves the range of numbers
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -111,53 +115,54 @@ def links(vectors: DataFrame, threshold: float = 0.95, tables: int = TABLES, pro
 
     def place(batches):
         for batch in batches:
-            groups: dict[int, list[int]] = {}
-            values = batch.column("v").to_pylist()
-            for r, v in enumerate(values):
-                groups.setdefault(len(v), []).append(r)
-            for rows in groups.values():
-                x = np.array([values[r] for r in rows], np.float64)
-                unit, raw = _unit(x), [v.tobytes() for v in x.astype(np.float32)]
-                if (x != x.astype(np.float32)).any():
-                    raw = [v.tobytes() for v in x]
-                pick = batch.take(pa.array(rows, pa.int64()))
+            x, dims = batch.column("v").flatten().to_numpy(), np.diff(batch.column("v").offsets.to_numpy())
+            first, ids = np.cumsum(dims) - dims, batch.column("id").to_numpy()
+            for d in np.unique(dims).tolist():
+                rows = np.flatnonzero(dims == d)
+                unit = _unit(x[first[rows][:, None] + np.arange(d)].astype(np.float64))
                 for t in range(tables):
                     home, probed = cells(unit, t, probes, scale)
                     names = np.concatenate([home[:, None], probed], axis=1)
                     k = names.shape[1]
-                    yield pa.RecordBatch.from_pydict({
-                        "cell": names.ravel(), "tbl": np.full(names.size, t, np.int32), "home": np.tile(np.arange(k) == 0, len(rows)), "id": np.repeat(np.array(pick.column("id")), k),
-                        "dim": np.full(names.size, x.shape[1], np.int32), "copies": np.repeat(np.array(pick.column("copies")), k), "v": pa.array(raw, pa.binary()).take(pa.array(np.repeat(np.arange(len(rows)), k))),
-                    })
+                    yield pa.RecordBatch.from_pydict({"cell": names.ravel(), "tbl": np.full(names.size, t, np.int32), "home": np.tile(np.arange(k) == 0, len(rows)), "id": np.repeat(ids[rows], k)})
 
-    placed = written(vectors.mapInArrow(place, "cell long, tbl int, home boolean, id long, dim int, copies long, v binary"), "cells")
+    placed = written(vectors.select("id", "v").mapInArrow(place, "cell long, tbl int, home boolean, id long"), "cells")
     counts = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.count_if("home").alias("h")).where("n > 1 and h > 0")
     counts = written(counts.select(F.col("cell").alias("of"), F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "counts")
     met = placed.join(counts, F.col("cell") == F.col("of")).drop("of")
     own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda b: F.struct(F.least(b, own).alias("a"), F.greatest(b, own).alias("b")))
     met = met.withColumn("own", own).withColumn("pair", F.explode(others))
-    n = parts_for(spark, placed.count(), 60_000)
-    met = met.withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(n)).cast("int")).repartition(n, "bucket")
-
-    def compare(table: pa.Table) -> pa.Table:
+    met = written(met, "met")
+    n = parts_for(spark, met.count(), 60_000)
+    met = met.withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(n)).cast("int")).select("bucket", "cell", "tbl", "home", "id", "own", "pair")
+    # a vector goes once to each bucket that compares it, none to cells where it stands alone
+    asked = met.select(F.col("bucket").alias("to"), F.col("id").alias("of")).distinct()
+    sent = asked.join(vectors.select(F.col("id").alias("own_id"), "v", "copies"), F.col("of") == F.col("own_id")).select("to", "of", "v", "copies")
+
+    def compare(table: pa.Table, sent: pa.Table) -> pa.Table:
         get = lambda c: np.array(table.column(c).combine_chunks())
-        cell, home, ids, copies, dim, tbl, tile_of = (get(c) for c in ("cell", "home", "id", "copies", "dim", "tbl", "own"))
+        cell, home, ids, tbl, tile_of = (get(c) for c in ("cell", "home", "id", "tbl", "own"))
         pair = table.column("pair").combine_chunks()
         a, b = np.array(pair.field("a")), np.array(pair.field("b"))
         order = np.lexsort((ids, b, a, cell))
-        cell, home, ids, copies, dim, tbl, tile_of, a, b = (x[order] for x in (cell, home, ids, copies, dim, tbl, tile_of, a, b))
-        raw = table.column("v").to_pylist()
-        head = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        cell, home, ids, tbl, tile_of, a, b = (x[order] for x in (cell, home, ids, tbl, tile_of, a, b))
+        known = np.array(sent.column("of").combine_chunks())
+        by_id = np.argsort(known)
+        at = by_id[np.searchsorted(known[by_id], ids)] if len(known) else np.zeros(0, np.int64)
+        copies = np.array(sent.column("copies").combine_chunks())[at]
+        lists = sent.column("v").combine_chunks()
+        values, edge = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+        head = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(cell) else np.zeros(0, np.int64)
         nodes, where = np.unique(ids, return_inverse=True)
         total = np.zeros(len(nodes), np.int64)
         near: list[tuple[int, np.ndarray]] = []
         for lo, hi in zip(head.tolist(), np.append(head[1:], len(cell)).tolist(), strict=True):
             if hi - lo < 2 or not home[lo:hi].any():
                 continue
-            d = int(dim[lo])
-            x = np.array([np.frombuffer(raw[r], np.float32 if len(raw[r]) == 4 * d else np.float64) for r in order[lo:hi].tolist()], np.float64)
-            unit = _unit(x)
+            here = at[lo:hi]
+            d = int(edge[here[0] + 1] - edge[here[0]])  # of all of them, as a cell's name has it
+            unit = _unit(values[edge[here][:, None] + np.arange(d)].astype(np.float64))
             for s in range(0, hi - lo, 512):
                 e = min(hi - lo, s + 512)
                 close = unit[s:e] @ unit[s:].T >= threshold
@@ -182,7 +187,7 @@ def links(vectors: DataFrame, threshold: float = 0.95, tables: int = TABLES, pro
             "other": pa.array(none * len(has) + nodes[root].tolist(), pa.int64()),
         })
 
-    return met.groupBy("bucket").applyInArrow(compare, "node long, n long, other long")
+    return met.repartition(n, "bucket").groupBy("bucket").cogroup(sent.repartition(n, "to").groupBy("to")).applyInArrow(compare, "node long, n long, other long")
 
 
 def grouped(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95, **options) -> DataFrame:
@@ -192,7 +197,8 @@ def grouped(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     good = F.col(id_col).isNotNull() & v.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0)
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.when(good, v).alias("v"))
     distinct = rows.where("v is not null").groupBy("v").agg(F.min("id").alias("first"), F.count_distinct("id").alias("copies"))
-    distinct = written(distinct, "vectors")
+    one = distinct.groupBy("first").agg(F.min(F.struct("v", "copies")).alias("x"))
+    distinct = written(one.select("first", "x.v", "x.copies"), "vectors")
     found = written(links(distinct.select(F.col("first").alias("id"), "v", "copies"), threshold, **options), "found")
     sums = found.where("n is not null").groupBy("node").agg(F.sum("n").alias("n"))
     parts = components(found.where("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v")))

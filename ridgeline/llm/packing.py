@@ -6,11 +6,13 @@ The order is cut into bins at quantiles of a hashed sample of keys; bins are pac
 that crosses a sequence's end continues in the next one. Every sequence but the last is full.
 
 Documents with equal vectors (a large group of copies) share a key; the id's hash spreads them over bins like
-any others. A bin holds about bin_tokens tokens and is the most a task holds. The driver holds a bound and a
-token count for each bin and a sample of keys, `per_bin` a bin at most.
+any others. A task sorts its bin (Spark's sort, which spills) and packs it as a stream, so it holds a batch, not a
+bin. There are at most MOST_BINS bins, whatever the data; the driver holds a bound and a token count for each and a
+sample of keys, `per_bin` a bin at most.
 
 Cases: null and empty texts are one piece with the end id; rows may repeat, each is packed; a null id is an id
-like any other; an empty table gives an empty table.
+like any other; ties in place go by the ids' checksum, then the id; other columns are left out, so none clashes;
+an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ridgeline.llm.bpe import encoder
 from ridgeline.llm.shared import map_texts, on_workers, parts_for, written
@@ -29,6 +32,7 @@ from ridgeline.llm.shared import map_texts, on_workers, parts_for, written
 LENGTH = 2048
 END_ID = 1
 VECTOR, DIMS, BITS = 64, 3, 10
+MOST_BINS = 1 << 14
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -106,9 +110,9 @@ def packed(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None,
     table = written(tokenised(docs, id_col, tokenizer_path, ranks_path, text_col), "tokens")
     width = encoder(tokenizer_path, ranks_path).dtype.itemsize
     rows, total = table.agg(F.count(F.lit(1)), F.sum("n_tokens")).first()
-    bins = parts_for(spark, total or 0, bin_tokens)
+    bins = min(parts_for(spark, total or 0, bin_tokens), MOST_BINS)
     every = max(1, rows // (bins * per_bin))
-    sample = table.where(F.pmod(F.xxhash64(F.lit(5), "place"), F.lit(every)) == 0).select("place").toArrow().column("place")
+    sample = table.where(F.rand(5) * every < 1).select("place").toArrow().column("place")
     bounds = np.unique(np.quantile(np.sort(np.array(sample)), np.linspace(0, 1, bins + 1)[1:-1], method="lower")) if len(sample) else np.zeros(0, np.int64)
 
     @F.pandas_udf("int")
@@ -120,26 +124,28 @@ def packed(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None,
     for r in sums:
         size[r["bin"]] = r["n"]
     base = np.concatenate([[0], np.cumsum(size)])
-    id_type = dict(docs.dtypes)[id_col]
-
-    def pack(group: pa.Table) -> pa.Table:
-        at = base[group.column("bin")[0].as_py()]
-        ids, n = group.column("ids").combine_chunks(), np.array(group.column("n_tokens"))
-        order = np.lexsort((n, [zlib.crc32(b.as_py()) for b in ids], np.array(group.column("place"))))
-        names = ("row", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-        out: dict[str, list] = {k: [] for k in names}
-        for row in order.tolist():
-            full = np.append(np.frombuffer(ids[row].as_py(), f"<u{width}").astype("<u4"), np.uint32(END_ID)).tobytes()
-            total, lo = len(full) // 4, 0
-            while lo < total:
-                hi = min(total, lo + length - int(at % length))
-                part = full[4 * lo : 4 * hi]
-                for k, v in zip(names, (row, lo, hi - lo, part, zlib.crc32(part), total, int(at // length), int(at % length)), strict=True):
-                    out[k].append(v)
-                at += hi - lo
-                lo = hi
-        columns = {id_col: group.column(id_col).take(pa.array(out.pop("row"), pa.int64()))}
-        return pa.table(columns | {k: pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in out.items()})
-
-    dealt = table.withColumn("bin", bin_of("place")).repartition(bins, "bin")
-    return dealt.groupBy("bin").applyInArrow(pack, f"`{id_col}` {id_type}, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+
+    def pack(batches):
+        now, at = None, 0
+        for batch in batches:
+            names = ("row", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+            out: dict[str, list] = {k: [] for k in names}
+            for row, (b, ids) in enumerate(zip(batch.column("bin").to_pylist(), batch.column("ids"), strict=True)):
+                if b != now:
+                    now, at = b, int(base[b])
+                full = np.append(np.frombuffer(ids.as_py(), f"<u{width}").astype("<u4"), np.uint32(END_ID)).tobytes()
+                total, lo = len(full) // 4, 0
+                while lo < total:
+                    hi = min(total, lo + length - at % length)
+                    part = full[4 * lo : 4 * hi]
+                    for k, v in zip(names, (row, lo, hi - lo, part, zlib.crc32(part), total, at // length, at % length), strict=True):
+                        out[k].append(v)
+                    at += hi - lo
+                    lo = hi
+            columns = {"id": batch.column("id").take(pa.array(out.pop("row"), pa.int64()))}
+            yield pa.RecordBatch.from_pydict(columns | {k: pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in out.items()})
+
+    schema = StructType([StructField("id", docs.schema[id_col].dataType)] + StructType.fromDDL("start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long").fields)
+    dealt = table.select(F.col(f"`{id_col}`").alias("id"), "place", "n_tokens", "ids", bin_of("place").alias("bin")).repartition(bins, "bin")
+    in_order = dealt.sortWithinPartitions("bin", "place", F.crc32("ids"), "n_tokens", "id")
+    return in_order.select("id", "ids", "bin").mapInArrow(pack, schema).withColumnRenamed("id", id_col)

@@ -6,7 +6,8 @@ constraints: more repeated words, more repeated lines and more symbols never rai
 flattened into node arrays and all rows of a batch walk them level by level.
 
 Cases: null and empty texts have zeros everywhere and fail the base rule; without labelled rows of both classes
-the trees are empty and the base rule alone decides; rows may repeat; an empty table gives an empty table.
+the trees are empty and the base rule alone decides; rows may repeat, and of rows with one labelled id the smallest
+text is learned from; a column to keep that is named like an output is an error; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -169,9 +170,16 @@ def sampled(labels: DataFrame, label_col: str, rows: int, id_col: str = "doc_id"
     return clean.orderBy(F.xxhash64(id_col), id_col).limit(rows).select(F.col(id_col).alias("of"), F.col("y").cast("int").alias("y"))
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label_col: str, rows: int, text_col: str = "text") -> DataFrame:
+    """(doc_id, y, text_col) of the sampled ids, one row an id however often it occurs: its smallest text."""
+    some = F.broadcast(sampled(labels, label_col, rows))  # `rows` pairs of numbers at most
+    met = docs.select("doc_id", text_col).join(some, F.col("doc_id") == F.col("of"))
+    return met.groupBy("doc_id").agg(F.min("y").alias("y"), F.min(F.struct(F.col(text_col))).alias("t")).select("doc_id", "y", F.col("t")[text_col].alias(text_col))
+
+
 def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, text_col: str = "text") -> Trees:
     """Trees from the sample; only its features come to the driver (sample_rows rows of numbers at most)."""
-    sample = docs.select("doc_id", text_col).join(F.broadcast(sampled(labels, "quality", sample_rows)), F.col("doc_id") == F.col("of")).select("doc_id", "y", text_col)
+    sample = labelled(docs, labels, "quality", sample_rows, text_col)
 
     def make():
         def f(piece: pa.RecordBatch) -> dict:

@@ -23,6 +23,8 @@ from ridgeline.llm.shared import volume
 SEED = 42
 #: Partitions of pass two at most; one may hold many buckets, which it takes one after another.
 MOST_TASKS = 20_000
+#: What a record counts for in a bucket besides its text, so that null and short texts fill buckets too.
+ROW_BYTES = 64
 
 
 def size_of(text: Column) -> Column:
@@ -39,13 +41,18 @@ def shuffled(docs: DataFrame, shards: int, *, key_col: str = "doc_id", text_col:
     """docs with shard int, slot long (0 up without gaps in each shard) and grown_shard int (with a shard more)."""
     cols = [c for c in docs.columns if c not in ("shard", "slot", "grown_shard")]
     key, text = F.col(f"`{key_col}`"), F.col(f"`{text_col}`")
-    buckets = max(1, -(-(volume(docs, f"`{text_col}`")[1] + 1) // (bucket_bytes * shards)))
+    n, size = volume(docs, f"`{text_col}`")
+    buckets = max(1, -(-(size + ROW_BYTES * n) // (bucket_bytes * shards)))
     content = F.xxhash64(F.lit(seed + 1), key, text)
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in cols)).alias("r"), content.alias("h"), shard_of(key, shards, seed).alias("s"), shard_of(key, shards + 1, seed).alias("g"),
         F.pmod(content, F.lit(buckets)).cast("int").alias("b"),
     )
-    in_order = F.array_sort(F.collect_list(F.struct("h", "g", "r")), lambda x, y: F.when(x["h"] < y["h"], -1).when(x["h"] > y["h"], 1).otherwise(0))
+    record = F.struct("h", "g", "r")
+    if "map<" in docs.schema.simpleString():  # maps have no order
+        in_order = F.array_sort(F.collect_list(record), lambda x, y: F.when(x["h"] < y["h"], -1).when(x["h"] > y["h"], 1).otherwise(0))
+    else:
+        in_order = F.sort_array(F.collect_list(record))
     # shuffle() draws from a generator a partition, so partitions and the order in them are fixed by the data alone
     dealt = rows.repartition(min(shards * buckets, MOST_TASKS), "s", "b")
     mixed = dealt.groupBy("s", "b").agg(in_order.alias("a")).sortWithinPartitions("s", "b").select("s", "b", F.shuffle("a", F.lit(seed)).alias("a"))
@@ -57,6 +64,5 @@ def shuffled(docs: DataFrame, shards: int, *, key_col: str = "doc_id", text_col:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int, **options) -> None:
-    """The shuffled records as Parquet, a folder a shard, each in slot order."""
-    out = shuffled(docs, shards, **options)
-    out.repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """The shuffled records as Parquet, a folder a shard. A file holds whole buckets in slot order; a bucket's slots follow one another."""
+    shuffled(docs, shards, **options).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

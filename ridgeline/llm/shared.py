@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -31,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="ridgeline-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -51,8 +54,11 @@ def volume(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
 
 
 def schema_of(docs: DataFrame, keep: list[str], rest: str) -> StructType:
-    """The columns of keep as in docs, whatever their names, then those of rest."""
-    return StructType([StructField(c, docs.schema[c].dataType, True) for c in keep] + StructType.fromDDL(rest).fields)
+    """The columns of keep as in docs, then those of rest; a name in both is an error (boxed() keeps such columns apart)."""
+    added = StructType.fromDDL(rest).fields
+    if both := {f.name for f in added}.intersection(keep):
+        raise ValueError(f"columns to keep have names of the output: {sorted(both)}")
+    return StructType([StructField(c, docs.schema[c].dataType, True) for c in keep] + added)
 
 
 def pa_type(docs: DataFrame, column: str) -> pa.DataType:

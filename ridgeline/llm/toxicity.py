@@ -13,8 +13,12 @@ towards a prior that counts a quoted hit for little.
 Only the text enters a score. The lexicon and the regression are fitted on a bounded sample of labelled rows
 (sample_rows, those with the smallest hash of their id); the scan covers whole texts of all documents.
 
+Terms below 5 letters and stems that need two words take no edits, so their misspellings are not caught.
+
 Cases: null and empty texts get the score of a text without hits; without labelled rows of both classes the
-lexicon is empty and every score is 0; rows may repeat; an empty table gives an empty table.
+lexicon is empty and every score is 0; rows may repeat, and of rows with one labelled id the smallest text is
+learned from; a null id is never learned from; ties in worth go to the smaller term; a column to keep that is
+named score or hits is an error; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -27,13 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.quality import sampled
+from ridgeline.llm.quality import labelled
 from ridgeline.llm.shared import flat, map_texts, parts_for, schema_of
 from ridgeline.llm.textgrid import ALNUM, LOWER, Hasher, U, mix, words
 
 SAMPLE_ROWS = 20_000
-#: Terms in the lexicon at most.
-LEXICON = 512
 STEM_LENGTHS = (3, 4, 5, 6, 7, 8)
 CONTEXT = 6
 # Words that report what others said, in four languages.
@@ -138,14 +140,13 @@ class LexiconAutomaton:
 
 
 def trained_on(doc_id: Column, not_equal: int = 1, modulus: int = 3) -> Column:
-    return F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(modulus)) != not_equal
+    """Whether a row's label may be learned from; a null id hashes as the text "null"."""
+    return F.pmod(F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("null")), "UTF-8")), F.lit(modulus)) != not_equal
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int, text_col: str) -> DataFrame:
     allowed = labels.where(trained_on(F.col("doc_id")))
-    spread = F.broadcast(sampled(allowed, "toxic", rows))
-    out = docs.select("doc_id", text_col).join(spread, F.col("doc_id") == F.col("of")).select("y", text_col)
-    return out.repartition(parts_for(docs.sparkSession, rows, 4_000))
+    return labelled(docs, allowed, "toxic", rows, text_col).select("y", text_col).repartition(parts_for(docs.sparkSession, rows, 4_000))
 
 
 def _term_counts(sample: DataFrame, text_col: str) -> DataFrame:
@@ -192,14 +193,14 @@ def _term_counts(sample: DataFrame, text_col: str) -> DataFrame:
     return counts.groupBy("term", "stem", "need").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learned_terms(counts: DataFrame, n_toxic: int, n_clean: int, least: int = 8, ratio: float = 20.0, size: int = LEXICON) -> list[Term]:
+def learned_terms(counts: DataFrame, n_toxic: int, n_clean: int, least: int = 8, ratio: float = 20.0) -> list[Term]:
     """Terms whose rate among toxic documents is `ratio` times that among clean ones. Of words and stems that stand
     for each other's words, those are taken first that cover most at the surest rate."""
     if not n_toxic or not n_clean:
         return []
     rate = (F.col("toxic") / n_toxic) / ((F.col("clean") + 3) / (n_clean + 3))  # a rare term's rate is held for lower
     good = counts.where((F.col("toxic") >= least) & (rate >= ratio)).withColumn("rate", F.log(rate)).withColumn("worth", F.col("toxic") * F.col("rate"))
-    found = good.orderBy(F.desc("worth"), "need", "stem", F.length("term"), "term").limit(64 * size).collect()
+    found = good.orderBy(F.desc("worth"), "need", "stem", F.length("term"), "term").collect()
     # a stem has to be worth a quarter more than the longer terms that it begins, else these stand for themselves
     longer: dict[str, float] = {}
     for r in found:
@@ -211,7 +212,7 @@ def learned_terms(counts: DataFrame, n_toxic: int, n_clean: int, least: int = 8,
         if t not in chosen and (not r["stem"] or r["worth"] >= 1.25 * longer.get(t, 0.0)):
             chosen[t] = Term(t, r["stem"], edits_for(t) if r["need"] == 1 else 0, r["need"], r["rate"])
     covered = lambda t: any(t[:k] in chosen and chosen[t[:k]].stem for k in range(1, len(t)))
-    return [t for t in chosen.values() if not covered(t.text)][:size]
+    return [t for t in chosen.values() if not covered(t.text)]
 
 
 def hits(text: str, words_with_places: list[tuple[str, int, int]], found: dict[str, tuple[int, int]]) -> list[tuple[int, int, bool, int]]:
@@ -267,29 +268,6 @@ def _scan(piece: pa.RecordBatch, text_col: str, automaton: LexiconAutomaton) ->
         exact, wrong, told = (sum(k.values()) for k in by_kind)
         x[d, 1:] = exact + MISSPELLED * wrong + QUOTED * told, wrong, told, np.log1p(plain)
     return x, where
-    raw = low.tobytes()
-    hashes, at, inv = np.unique(Hasher(low).spans(starts, ends), return_index=True, return_inverse=True)
-    found: dict[str, tuple[int, int]] = {}
-    hit = np.zeros(len(hashes), bool)
-    for k, (a, b) in enumerate(zip(starts[at].tolist(), ends[at].tolist(), strict=True)):
-        w = raw[a:b].decode("utf-8", "replace")
-        m = automaton.match(w)
-        if m is not None:
-            found[w], hit[k] = m, True
-    places = np.flatnonzero(hit[inv])
-    for d in np.unique(np.searchsorted(first, places, "right") - 1):
-        own = slice(first[d], first[d + 1])
-        text = raw[off[d] : off[d + 1]].decode("utf-8", "replace")
-        base = off[d]
-        # places as code points of the text
-        char = np.concatenate([[0], np.cumsum((low[off[d] : off[d + 1]] & 0xC0) != 0x80)])
-        spans = [(raw[a:b].decode("utf-8", "replace"), int(char[a - base]), int(char[b - base])) for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
-        where[d] = hits(text, spans, found)
-        times = Counter(t for _, t, _, _ in where[d])
-        kinds = np.bincount([4 if times[t] < automaton.terms[t].need else 3 if q else 1 + (e > 0) for e, t, q, _ in where[d]], minlength=len(PRIOR))
-        x[d, 1:5] = np.log1p(kinds[1:5])
-        x[d, 5] = kinds[1] > 0
-    return x, where
 
 
 def regression(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, pull: float = 0.5) -> np.ndarray:
@@ -312,7 +290,7 @@ class Model:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, text_col: str = "text") -> Model:
-    """The lexicon and weights. Of the sample only numbers come to the driver, and at most LEXICON terms."""
+    """The lexicon and weights. Of the sample, a row an id, only numbers come to the driver, and the terms that pass the bounds."""
     sample = _sample(docs, labels, sample_rows, text_col)
     n = {r["y"]: r["n"] for r in sample.groupBy((F.col("y") > 0).alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
     terms = learned_terms(_term_counts(sample, text_col), n.get(True, 0), n.get(False, 0))

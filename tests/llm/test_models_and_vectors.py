@@ -53,17 +53,34 @@ def test_lattice_links(spark):
     rows += [(2000 + k, (base[0] + 0.02 * rng.normal(size=16)).tolist()) for k in range(70)] + [(3000 + k, base[1].tolist()) for k in range(40)]
     rows += [(4000, None), (4001, [0.0] * 16), (4002, [1.0, None] + [0.0] * 14), (4003, [float("nan")] * 16), (4004, [float("inf")] + [1.0] * 15), (4005, []), (4006, [1.0, 0.0]), (4007, [2.0, 0.001]), (None, base[2].tolist())]
     rows += [(7, base[7].tolist())]  # a repeated row
+    rows += [(5000 + k, (base[3] * s).tolist()) for k, s in enumerate((1e200, 1e-200, 1e300))]  # squares out of range
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(1))
     got = {r.id: r for r in lattice.grouped(frame, tile=32).collect() if r.id is not None}
-    valid = {i: np.array(v) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.abs(v).max() > 0}
+    valid = {i: np.array(v) / np.abs(v).max() for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.abs(v).max() > 0}
     links = {i: {j for j in valid if j != i and len(valid[j]) == len(valid[i]) and valid[i] @ valid[j] / np.linalg.norm(valid[i]) / np.linalg.norm(valid[j]) >= 0.95} for i in valid}
     total = sum(map(len, links.values()))
     assert all(got[i].n_links <= len(links[i]) for i in valid) and sum(got[i].n_links for i in valid) >= 0.97 * total
     assert all(got[i].n_links == 0 and got[i].component == i and got[i].kept for i in (4000, 4001, 4002, 4003, 4004, 4005))
+    assert all(got[5000 + k].component == 3 and got[5000 + k].n_links >= 3 for k in range(3))
     assert got[3039].component == 1 and got[3039].n_links >= 39 and not got[3039].kept
     assert lattice.grouped(frame.limit(0)).count() == 0
 
 
+def test_lattice_recall_at_64_dimensions(spark):
+    """Pairs planted at cosines from 0.95 up, each with a partner of its own."""
+    rng = np.random.default_rng(11)
+    base, side = rng.normal(size=(2, 600, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    c = np.linspace(0.9505, 0.995, 600)[:, None]
+    other = c * base + np.sqrt(1 - c * c) * side
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([base, other]))], "vec_id long, embedding array<float>")
+    got = {r.id: r for r in lattice.grouped(frame).collect()}
+    assert sum(got[600 + k].component == k for k in range(600)) >= 590
+    assert all(got[k].n_links <= 1 for k in range(1200))
+
+
 def brute_base(rows):
     held = lambda i: zlib.crc32(("null" if i is None else str(i)).encode()) % 7 == 2
     count = Counter()

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ridgeline.llm import bpe, licenses, packing, quality, sharding, simhash, suffix, toxicity
+from ridgeline.llm import bpe, grulm, licenses, packing, quality, sharding, simhash, suffix, toxicity
 from ridgeline.llm.queries import tokenizer_files
 from ridgeline.llm.shared import boxed
 
@@ -133,9 +133,9 @@ def brute_repeats(rows, width=50):
     return Counter(out)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 14, 3 << 19])
-def test_suffix_dedup_is_brute_force(docs, rows, block_bytes):
-    got = suffix.deduplicated(docs.select("doc_id", "text"), ["doc_id"], block_bytes=block_bytes).withColumn("sha", F.sha2("kept", 256)).collect()
+@pytest.mark.parametrize(("block_bytes", "hot"), [(1 << 14, 1024), (3 << 19, 1024), (1 << 14, 2)])
+def test_suffix_dedup_is_brute_force(docs, rows, block_bytes, hot):
+    got = suffix.deduplicated(docs.select("doc_id", "text"), ["doc_id"], block_bytes=block_bytes, hot=hot).withColumn("sha", F.sha2("kept", 256)).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.sha) for r in got) == brute_repeats(rows)
     assert all(sum(s["end"] - s["start"] for s in r.spans) == r.n_removed for r in got)
 
@@ -347,6 +347,73 @@ def test_shards_follow_the_key(docs, rows):
     assert key(out) == key(again)  # whatever the partitions
 
 
+def test_sharding_is_brute_force(spark, docs, rows):
+    """Shards, grown shards and slots worked out again row by row, but for the order within a bucket."""
+    got = sharding.shuffled(docs.select("doc_id", "text"), 5, bucket_bytes=1 << 12)
+    n, size = len(rows), sum(len((t or "").encode()) for _, t in rows)
+    buckets = -(-(size + sharding.ROW_BYTES * n) // ((1 << 12) * 5))
+    assert buckets > 3
+    hashed = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id", "text", F.xxhash64(F.lit(sharding.SEED + 1), "doc_id", "text").alias("c"), *(F.xxhash64(F.lit(sharding.SEED), F.lit(i), "doc_id").alias(f"h{i}") for i in range(6))
+    )
+    want: dict = {}
+    for r in hashed.collect():
+        shard, grown = (max((r[f"h{i}"], i) for i in range(k))[1] for k in (5, 6))
+        want.setdefault((shard, r.c % buckets), []).append((r.doc_id or -1, r.text or "", grown))
+    laid: dict = {}
+    for r in got.collect():
+        laid.setdefault(r.shard, {})[r.slot] = (r.doc_id or -1, r.text or "", r.grown_shard)
+    moved = 0
+    for s, of_shard in laid.items():
+        at = 0
+        for b in sorted(b for t, b in want if t == s):
+            own = want[s, b]
+            here = [of_shard[at + k] for k in range(len(own))]
+            assert sorted(here) == sorted(own)
+            moved += here != sorted(here)
+            at += len(own)
+        assert at == len(of_shard)
+    assert moved > 0
+
+
+def test_null_texts_fill_buckets(spark, tmp_path):
+    many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    got = sharding.shuffled(many, 2, bucket_bytes=1 << 16)
+    assert got.count() == 20_000
+    sharding.write_shards(many, f"{tmp_path}/shards", 2, bucket_bytes=1 << 16)
+    back = spark.read.parquet(f"{tmp_path}/shards").withColumn("file", F.input_file_name())
+    assert back.count() == 20_000
+    per_shard = back.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.count_distinct("slot").alias("d"), F.count_distinct("file").alias("files"))
+    assert all(r.lo == 0 and r.hi == r.n - 1 and r.d == r.n and r.files > 1 for r in per_shard.collect())
+
+
+# --- hashes of spans
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_thue_morse_texts_are_told_apart(spark, n):
+    """Such a text and its complement are alike for polynomials modulo a power of two, whatever the base."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    b = a.translate({97: 98, 98: 97})
+    rows = [(1, f"{a}\n{b}\n{a} {b} {a} {b}"), (2, f"{b}\n{a}"), (3, a), (4, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = quality.judged(docs, quality.fitted(docs, labels_of(spark, [])), ["doc_id"]).collect()
+    assert Counter((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == Counter(brute_statistics(t) for _, t in rows)
+    got = suffix.deduplicated(docs, ["doc_id"]).withColumn("sha", F.sha2("kept", 256)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.sha) for r in got) == brute_repeats(rows)
+    score = {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens) for r in grulm.scored(docs).collect()}
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2}
+    n_train = sum(len(t.split()) + 1 for i, t in rows if i not in held)
+    words = {w for i, t in rows if i not in held for w in t.split()}
+    assert score == {i: (len(t.split()) + 1, sum(w in words for w in t.split()) + 1, n_train) for i, t in rows}
+
+
+def test_names_of_outputs_are_refused(docs):
+    for f in (lambda: quality.judged(docs, quality.Trees(*[__import__("numpy").zeros((0, 1))] * 3, 0.0), ["kept"]), lambda: toxicity.scored(docs, toxicity.Model([], None), ["score"])):
+        with pytest.raises(ValueError, match="names of the output"):
+            f()
+
+
 # --- toxicity
 
 
