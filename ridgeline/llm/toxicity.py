@@ -146,7 +146,9 @@ def trained_on(doc_id: Column, not_equal: int = 1, modulus: int = 3) -> Column:
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int, text_col: str) -> DataFrame:
     allowed = labels.where(trained_on(F.col("doc_id")))
-    return labelled(docs, allowed, "toxic", rows, text_col).select("y", text_col).repartition(parts_for(docs.sparkSession, rows, 4_000))
+    # copies tell no more than one of them: a word of theirs would look like one that many toxic documents share
+    once = labelled(docs, allowed, "toxic", rows, text_col).groupBy(text_col).agg(F.max("y").alias("y"))
+    return once.select("y", text_col).repartition(parts_for(docs.sparkSession, rows, 4_000))
 
 
 def _term_counts(sample: DataFrame, text_col: str) -> DataFrame:
