@@ -32,7 +32,7 @@ from ridgeline.llm.shared import map_texts, schema_of
 from ridgeline.llm.textgrid import Rolling, U
 
 #: Pre-tokens and joins that a worker keeps; the table starts anew beyond that.
-CACHE = 400_000
+CACHE = 100_000
 #: A cut where the hash of WINDOW bytes ends in CUT_BITS zero bits: one in 2**CUT_BITS places.
 WINDOW, CUT_BITS = 24, 9
 # Fixed value: the pre-tokens of byte-level BPE vocabularies, as regex's syntax has them.

@@ -19,6 +19,8 @@ from pyspark.sql.types import StructField, StructType
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of text that a worker holds as numpy arrays at a time.
 PIECE_BYTES = 1 << 20
+#: Workers are reused from task to task: what arrays leave behind goes back to the system, not to a worker's heap.
+_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(8 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system", "OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1"}
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -26,6 +28,8 @@ def on_workers(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
+    for name, value in _MEMORY.items():
+        env.setdefault(name, value)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, keep: list[str], n: int = 4, seed: int = 42, t
 
         return f
 
-    return map_texts(docs, [*keep, text_col], schema_of(docs, keep, "fp long"), make, text_col, limit=4 << 20)
+    return map_texts(docs, [*keep, text_col], schema_of(docs, keep, "fp long"), make, text_col)
 
 
 def within(fps: np.ndarray, group: np.ndarray, radius: int = 4, chunk: int = 1 << 19) -> Iterator[tuple[int, np.ndarray]]:

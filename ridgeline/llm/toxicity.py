@@ -191,7 +191,7 @@ def _term_counts(sample: DataFrame, text_col: str) -> DataFrame:
 
         return f
 
-    counts = map_texts(sample, ["y", text_col], "term string, stem boolean, need int, toxic long, clean long", make, text_col, limit=4 << 20)
+    counts = map_texts(sample, ["y", text_col], "term string, stem boolean, need int, toxic long, clean long", make, text_col)
     return counts.groupBy("term", "stem", "need").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
