@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.llm.quality import labelled
-from ridgeline.llm.shared import flat, map_texts, parts_for, schema_of
+from ridgeline.llm.shared import flat, map_texts, parts_for, schema_of, written
 from ridgeline.llm.textgrid import ALNUM, LOWER, Hasher, U, mix, words
 
 SAMPLE_ROWS = 20_000
@@ -293,7 +293,7 @@ class Model:
 
 def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, text_col: str = "text") -> Model:
     """The lexicon and weights. Of the sample, a row an id, only numbers come to the driver, and the terms that pass the bounds."""
-    sample = _sample(docs, labels, sample_rows, text_col)
+    sample = written(_sample(docs, labels, sample_rows, text_col), "sample")
     n = {r["y"]: r["n"] for r in sample.groupBy((F.col("y") > 0).alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
     terms = learned_terms(_term_counts(sample, text_col), n.get(True, 0), n.get(False, 0))
     if not terms:
