@@ -34,10 +34,14 @@ def duplicate_key(x: Column) -> Column:
     return F.replace(F.replace(slug(x), F.lit("_trail"), F.lit("")), F.lit("trail_"), F.lit(""))
 
 
+# Numbered sections, the jump section, a leading three-digit number, then all but letters and digits go.
+RESORT_DROPPED = (r"\b(sektion|section)\s*\d+\b", r"\bjump\s*section\b", r"^\d{3}\s*", "[^a-z0-9]")
+
+
 def resort_key(x: Column) -> Column:
     """Folded letters; section numbers and a leading three-digit number go."""
     x = _replaced(F.lower(x), FOLDED)
-    for pattern in (r"\b(sektion|section)\s*\d+\b", r"\bjump\s*section\b", r"^\d{3}\s*", "[^a-z0-9]"):
+    for pattern in RESORT_DROPPED:
         x = F.regexp_replace(x, pattern, "")
     return x
 

@@ -118,6 +118,11 @@ def greedy_survivors(nodes: DataFrame, conflicts: DataFrame, node: str = "id", m
     return nodes if gone is None else nodes.join(gone.withColumnRenamed("b", node).distinct(), node, "left_anti")
 
 
+# Fixed values of a shape: times the tolerance that a contained line leaves the other, that a junction's tail climbs over
+# it, and that a step may fall back by; the share of rising steps in a tail; the share of points that lie near.
+STRAY, TAIL, SLACK, RISING, MOSTLY = 3, 4, 0.25, 0.75, 0.6
+
+
 def profile_shape(near_m: Column, tol: float = 20.0) -> Column:
     """'subsumed', 'junction' or 'unclear' for an array of distances along a line."""
 
@@ -126,7 +131,7 @@ def profile_shape(near_m: Column, tol: float = 20.0) -> Column:
         near = d <= tol
         if n < 4:
             return "unclear"
-        if near.all() or d.max() <= 3 * tol:
+        if near.all() or d.max() <= STRAY * tol:
             return "subsumed"
         edge = np.flatnonzero(np.diff(np.concatenate([[0], near.astype(int), [0]])))
         if not len(edge):
@@ -135,11 +140,11 @@ def profile_shape(near_m: Column, tol: float = 20.0) -> Column:
         k = int((ends - starts).argmax())
         a, b = starts[k], ends[k]
         tail = d[b:] if a == 0 else d[:a][::-1] if b == n else None
-        if tail is not None and len(tail) >= 3 and (np.diff(tail) >= -0.25 * tol).mean() >= 0.75 and tail.max() > 4 * tol:
+        if tail is not None and len(tail) >= 3 and (np.diff(tail) >= -SLACK * tol).mean() >= RISING and tail.max() > TAIL * tol:
             return "junction"
         if a > 0 and b < n:
-            return "subsumed" if max(d[:a].max(), d[b:].max()) <= 4 * tol else "unclear"
-        return "subsumed" if (b - a) / n >= 0.6 else "unclear"
+            return "subsumed" if max(d[:a].max(), d[b:].max()) <= TAIL * tol else "unclear"
+        return "subsumed" if (b - a) / n >= MOSTLY else "unclear"
 
     @F.pandas_udf("string")
     def classify(rows: pd.Series) -> pd.Series:

@@ -6,6 +6,7 @@ Every scan takes a DataFrame with a text column, from spark.read.text(path, whol
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,23 +17,46 @@ def read_whole(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def _number(x: Column, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(x, pattern, group), F.lit("")).try_cast("double")
+def attribute(tag: Column, name: str) -> Column:
+    """A tag's attribute by name, in either quotes; null if it has none."""
+    quoted = F.regexp_extract(tag, rf"""\s{name}\s*=\s*("[^"]*"|'[^']*')""", 1)
+    return F.when(quoted != "", quoted.substr(F.lit(2), F.length(quoted) - 2))
 
 
-def _points(files: DataFrame, tag: str, text: str) -> Column:
-    return F.regexp_extract_all(F.col(text), F.lit(rf"(?s)(<{tag}\b(?:[^>]*?/>|[^>]*?>.*?</{tag}>))"), F.lit(1))
+def elements(text: Column, name: str) -> Column:
+    """Whole elements of a name in order, as strings: those with a body, and those that close themselves."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(<{name}(?=[\s/>])[^>]*(?:(?<=/)>|(?<!/)>.*?</{name}\s*>))"), F.lit(1))
+
+
+def opening(element: Column) -> Column:
+    return F.substring_index(element, ">", 1)
+
+
+def body(element: Column) -> Column:
+    """What stands between an element's opening tag and its closing one."""
+    rest = F.substring(element, F.length(opening(element)) + 2, F.length(element))
+    return F.regexp_replace(rest, r"</[^<]*$", "")
+
+
+def plain(x: Column) -> Column:
+    """Text without tags and outer spaces."""
+    return F.trim(F.regexp_replace(x, "<[^>]*>", ""))
+
+
+def number(x: Column) -> Column:
+    return F.trim(x).try_cast("double")
 
 
 def gpx_points(files: DataFrame, key: str = "path", text: str = "text") -> DataFrame:
     """(key, seq, lat, lon, ele): track points, or route points where there are none; points without both coordinates are
     skipped, an absent height is null."""
-    track = _points(files, "trkpt", text)
-    found = F.when(F.size(track) > 0, track).otherwise(_points(files, "rtept", text))
+    track = elements(F.col(text), "trkpt")
+    found = F.when(F.size(track) > 0, track).otherwise(elements(F.col(text), "rtept"))
     rows = files.select(key, F.posexplode(found).alias("pos", "p"))
-    attrs = F.regexp_extract("p", r"(?s)^<\w+\b([^>]*)>", 1)
-    ele = _number(F.col("p"), r"<ele>\s*(?:<!\[CDATA\[)?\s*([-\d.]+)\s*(?:\]\]>)?\s*</ele>")
-    rows = rows.select(key, "pos", _number(attrs, r'lat="([-\d.]+)"').alias("lat"), _number(attrs, r'lon="([-\d.]+)"').alias("lon"), ele.alias("ele")).where("lat is not null and lon is not null")
+    height = body(F.try_element_at(elements(F.col("p"), "ele"), F.lit(1)))
+    height = F.replace(F.replace(height, F.lit("<![CDATA["), F.lit("")), F.lit("]]>"), F.lit(""))
+    rows = rows.select(key, "pos", opening(F.col("p")).alias("o"), height.alias("h"))
+    rows = rows.select(key, "pos", number(attribute(F.col("o"), "lat")).alias("lat"), number(attribute(F.col("o"), "lon")).alias("lon"), number(F.col("h")).alias("ele")).where("lat is not null and lon is not null")
     from ridgeline.operators.lines import along
 
     return rows.withColumn("seq", F.row_number().over(along(key, "pos")) - 1).select(key, "seq", "lat", "lon", "ele")
@@ -46,12 +70,13 @@ def unescaped(x: Column) -> Column:
 
 
 def gpx_name(text: Column) -> Column:
-    """The track's name without entities, leading numbers and quotes; null if there is none."""
-    meta = F.regexp_extract(text, r"(?s)<metadata>.*?<name>(.*?)</name>", 1)
-    name = F.trim(unescaped(F.when(meta != "", meta).otherwise(F.regexp_extract(text, r"(?s)<name>(.*?)</name>", 1))))
-    name = F.trim(F.regexp_replace(name, r"^\s*(?:TC|\d+)\s*", ""))
-    name = F.regexp_replace(F.trim(F.regexp_replace(name, '^["“”]+|["“”]+$', "")), r"\s+", " ")
-    return F.when(text.rlike(r"(?s)<name>.*?</name>"), name)
+    """The name of the metadata, else the first name there is, without entities, a number or the letters TC before it, and quotes; null if there is none."""
+    first = lambda x, name: F.try_element_at(elements(x, name), F.lit(1))
+    name = F.coalesce(body(first(first(text, "metadata"), "name")), body(first(text, "name")))
+    name = F.ltrim(F.trim(unescaped(name)))
+    digits = F.length(name) - F.length(F.ltrim(name, F.lit("0123456789")))
+    name = F.trim(F.when(digits > 0, F.ltrim(name, F.lit("0123456789"))).when(F.startswith(name, F.lit("TC")), F.substring(name, 3, 1 << 30)).otherwise(name))
+    return F.array_join(F.filter(F.split(F.trim(F.btrim(name, F.lit('"“”'))), r"\s"), lambda w: w != ""), " ")
 
 
 def triples(x: Column, separator: str, lon_first: bool = True, drop_zero: bool = False) -> Column:
@@ -71,21 +96,29 @@ def kml_points(files: DataFrame, key: str = "path", text: str = "text") -> DataF
     return files.select(key, F.posexplode(points).alias("seq", "p")).select(key, "seq", "p.*")
 
 
+# What a listing page calls its table, its difficulty marks, its hidden lines and its links' kinds.
+LISTING_TABLE, DIFFICULTY_MARK, HIDDEN_MARK, LINE_LINK, AREA_LINK = "trails_table", "dicon_small", "hidden_trail", "trails", "region"
+
+
 def listing_rows(pages: DataFrame, key: str = "page", html: str = "html") -> DataFrame:
     """Rows of a listing table: slug, name, diff, area, area_slug, m, down, up, hidden. The difficulty is the title of the
-    row's difficulty mark, not the first title in it; rows with under six cells or without a link are none."""
-    after = F.substring_index(F.substring_index(F.col(html), 'id="trails_table"', -1), "</table>", 1)
-    table = F.when(F.contains(F.col(html), F.lit('id="trails_table"')), after)
-    rows = pages.select(key, F.posexplode(F.regexp_extract_all(table, F.lit(r"(?s)<tr\s*>(.*?)</tr>"), F.lit(1))).alias("row_no", "r"))
-    get = lambda pattern, i: F.nullif(F.regexp_extract("r", pattern, i), F.lit(""))
-    link = r'(?s)trailforks\.com/trails/([A-Za-z0-9_-]+)/"([^>]*)>(.*?)</a>'
-    area = r'(?s)trailforks\.com/region/([A-Za-z0-9_-]+)/">(.*?)</a>'
-    numbers = F.regexp_extract_all(F.col("r"), F.lit(r'data-v="(-?[\d.]+)"'), F.lit(1))
-    plain = lambda x: F.trim(F.regexp_replace(x, "<[^>]+>", ""))
-    cells = F.size(F.regexp_extract_all(F.col("r"), F.lit(r"(?s)(<td[^>]*>.*?</td>)"), F.lit(1)))
-    return rows.where((cells >= 6) & F.col("r").rlike(link)).select(
-        key, "row_no", get(link, 1).alias("slug"), plain(get(link, 3)).alias("name"), get(r'class="dicon_small[^"]*"\s+title="([^"]*)"', 1).alias("diff"), plain(get(area, 2)).alias("area"), get(area, 1).alias("area_slug"),
-        *(F.try_element_at(numbers, F.lit(i + 1)).try_cast("double").alias(c) for i, c in enumerate(("m", "down", "up"))), F.contains(F.regexp_extract("r", link, 2), F.lit("hidden_trail")).alias("hidden"),
+    row's difficulty mark, not the first title in it; rows with under six cells or without a link are none.
+
+    Rows and cells are cut first; links, marks and values are then read by their attributes' names."""
+    page = F.col(html)
+    table = F.filter(elements(page, "table"), lambda t: attribute(opening(t), "id") == LISTING_TABLE)
+    rows = pages.select(key, F.posexplode(elements(F.try_element_at(table, F.lit(1)), "tr")).alias("row_no", "r"))
+    rows = rows.select(key, "row_no", elements(F.col("r"), "td").alias("cells"), elements(F.col("r"), "a").alias("links"), elements(F.col("r"), "span").alias("marks"))
+    path = lambda link: F.filter(F.split(attribute(opening(link), "href"), "/"), lambda x: x != "")
+    of_kind = lambda kind: F.filter(F.col("links"), lambda x: F.try_element_at(path(x), F.lit(-2)) == kind)
+    titled = F.filter(F.col("marks"), lambda x: F.coalesce(F.startswith(attribute(opening(x), "class"), F.lit(DIFFICULTY_MARK)), F.lit(False)))
+    values = F.filter(F.transform(F.col("cells"), lambda c: number(attribute(opening(c), "data-v"))), lambda v: v.isNotNull())
+    first = lambda x: F.try_element_at(x, F.lit(1))
+    found = rows.where(F.size("cells") >= 6).select(key, "row_no", first(of_kind(LINE_LINK)).alias("line"), first(of_kind(AREA_LINK)).alias("area_link"), first(titled).alias("mark"), values.alias("v"))
+    slug = lambda link: F.try_element_at(path(F.col(link)), F.lit(-1))
+    return found.where("line is not null").select(
+        key, "row_no", slug("line").alias("slug"), plain(body(F.col("line"))).alias("name"), attribute(opening(F.col("mark")), "title").alias("diff"), plain(body(F.col("area_link"))).alias("area"), slug("area_link").alias("area_slug"),
+        *(F.try_element_at("v", F.lit(i + 1)).alias(c) for i, c in enumerate(("m", "down", "up"))), F.coalesce(F.contains(attribute(opening(F.col("line")), "class"), F.lit(HIDDEN_MARK)), F.lit(False)).alias("hidden"),
     )
 
 
@@ -112,20 +145,15 @@ def decoded_polyline(x: Column, precision: int = 5) -> Column:
             if line is None:
                 out.append(None)
                 continue
-            values, value, shift = [], 0, 0
-            for c in line:
-                b = ord(c) - 63
-                value |= (b & 31) << shift
-                shift += 5
-                if b < 32:
-                    values.append(~(value >> 1) if value & 1 else value >> 1)
-                    value = shift = 0
-            lat = lon = 0
-            points = []
-            for i in range(0, len(values) - 1, 2):
-                lat, lon = lat + values[i], lon + values[i + 1]
-                points.append({"lat": lat / scale, "lon": lon / scale})
-            out.append(points)
+            code = np.frombuffer(line.encode("latin-1", "replace"), np.uint8).astype(np.int64) - 63
+            last = np.flatnonzero(code < 32)  # a number's last five bits
+            code = code[: last[-1] + 1] if len(last) else code[:0]
+            first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
+            place = np.arange(len(code)) - np.repeat(first, np.diff(np.append(first, len(code))))
+            raw = np.add.reduceat((code & 31) << (5 * place), first) if len(first) else first
+            steps = np.where(raw & 1, ~(raw >> 1), raw >> 1)
+            points = np.cumsum(steps[: len(steps) // 2 * 2].reshape(-1, 2), axis=0) / scale
+            out.append([{"lat": a, "lon": b} for a, b in points.tolist()])
         return pd.Series(out)
 
     return decode(x)
@@ -134,13 +162,14 @@ def decoded_polyline(x: Column, precision: int = 5) -> Column:
 def page_geometry(pages: DataFrame, key: str = "slug", html: str = "html") -> DataFrame:
     """(key, c, p): a page's encoded line decoded, and its chart points (x, ele, lat, lon), numbers quoted or not; null where absent.
     A page that has neither is a row of nulls, so it differs from a page never fetched."""
-    path = F.replace(F.nullif(F.regexp_extract(html, r"encodedpath:\s*'([^']*)'", 1), F.lit("")), F.lit("\\\\"), F.lit("\\"))
-    number = r'"?([-\d.]+)"?'
-    after = F.when(F.contains(F.col(html), F.lit("new ElevationChart(")), F.substring(F.substring_index(html, "new ElevationChart(", -1), 1, 400_000))
-    found = F.regexp_extract_all(after, F.lit(rf'(\{{"id":\d+,"x":{number},"y":{number},"lat":{number},"lng":{number})'), F.lit(1))
-    names = (("x", "x"), ("y", "ele"), ("lat", "lat"), ("lng", "lon"))
-    points = F.transform(found, lambda m: F.struct(*(F.regexp_extract(m, f'"{a}":{number}', 1).try_cast("double").alias(b) for a, b in names)))
-    return pages.select(key, decoded_polyline(path).alias("c"), F.when(F.size(points) > 0, points).alias("p"))
+    quoted = F.substring_index(F.substring_index(html, "encodedpath", -1), "'", 2)
+    path = F.when(F.contains(F.col(html), F.lit("encodedpath")), F.replace(F.substring_index(quoted, "'", -1), F.lit("\\\\"), F.lit("\\")))
+    # whole objects of numbers after the chart's marker, then each number by its name
+    chart = F.when(F.contains(F.col(html), F.lit("new ElevationChart(")), F.substring_index(html, "new ElevationChart(", -1))
+    value = lambda o, name: number(F.replace(F.regexp_extract(o, f'"{name}"\\s*:([^,}}]*)', 1), F.lit('"'), F.lit("")))
+    objects = F.transform(F.regexp_extract_all(chart, F.lit(r"(\{[^{}]*\})"), F.lit(1)), lambda o: F.struct(value(o, "x").alias("x"), value(o, "y").alias("ele"), value(o, "lat").alias("lat"), value(o, "lng").alias("lon")))
+    points = F.filter(objects, lambda o: o["x"].isNotNull() & o["ele"].isNotNull() & o["lat"].isNotNull() & o["lon"].isNotNull())
+    return pages.select(key, decoded_polyline(F.nullif(path, F.lit(""))).alias("c"), F.when(F.size(points) > 0, points).alias("p"))
 
 
 def osm_ways(responses: DataFrame, body: str = "text") -> DataFrame:

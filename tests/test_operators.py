@@ -6,7 +6,7 @@ from ridgeline.operators import chain, facets, graph, lines, nearest, ranking, r
 from ridgeline.sources import scans, sinks
 from ridgeline.streaming import tracks
 
-GPX = """<gpx><metadata><name>787 &quot;Ribs &amp; Co&quot;</name></metadata><trk><trkseg><trkpt lon="10.5" lat="46.5"><ele><![CDATA[1500]]></ele></trkpt>
+GPX = """<gpx><metadata><name>412 &quot;Crag &amp; Fern&quot;</name></metadata><trk><trkseg><trkpt lon="10.5" lat="46.5"><ele><![CDATA[1500]]></ele></trkpt>
 <trkpt lat="46.6" lon="10.6"/><trkpt lat="46.7"></trkpt><trkpt lat="-46.8" lon="-10.7"><ele> 1490.5 </ele></trkpt></trkseg></trk></gpx>"""
 
 
@@ -20,7 +20,7 @@ def test_gpx_scan(spark):
     got = [(r.path, r.seq, r.lat, r.lon, r.ele) for r in scans.gpx_points(files).orderBy("path", "seq").collect()]
     assert got == [("a", 0, 46.5, 10.5, 1500.0), ("a", 1, 46.6, 10.6, None), ("a", 2, -46.8, -10.7, 1490.5), ("b", 0, 1.0, 2.0, None)]
     names = {r.path: r.n for r in files.select("path", scans.gpx_name(F.col("text")).alias("n")).collect()}
-    assert names["a"] == "Ribs & Co" and names["b"] is None
+    assert names["a"] == "Crag & Fern" and names["b"] is None
 
 
 def test_kml_and_triples(spark):
@@ -58,6 +58,8 @@ def test_halves_collapse_as_often_as_they_repeat(spark):
 def test_page_geometry_and_halves(spark):
     html = """encodedpath: '_p~iF~ps|U_ulLnnqC'; new ElevationChart({"id":1,"x":"0","y":1500,"lat":"46.5","lng":"10.5"},{"id":2,"x":10.5,"y":"1490","lat":46.6,"lng":10.6})"""
     pages = spark.createDataFrame([("a", html), ("b", "nothing")], "slug string, html string")
+    far = 'new ElevationChart(' + ",".join('{"id":%d,"x":%d,"y":1,"lat":2,"lng":3}' % (i, i) for i in range(20_000)) + ")"
+    assert len(far) > 400_000 and len(scans.page_geometry(spark.createDataFrame([("c", far)], "slug string, html string")).first().p) == 20_000
     got = {r.slug: r for r in scans.page_geometry(pages).collect()}
     assert len(got["a"].c) == 2 and [(p.x, p.ele, p.lat, p.lon) for p in got["a"].p] == [(0.0, 1500.0, 46.5, 10.5), (10.5, 1490.0, 46.6, 10.6)]
     assert got["b"].c is None and got["b"].p is None
