@@ -1,74 +1,95 @@
 """Recorded tracks against a network of known lines: which stretch rode which line, which way.
 
 One cell join finds each point's nearest line within the loose threshold; the strict label is the same line where it is
-near enough. Votes, runs and their thresholds then run per track in Python, as each track's point spacing turns metres
-into points; a track is one group in memory. Places along the matched lines come from an equality join on the line.
+near enough. A track's spacing turns metres into points, so windows, gaps and least lengths are columns. Votes are an
+aggregate over the places each point votes for; runs, their merging and turns are windows by track. No track is
+gathered, and nothing is collected.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ridgeline.functions.geo import edge_projection, haversine_m
-from ridgeline.operators.lines import cumulative_km, line_measures
+from ridgeline.operators.lines import along, cumulative_km, line_measures
 from ridgeline.operators.nearest import edges_of, label_points
-
-Run = tuple[object, int, int]
-
-
-def voted(labels: list, window: int) -> list:
-    """Majority of a centred window, cut off at the ends; None is a label, the first seen wins ties."""
-    half, n = window // 2, len(labels)
-    return [Counter(labels[max(0, i - half) : i + half + 1]).most_common(1)[0][0] for i in range(n)]
-
-
-def runs_of(labels: list) -> list[Run]:
-    cut = [i for i in range(len(labels)) if i == 0 or labels[i] != labels[i - 1]] + [len(labels)]
-    return [(labels[a], a, b - 1) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-
-
-def merged(runs: list[Run], gap: int, least: int, own: dict, fraction: float) -> list[Run]:
-    out: list[list] = []
-    for label, a, b in runs:
-        if label is None:
-            continue
-        if out and out[-1][0] == label and a - out[-1][2] <= gap:
-            out[-1][2] = b
-        else:
-            out.append([label, a, b])
-    return [(x, a, b) for x, a, b in out if b - a + 1 >= min(least, own.get(x, np.inf) * fraction)]
-
-
-def _points(metres: float, spacing: float, least: int) -> int:
-    return max(least, round(metres / spacing))
-
-
-def track_runs(labels: list, near: np.ndarray, spacing: float, own_m: dict, *, strict_m: float = 15.0, smooth_m: float = 150.0, gap_m: float = 670.0, run_m: float = 268.0, second_m: float = 804.0, fraction: float = 0.5) -> list[Run]:
-    """Runs of one track from its loose labels and their distances: strict first, then loose in stretches over second_m that stay open."""
-    window = _points(smooth_m, spacing, 3) | 1
-    gap, least, own = _points(gap_m, spacing, 1), _points(run_m, spacing, 2), {k: m / spacing for k, m in own_m.items()}
-    first = voted([x if d <= strict_m else None for x, d in zip(labels, near, strict=True)], window)
-    covered = [False] * len(labels)
-    for _, a, b in merged(runs_of(first), gap, least, own, fraction):
-        covered[a : b + 1] = [True] * (b + 1 - a)
-    for open_, a, b in runs_of(covered):
-        if not open_ and b - a + 1 >= _points(second_m, spacing, 1):
-            first[a : b + 1] = labels[a : b + 1]
-    return merged(runs_of(voted(first, window)), gap, least, own, fraction)
-
-
-def split_at_turn(place_km: np.ndarray, least: int, least_km: float = 0.1) -> int | None:
-    """Where an out-and-back turns: an inner maximum, else minimum, with enough points and way on both sides."""
-    n = len(place_km)
-    for m in (int(place_km.argmax()), int(place_km.argmin())):
-        if m >= least and n - m >= least and abs(place_km[m] - place_km[0]) >= least_km and abs(place_km[m] - place_km[-1]) >= least_km:
-            return m
-    return None
+from ridgeline.operators.runs import run_lengths
+
+# Metres of the strict and loose radius, of the vote, of gaps that merging bridges, of the shortest run, of
+# the shortest open stretch that the second pass takes, of a turn's sides; the share of a line's own length that is enough.
+STRICT_M, LOOSE_M, SMOOTH_M, GAP_M, RUN_M, SECOND_M, TURN_M, TURN_KM, OWN_SHARE = 15.0, 35.0, 150.0, 670.0, 268.0, 804.0, 150.0, 0.1, 0.5
+
+
+def in_points(metres: float, spacing: Column, least: int) -> Column:
+    """Metres as a number of points, `least` at least; halves go to the even number."""
+    n = F.bround(F.lit(float(metres)) / spacing).cast("int")
+    return F.when(n > least, n).otherwise(least)
+
+
+def by_vote(points: DataFrame, label: str, half: Column) -> DataFrame:
+    """points (line, seq, ...) with voted: the most frequent label within `half` places on both sides; null is a label,
+    and of equally frequent ones the first along the line wins."""
+    around = F.transform(F.sequence(-half, half), lambda o: F.col("seq") + o)
+    votes = points.select("line", F.explode(around).alias("at"), F.col(label).alias("_l"), "seq")
+    counted = votes.groupBy("line", "at", "_l").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("f"))
+    best = counted.groupBy(F.col("line").alias("_line"), "at").agg(F.max_by(F.struct("_l"), F.struct("n", -F.col("f"))).alias("b"))
+    met = points.join(best, (F.col("line") == F.col("_line")) & (F.col("seq") == F.col("at")))
+    return met.select(*points.columns, F.col("b._l").alias("voted"))
+
+
+def long_runs(voted: DataFrame, sizes: DataFrame, own_m: DataFrame) -> DataFrame:
+    """(line, label, a, b) of labels `voted`: neighbours with one label and at most `gap` places between them are one run;
+    those stay that have `least` points, or half the points of the label's own line."""
+    named = run_lengths(voted, "voted").where("label is not null").join(sizes, "line")
+    w = along("line", "a")
+    on = (F.col("label") == F.lag("label").over(w)) & (F.col("a") - F.lag("b").over(w) <= F.col("gap"))
+    joined = named.withColumn("k", F.sum(F.when(on, 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    whole = joined.groupBy("line", "k").agg(F.first("label").alias("label"), F.min("a").alias("a"), F.max("b").alias("b"), F.first("least").alias("least"), F.first("spacing_m").alias("spacing_m"))
+    sized = whole.join(own_m.select(F.col("cand").alias("label"), F.col("length_m").alias("own_m")), "label", "left")
+    n, own = F.col("b") - F.col("a") + 1, F.col("own_m") / F.col("spacing_m") * OWN_SHARE
+    return sized.where((n >= F.col("least")) | (n >= own)).select("line", "label", "a", "b")
+
+
+def inside(points: DataFrame, runs: DataFrame) -> DataFrame:
+    """points with in_run: whether a run (line, a, b) holds them."""
+    held = runs.select(F.col("line").alias("_line"), F.explode(F.sequence("a", "b")).alias("_seq")).distinct()
+    met = points.join(held, (F.col("line") == F.col("_line")) & (F.col("seq") == F.col("_seq")), "left")
+    return met.select(*points.columns, F.col("_seq").isNotNull().alias("in_run"))
+
+
+def two_pass_runs(labelled: DataFrame, own_m: DataFrame, *, strict_m: float = STRICT_M, smooth_m: float = SMOOTH_M, gap_m: float = GAP_M, run_m: float = RUN_M, second_m: float = SECOND_M) -> DataFrame:
+    """(line, run, cand, a, b) from points (line, seq, label, d, spacing_m), label being the nearest line within the loose
+    radius and d its distance. Strict labels first; stretches that stay open for second_m then take the loose ones."""
+    spacing = F.col("spacing_m")
+    sizes = labelled.groupBy("line").agg(F.max("spacing_m").alias("spacing_m")).select(
+        "line", "spacing_m", in_points(gap_m, spacing, 1).alias("gap"), in_points(run_m, spacing, 2).alias("least"), in_points(second_m, spacing, 1).alias("open_points")
+    )
+    half = F.floor(in_points(smooth_m, spacing, 3) / 2).cast("int")  # an even window is one wider
+    points = labelled.select("line", "seq", "label", F.when(F.col("d") <= strict_m, F.col("label")).alias("strict"), half.alias("half"))
+    first = by_vote(points, "strict", F.col("half"))
+    marked = inside(first, long_runs(first, sizes, own_m))
+    state = run_lengths(marked, "in_run").where("not label").join(sizes.select("line", "open_points"), "line").where(F.col("b") - F.col("a") + 1 >= F.col("open_points"))
+    again = inside(first, state.select("line", "a", "b")).withColumn("mixed", F.when(F.col("in_run"), F.col("label")).otherwise(F.col("voted"))).drop("voted", "in_run")
+    runs = long_runs(by_vote(again, "mixed", F.col("half")), sizes, own_m)
+    return runs.select("line", (F.row_number().over(along("line", "a")) - 1).alias("run"), F.col("label").alias("cand"), "a", "b")
+
+
+def ridden(at: DataFrame, *, turn_m: float = TURN_M, turn_km: float = TURN_KM) -> DataFrame:
+    """(line, run, cand, a, b, reversed, from_km, to_km) from places (line, run, cand, seq, km, spacing_m): a run whose place
+    has its top, else its bottom, with enough points and way on both sides is two, out and back."""
+    w = W.partitionBy("line", "run")
+    n, i = F.count(F.lit(1)).over(w), F.row_number().over(w.orderBy("seq")) - 1
+    p = at.select("line", "run", "cand", "seq", "km", in_points(turn_m, F.col("spacing_m"), 2).alias("side"), n.alias("n"), i.alias("i"))
+    place = F.struct("i", "km")
+    of_run = p.groupBy("line", "run").agg(F.max_by(place, F.struct("km", -F.col("i"))).alias("top"), F.min_by(place, F.struct("km", "i")).alias("low"), F.min_by("km", "i").alias("k0"), F.max_by("km", "i").alias("k1"), F.first("side").alias("side"), F.first("n").alias("n"))
+    turns = lambda x: (F.col(f"{x}.i") >= F.col("side")) & (F.col("n") - F.col(f"{x}.i") >= F.col("side")) & (F.abs(F.col(f"{x}.km") - F.col("k0")) >= turn_km) & (F.abs(F.col(f"{x}.km") - F.col("k1")) >= turn_km)
+    cut = of_run.select(F.col("line").alias("_line"), F.col("run").alias("_run"), F.when(turns("top"), F.col("top.i")).when(turns("low"), F.col("low.i")).alias("turn"))
+    met = p.join(cut, (F.col("line") == F.col("_line")) & (F.col("run") == F.col("_run")))
+    part = F.when(F.col("i") > F.col("turn"), 1).otherwise(0)
+    ends = met.groupBy("line", "run", "cand", part.alias("part")).agg(F.min("seq").alias("a"), F.max("seq").alias("b"), F.min_by("km", "seq").alias("from_km"), F.max_by("km", "seq").alias("to_km"))
+    return ends.select("line", "run", "cand", "a", "b", (F.col("to_km") < F.col("from_km")).alias("reversed"), "from_km", "to_km")
 
 
 def places(runs: DataFrame, track: DataFrame, network: DataFrame) -> DataFrame:
@@ -83,34 +104,14 @@ def places(runs: DataFrame, track: DataFrame, network: DataFrame) -> DataFrame:
     return best.select("line", "run", "cand", "seq", "b.km")
 
 
-def matched(track: DataFrame, network: DataFrame, *, loose_m: float = 35.0, turn_m: float = 150.0, **options) -> DataFrame:
+def matched(track: DataFrame, network: DataFrame, *, loose_m: float = LOOSE_M, turn_m: float = TURN_M, size: float = 0.004, **options) -> DataFrame:
     """(line, run, cand, a, b, reversed, from_km, to_km) in ride order. track (line, seq, lat, lon), seq from 0 without gaps;
-    network (cand, seq, lat, lon) has trails and lifts, its lengths (one row a line) go to the workers while under a million."""
-    sizes = line_measures(network, "cand", "seq").select("cand", "length_m").limit(1_000_001).collect()
-    if len(sizes) > 1_000_000:
-        raise ValueError("matched: more than a million network lines")
-    own = {r.cand: r.length_m for r in sizes}
-    spacing = line_measures(track).select("line", "spacing_m")
-    labelled = label_points(track.select("line", "seq", "lat", "lon"), network, loose_m).join(spacing, "line")
-    kinds = dict(track.dtypes) | {"cand": dict(network.dtypes)["cand"]}
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq", kind="stable")
-        labels = [None if pd.isna(x) else x for x in pdf.label]
-        got = track_runs(labels, pdf.d.fillna(np.inf).to_numpy(), max(pdf.spacing_m.iloc[0], 1e-9), own, **options)
-        return pd.DataFrame([(pdf.line.iloc[0], k, *r) for k, r in enumerate(got)], columns=["line", "run", "cand", "a", "b"])
-
-    runs = labelled.groupBy("line").applyInPandas(fold, f"line {kinds['line']}, run int, cand {kinds['cand']}, a {kinds['seq']}, b {kinds['seq']}")
-    at = places(runs, track, network).join(spacing, "line")
-
-    def turns(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq", kind="stable")
-        km, seq = pdf.km.to_numpy(), pdf.seq.to_numpy()
-        m = split_at_turn(km, _points(turn_m, max(pdf.spacing_m.iloc[0], 1e-9), 2))
-        parts = [(0, len(km) - 1)] if m is None else [(0, m), (m + 1, len(km) - 1)]
-        return pd.DataFrame([(pdf.line.iloc[0], pdf.run.iloc[0], pdf.cand.iloc[0], seq[i], seq[j], bool(km[j] < km[i]), float(km[i]), float(km[j])) for i, j in parts if i <= j], columns=["line", "run", "cand", "a", "b", "reversed", "from_km", "to_km"])
-
-    return at.groupBy("line", "run").applyInPandas(turns, f"line {kinds['line']}, run int, cand {kinds['cand']}, a {kinds['seq']}, b {kinds['seq']}, reversed boolean, from_km double, to_km double")
+    network (cand, seq, lat, lon) has trails and lifts; size is the cells' side in degrees, over the loose radius."""
+    own = line_measures(network, "cand", "seq").select("cand", "length_m")
+    spacing = line_measures(track).select("line", F.when(F.col("spacing_m") > 1e-9, F.col("spacing_m")).otherwise(1e-9).alias("spacing_m"))
+    labelled = label_points(track.select("line", "seq", "lat", "lon"), network, loose_m, size).join(spacing, "line")
+    runs = two_pass_runs(labelled, own, **options)
+    return ridden(places(runs, track, network).join(spacing, "line"), turn_m=turn_m)
 
 
 def extended(matches: DataFrame, track: DataFrame, network: DataFrame, within_m: float = 60.0, around: int = 40) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from ridgeline.operators import match
 
@@ -7,18 +8,22 @@ def line(a, b, n):
     return np.linspace(a, b, n)
 
 
-def test_votes_runs_and_merging():
+def test_votes_and_merging(spark):
     labels = ["a"] * 5 + ["b"] + ["a"] * 4 + [None] * 3 + ["a"] * 4 + ["c"] * 2
-    smooth = match.voted(labels, 3)
-    assert smooth[5] == "a" and smooth[11] is None
-    runs = match.merged(match.runs_of(smooth), 4, 3, {}, 0.5)
-    assert runs == [("a", 0, 16)]
-    assert match.merged([("a", 0, 1), ("b", 5, 9)], 1, 5, {"a": 3.0}, 0.5) == [("a", 0, 1), ("b", 5, 9)]
-
-
-def test_turn():
-    assert match.split_at_turn(np.array([0, 0.1, 0.2, 0.3, 0.2, 0.1, 0]), 2) == 3
-    assert match.split_at_turn(np.array([0, 0.1, 0.2, 0.3]), 2) is None
+    points = spark.createDataFrame([(1, i, x) for i, x in enumerate(labels)], "line int, seq int, label string")
+    voted = match.by_vote(points, "label", F.lit(1))
+    got = [r.voted for r in voted.orderBy("seq").collect()]
+    assert got[5] == "a" and got[11] is None
+    sizes = spark.createDataFrame([(1, 1.0, 4, 3)], "line int, spacing_m double, gap int, least int")
+    own = spark.createDataFrame([("a", 100.0), ("c", 2.0)], "cand string, length_m double")
+    assert [(r.label, r.a, r.b) for r in match.long_runs(voted, sizes, own).orderBy("a").collect()] == [("a", 0, 16), ("c", 17, 18)]
+    assert [(r.label, r.a, r.b) for r in match.long_runs(voted, sizes, own.where("cand = 'a'")).collect()] == [("a", 0, 16)]
+
+
+def test_turn(spark):
+    rows = [(1, 0, "A", i, k, 75.0) for i, k in enumerate([0.0, 0.1, 0.2, 0.3, 0.2, 0.1, 0.0])] + [(2, 0, "A", i, k, 75.0) for i, k in enumerate([0.0, 0.1, 0.2, 0.3])]
+    got = match.ridden(spark.createDataFrame(rows, "line int, run int, cand string, seq int, km double, spacing_m double"))
+    assert sorted((r.line, r.a, r.b, r.reversed) for r in got.collect()) == [(1, 0, 3, False), (1, 4, 6, True), (2, 0, 3, False)]
 
 
 def test_track_against_network(spark):
