@@ -1,7 +1,8 @@
 """Nearest-neighbour joins by grid cells.
 
-A range predicate would plan as a nested loop. Here edges or points go to the cells they touch, probes look into
-their own and the eight around, and the join is an equality of cells. The radius must not exceed a cell's side.
+A range predicate would plan as a nested loop. Here edges go to the cells they touch and those around, points look
+into their own, so a point meets an edge once, and the join is an equality of cells. The radius must not exceed a
+cell's side.
 """
 
 from __future__ import annotations
@@ -52,16 +53,21 @@ def edges_of(points: DataFrame, line: str = "line", seq: str = "seq") -> DataFra
 
 
 def cells_of_edges(edges: DataFrame, size: float) -> DataFrame:
-    """A row for each cell of an edge's cell box."""
-    ys = F.sequence(F.least(cell(F.col("lat"), size), cell(F.col("lat2"), size)), F.greatest(cell(F.col("lat"), size), cell(F.col("lat2"), size)))
-    xs = F.sequence(F.least(cell(F.col("lon"), size), cell(F.col("lon2"), size)), F.greatest(cell(F.col("lon"), size), cell(F.col("lon2"), size)))
+    """A row for each cell of an edge's cell box and the ring around it."""
+    ys = F.sequence(F.least(cell(F.col("lat"), size), cell(F.col("lat2"), size)) - 1, F.greatest(cell(F.col("lat"), size), cell(F.col("lat2"), size)) + 1)
+    xs = F.sequence(F.least(cell(F.col("lon"), size), cell(F.col("lon2"), size)) - 1, F.greatest(cell(F.col("lon"), size), cell(F.col("lon2"), size)) + 1)
     return edges.withColumn("_cy", F.explode(ys)).withColumn("_cx", F.explode(xs))
 
 
+def in_cell(points: DataFrame, size: float) -> DataFrame:
+    """Points (_qlat, _qlon) with their own cell."""
+    return points.withColumn("_cy", cell(F.col("_qlat"), size)).withColumn("_cx", cell(F.col("_qlon"), size))
+
+
 def label_points(track: DataFrame, network: DataFrame, threshold_m: float, size: float = 0.004, line: str = "line", seq: str = "seq") -> DataFrame:
     """track rows (line, seq, lat, lon, ...) with label: the network line (cand, seq, lat, lon) nearest within the threshold, else null; d, edge and t of the projection."""
     e = cells_of_edges(edges_of(network, "cand", "seq").withColumnRenamed("seq", "edge"), size)
-    q = _around(track.select(line, seq, F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")), "_qlat", "_qlon", (size, size))
+    q = in_cell(track.select(line, seq, F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")), size)
     p = edge_projection((F.col("_qlat"), F.col("_qlon")), (F.col("lat"), F.col("lon")), (F.col("lat2"), F.col("lon2")))
     met = q.join(e, ["_cy", "_cx"]).select(line, seq, "cand", "edge", p.alias("p")).where(F.col("p.d") <= threshold_m)
     best = met.groupBy(line, seq).agg(F.min(F.struct(F.col("p.d").alias("d"), "cand", "edge", F.col("p.t").alias("t"))).alias("b"))
@@ -86,7 +92,7 @@ def covered_share(short: DataFrame, long: DataFrame, within_m: float, size: floa
     from ridgeline.functions.geo import edge_distance_m
 
     e = cells_of_edges(edges_of(long, line, seq).withColumnRenamed(line, "b").withColumnRenamed(seq, "edge"), size)
-    q = _around(short.select(F.col(line).alias("a"), F.col(seq).alias("s"), F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")), "_qlat", "_qlon", (size, size))
+    q = in_cell(short.select(F.col(line).alias("a"), F.col(seq).alias("s"), F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")), size)
     d = edge_distance_m((F.col("_qlat"), F.col("_qlon")), (F.col("lat"), F.col("lon")), (F.col("lat2"), F.col("lon2")))
     near = q.join(e, ["_cy", "_cx"]).where("a <> b").where(d <= within_m).select("a", "s", "b").distinct()
     hits = near.groupBy("a", "b").agg(F.count(F.lit(1)).alias("near"))
