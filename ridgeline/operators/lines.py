@@ -165,7 +165,7 @@ def kept_by_shape(xy: np.ndarray, eps_m: float) -> np.ndarray:
         dx, dy = x[-1] - x[0], y[-1] - y[0]
         length = np.hypot(dx, dy)
         d = haversine_np(xy[a + 1 : b], xy[a]) if length == 0 else np.abs(dy * (x[1:-1] - x[0]) - dx * (y[1:-1] - y[0])) / length
-        k = int(d.argmax())
+        k = int(np.round(d, 6).argmax())  # to a micrometre, so that equal deviations go to the first
         if d[k] > eps_m:
             keep[a + 1 + k] = True
             todo += [(a, a + 1 + k), (a + 1 + k, b)]
@@ -225,3 +225,15 @@ def value_at(profile: DataFrame, places: DataFrame, line: str = "line", x: str =
     got = rows.select("*", *(f(c, True).over(s).alias(f"{c}{k}") for k, f, s in ((0, F.last, back), (1, F.first, ahead)) for c in ("px", "py"))).where("kind = 1")
     mid = F.col("py0") + (F.col("at") - F.col("px0")) / (F.col("px1") - F.col("px0")) * (F.col("py1") - F.col("py0"))
     return got.select(line, "at", F.when(F.col("px0").isNull(), F.col("py1")).when(F.col("px1").isNull() | (F.col("px1") == F.col("px0")), F.col("py0")).otherwise(mid).alias(y))
+
+
+def flattened(rows: DataFrame, nested: str, line: str = "line") -> DataFrame:
+    """(line, k, v): the values of nested arrays in order."""
+    return rows.select(line, F.posexplode(F.flatten(nested)).alias("k", "v"))
+
+
+def cut_by_index(points: DataFrame, cuts: DataFrame, line: str = "line", seq: str = "seq") -> DataFrame:
+    """points of each line's pieces (line, piece, lo, hi), from lo up to but without hi, with k from 0 in each piece."""
+    c = cuts.select(F.col(line).alias("_l"), "piece", "lo", "hi")
+    met = points.join(c, (F.col(line) == F.col("_l")) & (F.col(seq) >= F.col("lo")) & (F.col(seq) < F.col("hi")))
+    return met.select(*points.columns, "piece", (F.col(seq) - F.col("lo")).alias("k"))

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ridgeline.functions import geo, text
-from ridgeline.operators import chain, facets, graph, lines, nearest, ranking, runs, tables
+from ridgeline.operators import chain, facets, graph, lines, nearest, ranking, regions, runs, tables
 from ridgeline.sources import scans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -411,18 +411,15 @@ def hardest_difficulty(spark, sf_dir):
 @query("""WITH s AS (SELECT l_orderkey AS line, sum(l_extendedprice) AS total, sum(CASE WHEN l_returnflag <> 'N' THEN l_extendedprice ELSE 0 END) AS named, sum(CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE 0 END) AS clean, count(DISTINCT CASE WHEN l_returnflag <> 'N' THEN l_partkey END) AS parts FROM lineitem GROUP BY 1)
 SELECT line, round(named / total, 4) AS named_share, round(clean / total, 4) AS clean_share, parts FROM s""")
 def attribution_share(spark, sf_dir):
-    named, price = F.col("l_returnflag") != "N", F.col("l_extendedprice")
-    s = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("line")).agg(
-        F.sum(price).alias("t"), F.sum(F.when(named, price).otherwise(0.0)).alias("n"), F.sum(F.when(F.col("l_returnflag") == "A", price).otherwise(0.0)).alias("c"), F.count_distinct(F.when(named, F.col("l_partkey"))).alias("parts")
-    )
-    return s.select("line", F.round(F.col("n") / F.col("t"), 4).alias("named_share"), F.round(F.col("c") / F.col("t"), 4).alias("clean_share"), "parts")
+    i = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("line"), F.col("l_extendedprice").alias("m"), F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("cand"), (F.col("l_returnflag") == "A").alias("clean"))
+    a = regions.attribution(i)
+    return a.select("line", F.round("named_share", 4).alias("named_share"), F.round("clean_share", 4).alias("clean_share"), "parts")
 
 
 @query("SELECT l_orderkey AS line, round(list_sort(list(l_quantity))[count(*) // 2 + 1], 2) AS upper_median, round(avg(CASE WHEN l_quantity <= 25 THEN 1.0 ELSE 0.0 END), 4) AS share, max(l_quantity) AS worst FROM lineitem GROUP BY 1")
 def agreement_report(spark, sf_dir):
-    q = F.col("l_quantity")
-    s = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("line")).agg(F.sort_array(F.collect_list(q)).alias("a"), F.avg((q <= 25).cast("double")).alias("share"), F.max(q).alias("worst"))
-    return s.select("line", F.round(F.col("a")[F.floor(F.size("a") / 2).cast("int")], 2).alias("upper_median"), F.round("share", 4).alias("share"), "worst")
+    a = regions.agreement(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("line"), F.col("l_quantity").alias("d")), 25.0)
+    return a.select("line", F.round("upper_median", 2).alias("upper_median"), F.round("share", 4).alias("share"), "worst")
 
 
 # --- snapshots, merges, constraints ---------------------------------------------------------------------------------
@@ -608,27 +605,43 @@ def junction_candidates(spark, sf_dir):
 # --- folds, without SQL ---------------------------------------------------------------------------------------------
 
 
-@query()
+@query(f"""WITH RECURSIVE {TRACK}, w AS (SELECT line, seq, lat, lon, lat AS kla, lon AS klo, true AS keep FROM track WHERE seq = 0 UNION ALL
+ SELECT t.line, t.seq, t.lat, t.lon, CASE WHEN {hav("w.kla", "w.klo", "t.lat", "t.lon")} > 800 THEN t.lat ELSE w.kla END, CASE WHEN {hav("w.kla", "w.klo", "t.lat", "t.lon")} > 800 THEN t.lon ELSE w.klo END, {hav("w.kla", "w.klo", "t.lat", "t.lon")} > 800
+ FROM w JOIN track t ON t.line = w.line AND t.seq = w.seq + 1) SELECT line, seq, lat, lon FROM w WHERE keep""")
 def dedupe_min_spacing(spark, sf_dir):
     return lines.min_spacing(track(spark, sf_dir).select("line", "seq", "lat", "lon"), 800.0)
 
 
-@query()
+_CHORD = "(sqrt(pow((b.lon - a.lon) * cos(radians(a.lat)) * 111320, 2) + pow((b.lat - a.lat) * 110540, 2)))"
+
+
+@query(f"""WITH RECURSIVE {TRACK}, cut AS (SELECT line, 0::BIGINT AS a, max(seq) AS b, 0::BIGINT AS k FROM track GROUP BY 1 UNION ALL
+ SELECT h.line, CASE WHEN side = 0 THEN h.a ELSE h.best END, CASE WHEN side = 0 THEN h.best ELSE h.b END, h.best FROM
+ (SELECT x.line, x.a, x.b, arg_max(x.seq, (round(x.d, 6), -x.seq)) AS best, max(x.d) AS d FROM (SELECT c.line, c.a, c.b, p.seq, CASE WHEN {_CHORD} = 0 THEN {hav("p.lat", "p.lon", "a.lat", "a.lon")}
+  ELSE abs((b.lat - a.lat) * 110540 * (p.lon - a.lon) * cos(radians(a.lat)) * 111320 - (b.lon - a.lon) * cos(radians(a.lat)) * 111320 * (p.lat - a.lat) * 110540) / {_CHORD} END AS d
+  FROM cut c JOIN track a ON a.line = c.line AND a.seq = c.a JOIN track b ON b.line = c.line AND b.seq = c.b JOIN track p ON p.line = c.line AND p.seq > c.a AND p.seq < c.b) x GROUP BY 1, 2, 3 HAVING max(x.d) > 400) h, (VALUES (0), (1)) v(side))
+SELECT t.line, t.seq, t.lat, t.lon FROM track t WHERE EXISTS (SELECT 1 FROM cut c WHERE c.line = t.line AND (c.a = t.seq OR c.b = t.seq))""")
 def douglas_peucker(spark, sf_dir):
     return lines.douglas_peucker(track(spark, sf_dir).select("line", "seq", "lat", "lon"), 400.0)
 
 
-@query()
+@query(f"""WITH {TRACK}, {TOWNS}, {_NETWORK}, n0 AS (SELECT t.line, t.seq, t.lat AS plat, t.lon AS plon, n.line AS cand, n.lat AS a, n.lon AS b, n.lat2 AS c, n.lon2 AS d, cos(radians(n.lat)) AS co FROM track t JOIN net n ON t.lat BETWEEN n.lat - 0.01 AND n.lat2 + 0.01 AND t.lon BETWEEN n.lon - 0.02 AND n.lon2 + 0.02),
+ n1 AS (SELECT *, ((plon - b) * co * 111320 * (d - b) * co * 111320 + (plat - a) * 110540 * (c - a) * 110540) / (pow((d - b) * co * 111320, 2) + pow((c - a) * 110540, 2)) AS t0 FROM n0), n2 AS (SELECT *, CASE WHEN t0 < 0 THEN 0 WHEN t0 > 1 THEN 1 ELSE t0 END AS t FROM n1),
+ n3 AS (SELECT *, {hav("plat", "plon", "(a + t * (c - a))", "(b + t * (d - b))")} AS dist FROM n2), best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY line, seq ORDER BY dist, cand) AS rk FROM n3 WHERE dist <= 150) WHERE rk = 1)
+SELECT t.line, t.seq, b.cand AS label, round(b.dist, 2) AS d FROM track t LEFT JOIN best b ON b.line = t.line AND b.seq = t.seq""")
 def track_network_labels(spark, sf_dir):
     n = _network(spark, sf_dir).withColumnRenamed("line", "cand")
     return nearest.label_points(track(spark, sf_dir), n, 150.0).select("line", "seq", "label", F.round("d", 2).alias("d"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {TRAILS}, o AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY namesake DESC, kind_rank, population DESC, len, name) AS rk FROM (SELECT *, line % 50 = 0 AS namesake, line % 3 AS kind_rank, line * 31 % 5000 AS population FROM trails)),
+ g AS (SELECT nation, 0::BIGINT AS rk, NULL::BIGINT AS line, false AS keep, []::STRUCT(a DOUBLE, b DOUBLE)[] AS kept FROM (SELECT DISTINCT nation FROM trails) UNION ALL
+ SELECT x.nation, x.rk, x.line, x.ok, CASE WHEN x.ok THEN list_append(x.kept, struct_pack(a := x.lat, b := x.lon)) ELSE x.kept END FROM (SELECT o.nation, o.rk, o.line, o.lat, o.lon, g.kept, o.namesake OR len(list_filter(g.kept, lambda k: {hav("k.a", "k.b", "o.lat", "o.lon")} < 1500)) = 0 AS ok FROM g JOIN o ON o.nation = g.nation AND o.rk = g.rk + 1) x)
+SELECT line FROM g WHERE keep""")
 def greedy_places(spark, sf_dir):
     t = trails(spark, sf_dir)
-    places = t.select(F.col("nation").cast("string").alias("region"), (F.col("line") % 4).cast("string").alias("sub"), "name", "lat", "lon", F.lit(False).alias("forced"), (F.col("line") % 50 == 0).alias("namesake"), (F.col("line") % 3).cast("int").alias("kind_rank"), (F.col("line") * 31 % 5000).alias("population"), F.col("len").alias("km"))
-    return ranking.spaced_places(places, 1500.0)
+    places = t.select(F.col("nation").cast("string").alias("region"), (F.col("line") % 4).cast("string").alias("sub"), "name", "lat", "lon", F.lit(False).alias("forced"), (F.col("line") % 50 == 0).alias("namesake"), (F.col("line") % 3).cast("int").alias("kind_rank"), (F.col("line") * 31 % 5000).alias("population"), F.col("len").alias("km"), "line")
+    return ranking.spaced_places(places, 1500.0).select("line")
 
 
 @query()
@@ -638,7 +651,9 @@ def fuzzy_lookup(spark, sf_dir):
     return text.fuzzy_lookup(asked, names, "asked", "known")
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT s_nationkey AS part, s_suppkey FROM supplier), e AS (SELECT DISTINCT part, 's' || l_suppkey AS a, 'p' || l_partkey AS b FROM lineitem JOIN s ON s_suppkey = l_suppkey), g AS (SELECT part, a AS x, b AS y FROM e UNION SELECT part, b, a FROM e),
+ q AS (SELECT part, 's' || min(s_suppkey) AS src, 's' || max(s_suppkey) AS dst FROM s GROUP BY 1), r AS (SELECT part, src AS node, 0 AS hops FROM q UNION SELECT r.part, g.y, r.hops + 1 FROM r JOIN g ON g.part = r.part AND g.x = r.node WHERE r.hops < 14),
+ d AS (SELECT part, node, min(hops) AS hops FROM r GROUP BY 1, 2) SELECT q.part, src, dst, d.hops::DOUBLE AS metres, d.hops FROM q LEFT JOIN d ON d.part = q.part AND d.node = q.dst""")
 def shortest_path(spark, sf_dir):
     """In each nation's own part of the graph, from its first supplier to its last."""
     s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("s"), F.col("s_nationkey").alias("part"), "s_suppkey")
@@ -648,7 +663,8 @@ def shortest_path(spark, sf_dir):
     return graph.shortest_paths(out.union(out.select("part", "dst", "src", "w")), gaps).select("part", "src", "dst", "metres", "hops")
 
 
-@query()
+@query(f"""WITH RECURSIVE {TRACK}, h AS (SELECT line, seq, ((event_id * 7) % 360)::DOUBLE AS h FROM track), w AS (SELECT line, seq, h AS s FROM h WHERE seq = 0 UNION ALL SELECT h.line, h.seq, ((w.s + ((((h.h - w.s + 540) % 360) + 360) % 360 - 180) * 0.2) % 360 + 360) % 360 FROM w JOIN h ON h.line = w.line AND h.seq = w.seq + 1)
+SELECT line, round(arg_max(s, seq), 4) AS heading FROM w GROUP BY 1""")
 def heading_state(spark, sf_dir):
     from ridgeline.streaming.tracks import smoothed_headings
 
@@ -656,8 +672,10 @@ def heading_state(spark, sf_dir):
     return per.select("line", F.round(smoothed_headings(F.transform("a", lambda x: x["h"])), 4).alias("heading"))
 
 
-@query()
+@query("""WITH g AS (SELECT *, sum(CASE WHEN ts - prev < INTERVAL 30 MINUTE THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events))
+SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 1800000000 AS end_us, count(*) AS n FROM g GROUP BY user_id, k""")
 def event_sessions(spark, sf_dir):
     from ridgeline.streaming.tracks import sessions
 
-    return sessions(table(spark, sf_dir, "events"), "30 minutes")
+    s = sessions(table(spark, sf_dir, "events"), "30 minutes")
+    return s.select("user_id", F.unix_micros(F.col("start").cast("timestamp_ltz")).alias("start_us"), F.unix_micros(F.col("end").cast("timestamp_ltz")).alias("end_us"), "n")

@@ -6,6 +6,8 @@ Every scan takes a DataFrame with a text column, from spark.read.text(path, whol
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -194,3 +196,102 @@ def elevations(points: DataFrame, known: DataFrame) -> DataFrame:
     """points with ele_found from a cache (key 'lat,lon' to 5 places, ele); misses stay null."""
     key = F.format_string("%.5f,%.5f", F.col("lat"), F.col("lon"))
     return points.withColumn("_key", key).join(known.select(F.col("key").alias("_key"), F.col("ele").alias("ele_found")), "_key", "left").drop("_key")
+
+
+def nested_tracks(responses: DataFrame, key: str = "tour", body: str = "text") -> DataFrame:
+    """(key, seq, lat, lon, ele) of tours in nested JSON: segments, routes, features, lines of [lon, lat, ele]; other shapes
+    than lines and immediate repeats are left out."""
+    schema = "struct<segments: array<struct<routes: array<struct<features: array<struct<geometry: struct<type: string, coordinates: array<array<double>>>>>>>>>>"
+    routes = F.flatten(F.transform(F.from_json(F.col(body), schema)["segments"], lambda s: F.coalesce(s["routes"], F.from_json(F.lit("[]"), "array<struct<features: array<struct<geometry: struct<type: string, coordinates: array<array<double>>>>>>>"))))
+    shapes = F.flatten(F.transform(routes, lambda r: r["features"]))
+    lines = F.filter(shapes, lambda f: f["geometry"]["type"] == "LineString")
+    points = responses.select(key, F.posexplode(F.flatten(F.transform(lines, lambda f: f["geometry"]["coordinates"]))).alias("pos", "c"))
+    at = lambda i: F.try_element_at("c", F.lit(i))
+    from ridgeline.operators.lines import along
+
+    p = points.select(key, "pos", at(2).alias("lat"), at(1).alias("lon"), at(3).alias("ele"))
+    w = along(key, "pos")
+    same = F.col("lat").eqNullSafe(F.lag("lat").over(w)) & F.col("lon").eqNullSafe(F.lag("lon").over(w)) & (F.row_number().over(w) > 1)
+    p = p.withColumn("_same", same).where("not _same")
+    return p.withColumn("seq", F.row_number().over(w) - 1).select(key, "seq", "lat", "lon", "ele")
+
+
+def route_geometry(pages: DataFrame, key: str = "slug", html: str = "html") -> DataFrame:
+    """(key, points): a route page's chart points, else its encoded line without heights, and no repeated halves."""
+    g = page_geometry(pages, key, html)
+    chart = F.transform("p", lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), p["ele"].alias("ele")))
+    line = F.transform("c", lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), F.lit(None).cast("double").alias("ele")))
+    return g.select(key, halves_collapsed(F.coalesce(chart, line)).alias("points"))
+
+
+def named_ways(ways: DataFrame, pattern: str, highways: tuple[str, ...]) -> DataFrame:
+    """Ways of given kinds whose name holds a pattern."""
+    return ways.where(F.coalesce(F.col("tags")["name"].rlike(pattern), F.lit(False)) & F.col("tags")["highway"].isin(*highways))
+
+
+def aerialways(ways: DataFrame, least_m: float = 200.0) -> DataFrame:
+    """(way_id, kind, name, length_m) of cable ways of least_m or more from end to end along their points."""
+    from ridgeline.operators.lines import line_measures
+
+    own = ways.where(F.col("tags")["aerialway"].isNotNull())
+    points = own.select("way_id", F.posexplode("points").alias("seq", "p")).select("way_id", "seq", "p.lat", "p.lon")
+    size = line_measures(points, "way_id", "seq").select(F.col("way_id").alias("_w"), "length_m").where(F.col("length_m") >= least_m)
+    return own.join(size, F.col("way_id") == F.col("_w")).select("way_id", F.col("tags")["aerialway"].alias("kind"), F.col("tags")["name"].alias("name"), "length_m")
+
+
+_TOKEN = re.compile(r'''//[^\n]*|/\*.*?\*/|(?P<text>"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*')|(?P<name>[A-Za-z_$][\w$]*|\d+(?:\.\d+)?)|(?P<mark>[{}\[\]:,])''', re.S)
+
+
+def object_literal(source: str, name: str) -> dict:
+    """The object literal assigned to a name in script text, as nested dicts; comments and strings don't confuse it, lists are left out.
+
+    One token at a time goes onto a stack of open objects."""
+    at = source.find("{", source.index(name))
+    root: dict = {}
+    stack, key, word, depth = [root], None, None, 0
+    for m in _TOKEN.finditer(source, at + 1):
+        mark = m.group("mark")
+        if mark == "[":
+            depth += 1
+        elif mark == "]":
+            depth -= 1
+        if depth or mark == "]":
+            continue
+        if m.group("text") is not None:
+            word = m.group("text")[1:-1]
+        elif m.group("name") is not None:
+            word = m.group("name")
+        if mark == ":":
+            key, word = word, None
+        elif mark == "{":
+            inner: dict = {}
+            stack[-1][key] = inner
+            stack.append(inner)
+            key = word = None
+        elif mark in (",", "}"):
+            if key is not None and word is not None:
+                stack[-1][key] = word
+            key = word = None
+            if mark == "}":
+                stack.pop()
+                if not stack:
+                    return root
+    raise ValueError(f"{name}: the literal is not closed")
+
+
+def catalog_rows(spark: SparkSession, source: str, name: str = "REGION_CATALOG") -> DataFrame:
+    """(region_key, label, trail_count, sub, color, sub_label): the catalog in a page's script, a row a sub-region, or one with nulls."""
+    rows = []
+    for key, entry in object_literal(source, name).items():
+        count = entry.get("trailCount")
+        head = (key, entry.get("label", key), int(count) if count else None)
+        subs = entry.get("subRegions") or {None: {}}
+        rows += [(*head, k, v.get("color"), v.get("label")) for k, v in subs.items()]
+    return spark.createDataFrame(rows, "region_key string, label string, trail_count int, sub string, color string, sub_label string")
+
+
+def region_labels(catalog: DataFrame) -> DataFrame:
+    """(region_key, labels): the region's own label and those of its sub-regions, split at slashes and hyphens."""
+    each = catalog.select("region_key", F.explode(F.array("label", "sub_label")).alias("l")).where("l is not null")
+    parts = each.select("region_key", F.explode(F.split("l", r"\s*[/-]\s*")).alias("p")).unionByName(each.select("region_key", F.col("l").alias("p")))
+    return parts.where("p <> ''").groupBy("region_key").agg(F.sort_array(F.collect_set("p")).alias("labels"))
