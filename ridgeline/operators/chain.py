@@ -16,6 +16,12 @@ def junction_candidates(distances: DataFrame, max_gap_m: float = 150.0, apart_m:
     nearest = distances.groupBy(pair).agg(F.min(F.struct("gap_m", seq, "along_m")).alias("b")).select(pair, "b.*")
     minima = low.where(F.col("_low") & (F.col("gap_m") <= max_gap_m)).select(pair, seq, "along_m", "gap_m")
 
+    if cap == 1:  # the smallest alone needs no spacing
+        best = minima.groupBy(pair).agg(F.min(F.struct("gap_m", seq, "along_m")).alias("b")).select(pair, "b.*")
+        lone = nearest.join(best.select(pair), pair, "left_anti")
+        mark = lambda df, fallback: df.select(pair, seq, "along_m", "gap_m", F.lit(1).alias("rank"), F.lit(fallback).alias("fallback"))
+        return mark(best, False).unionByName(mark(lone, True))
+
     def spread(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["gap_m", seq], kind="stable")
         kept: list[int] = []

@@ -209,3 +209,53 @@ def closing_report(gaps: DataFrame) -> DataFrame:
     """(method, n, mean_factor, suspicious) over closed gaps (method, beeline_m, route_m): the route's factor, over 3 is suspicious."""
     factor = F.col("route_m") / F.nullif(F.col("beeline_m"), F.lit(0.0))
     return gaps.groupBy("method").agg(F.count(F.lit(1)).alias("n"), F.avg(factor).alias("mean_factor"), F.count_if(factor > 3).alias("suspicious"))
+
+
+def ways_for_gaps(ways: DataFrame, gaps: DataFrame, pad_m: float, size: float = 0.02, vertices: bool = False) -> DataFrame:
+    """(gap, way): of ways fetched once (way, seq, lat, lon) those for each gap (gap, a_lat, a_lon, b_lat, b_lon): whose box
+    overlaps the gap's padded box, or with `vertices` that have a vertex in it."""
+    from ridgeline.functions.geo import padded_box
+    from ridgeline.operators.nearest import cell
+    from ridgeline.operators.regions import near_route
+
+    box = gaps.select(F.col("gap").alias("route"), padded_box(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"), pad_m).alias("b")).select("route", "b.*")
+    if not vertices:
+        of_way = ways.groupBy(F.col("way").alias("line")).agg(*(f(c).alias(f"{n}_{c}") for n, f in (("min", F.min), ("max", F.max)) for c in ("lat", "lon")))
+        return near_route(box, of_way, 0.0, size).select(F.col("route").alias("gap"), F.col("line").alias("way"))
+    tiled = box.withColumn("_cy", F.explode(F.sequence(cell(F.col("min_lat"), size), cell(F.col("max_lat"), size)))).withColumn("_cx", F.explode(F.sequence(cell(F.col("min_lon"), size), cell(F.col("max_lon"), size))))
+    v = ways.select("way", "lat", "lon", cell(F.col("lat"), size).alias("_cy"), cell(F.col("lon"), size).alias("_cx"))
+    met = tiled.join(v, ["_cy", "_cx"]).where("lat between min_lat and max_lat and lon between min_lon and max_lon")
+    return met.select(F.col("route").alias("gap"), "way").distinct()
+
+
+def bridge_along_way(gaps: DataFrame, points: DataFrame, ways: DataFrame, penalty: DataFrame, most_m: float = 15.0) -> DataFrame:
+    """(gap, k, lat, lon): the stretch between a gap's ends of the way that its points follow within most_m on the mean.
+
+    gaps (gap, a_lat, a_lon, b_lat, b_lon); points (gap, i, lat, lon) of the side to match; ways (gap, way, seq, lat, lon) cut
+    out for each gap; penalty (way, penalty_m)."""
+    best = best_matching_way(points, ways, penalty, "gap").where(F.col("mean_m") <= most_m).select(F.col("gap").alias("_g"), F.col("way").alias("_w"))
+    own = ways.join(best, (F.col("gap") == F.col("_g")) & (F.col("way") == F.col("_w"))).select(F.col("gap").alias("line"), "seq", "lat", "lon")
+    end = lambda x: F.struct(F.lit(x).alias("which"), F.col(f"{x}_lat").alias("lat"), F.col(f"{x}_lon").alias("lon"))
+    ends = gaps.select(F.col("gap").alias("line"), F.explode(F.array(end("a"), end("b"))).alias("e")).select("line", "e.*")
+    return slice_between(own, ends).withColumnRenamed("line", "gap")
+
+
+def recorded_connectors(recording: DataFrame, gaps: DataFrame, key: str = "line", **options) -> DataFrame:
+    """(key, ia, ib, ridden_m, note): the recording's stretch for each gap, or the note that the gap stays open."""
+    found = stretch_between(recording, gaps, key=key, **options)
+    return gaps.select(key).join(found, key, "left").withColumn("note", F.when(F.col("ia").isNull(), "open gap").otherwise("recorded"))
+
+
+def closed_loops(segments: DataFrame, candidates: DataFrame, threshold_m: float, beeline_most_m: float = 1500.0) -> DataFrame:
+    """(line, at, kind, grown_m): the loops' joints over threshold_m bridged by their accepted candidates.
+
+    segments (line, seq, kind, start_lat, start_lon, end_lat, end_lon); candidates (line, seq, no, rank, relaxed, trim, budget_m,
+    route_m) for the joint after seq."""
+    from ridgeline.operators.runs import joint_gaps
+
+    joints = joint_gaps(segments, threshold_m).select(F.struct("line", "seq").alias("gap"), F.col("gap_m").alias("beeline_m"))
+    c = candidates.withColumn("gap", F.struct("line", "seq"))
+    budgets = joints.join(c.groupBy("gap").agg(F.max("budget_m").alias("budget_m")), "gap")
+    taken = accepted(c.drop("budget_m"), budgets, beeline_most_m).select(F.col("gap").alias("_g"), F.col("no").alias("_n"))
+    bridges = c.join(taken, (F.col("gap") == F.col("_g")) & (F.col("no") == F.col("_n"))).select("line", F.col("seq").alias("pos"), F.col("route_m").alias("metres"))
+    return applied(segments.select("line", F.col("seq").alias("pos"), "kind"), bridges)

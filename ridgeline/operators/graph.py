@@ -33,10 +33,14 @@ def junctions(points: DataFrame, line: str = "line") -> DataFrame:
 
 def reached(edges: DataFrame, starts: DataFrame, hops: int) -> DataFrame:
     """(start, node, hops): breadth-first from each start (start) over edges (src, dst), each node at its fewest hops."""
+    # each hop's frontier is a table of its own, so no hop is worked out again by the next
+    cut = (lambda df: df.checkpoint()) if edges.sparkSession.sparkContext.getCheckpointDir() else (lambda df: df)
+    edges = cut(edges)
     seen = starts.select("start", F.col("start").alias("node"), F.lit(0).alias("hops"))
     front = seen
     for k in range(1, hops + 1):
         new = front.join(edges, front["node"] == edges["src"]).select("start", F.col("dst").alias("node")).distinct().join(seen, ["start", "node"], "left_anti").withColumn("hops", F.lit(k))
+        new = cut(new)
         seen, front = seen.union(new), new
     return seen
 

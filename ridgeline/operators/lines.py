@@ -237,3 +237,47 @@ def cut_by_index(points: DataFrame, cuts: DataFrame, line: str = "line", seq: st
     c = cuts.select(F.col(line).alias("_l"), "piece", "lo", "hi")
     met = points.join(c, (F.col(line) == F.col("_l")) & (F.col(seq) >= F.col("lo")) & (F.col(seq) < F.col("hi")))
     return met.select(*points.columns, "piece", (F.col(seq) - F.col("lo")).alias("k"))
+
+
+def chained_ways(pieces: DataFrame, tol_m: float = 25.0, group: str = "group") -> DataFrame:
+    """(group, seq, lat, lon, left_over): each group's pieces (group, piece, seq, lat, lon) as one line from the longest piece on;
+    left_over counts the pieces that fit nowhere. A group is one named line, which a task holds."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [g.sort_values("seq", kind="stable")[["lat", "lon"]].to_numpy(float) for _, g in pdf.groupby("piece", sort=True)]
+        line, left = chained(parts, tol_m)
+        return pd.DataFrame({group: pdf[group].iloc[0], "seq": np.arange(len(line)), "lat": line[:, 0], "lon": line[:, 1], "left_over": len(left)})
+
+    return pieces.groupBy(group).applyInPandas(run, f"{group} {dict(pieces.dtypes)[group]}, seq long, lat double, lon double, left_over long")
+
+
+def chained_sections(pieces: DataFrame, limit_m: float, line: str = "line") -> DataFrame:
+    """(line, piece, flipped, joint_m, ok): sections (line, piece, a_lat, a_lon, b_lat, b_lon) in their order, each turned so that
+    its nearer end follows the one before; ok is false where a joint is over limit_m, which a caller may refuse."""
+
+    def step(acc: Column, p: Column) -> Column:
+        to_a, to_b = (haversine_m(acc["lat"], acc["lon"], p[f"{x}_lat"], p[f"{x}_lon"]) for x in ("a", "b"))
+        flip = F.coalesce(to_b < to_a, F.lit(False))
+        joint = F.when(flip, to_b).otherwise(to_a)
+        row = F.struct(p["piece"].alias("piece"), flip.alias("flipped"), joint.alias("joint_m"))
+        end = lambda c: F.when(flip, p[f"a_{c}"]).otherwise(p[f"b_{c}"])
+        return F.struct(end("lat").alias("lat"), end("lon").alias("lon"), F.concat(acc["rows"], F.array(row)).alias("rows"))
+
+    kind = dict(pieces.dtypes)["piece"]
+    start = F.struct(F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.array().cast(f"array<struct<piece: {kind}, flipped: boolean, joint_m: double>>").alias("rows"))
+    each = pieces.groupBy(line).agg(F.sort_array(F.collect_list(F.struct("piece", "a_lat", "a_lon", "b_lat", "b_lon"))).alias("ps"))
+    rows = each.select(line, F.explode(F.aggregate("ps", start, step)["rows"]).alias("r")).select(line, "r.*")
+    return rows.withColumn("ok", F.coalesce(F.col("joint_m") <= limit_m, F.lit(True)))
+
+
+def built_trails(points: DataFrame, known: DataFrame, spacing_m: float = 0.5, eps_m: float = 2.0, climb_m: float = 15.0, line: str = "line", seq: str = "seq") -> DataFrame:
+    """(line, k, lat, lon, ele): raw points without near repeats, simplified, heights filled from a cache, turned where they climb
+    more than climb_m from end to end, rounded to 6 places."""
+    from ridgeline.sources.scans import elevations
+
+    p = douglas_peucker(min_spacing(points, spacing_m, line, seq), eps_m, line, seq)
+    p = elevations(p, known).withColumn("ele", F.coalesce("ele", "ele_found"))
+    whole = along(line, seq).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    climbs = F.coalesce(F.last("ele", True).over(whole) - F.first("ele", True).over(whole) > climb_m, F.lit(False))
+    turned = p.withColumn("_o", F.when(climbs, -F.col(seq)).otherwise(F.col(seq)))
+    return turned.withColumn("k", F.row_number().over(along(line, "_o")) - 1).select(line, "k", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "ele")

@@ -23,17 +23,57 @@ def _around(df: DataFrame, lat: str, lon: str, size: tuple[float, float]) -> Dat
     return df.withColumn("_o", F.explode(ring)).withColumn("_cy", cell(F.col(lat), size[0]) + F.col("_o.i")).withColumn("_cx", cell(F.col(lon), size[1]) + F.col("_o.j")).drop("_o")
 
 
+#: Places that a list may have to be sent to every task as one array; longer lists go by cells.
+FEW = 1000
+
+
+def place_list(places: DataFrame) -> DataFrame | None:
+    """All rows of a short list as one row with an array `_places`, null where the list has more than FEW rows."""
+    if places.limit(FEW + 1).count() > FEW:
+        return None
+    return F.broadcast(places.agg(F.collect_list(F.struct(*places.columns)).alias("_places")))
+
+
 def nearest_anchor(lines: DataFrame, anchors: DataFrame, max_km: float | None = None, key: str = "line") -> DataFrame:
-    """Each line (key, lat, lon) with the nearest of the anchors (anchor, lat, lon; a town list, sent to every task while
-    under a million rows) and km; ties to the smaller anchor. Beyond max_km the anchor is null."""
-    few = anchors.limit(1_000_001).count() <= 1_000_000
+    """Each line (key, lat, lon) with the nearest of the anchors (anchor, lat, lon) and km; ties to the smaller anchor. Beyond
+    max_km the anchor is null.
+
+    A short list is an array that each row looks through, without a shuffle; a longer one goes by cells, in sizes that
+    grow until every line has one near enough to be sure."""
     a = anchors.select("anchor", F.col("lat").alias("_alat"), F.col("lon").alias("_alon"))
-    pairs = lines.crossJoin(F.broadcast(a) if few else a)
-    d = haversine_m(F.col("lat"), F.col("lon"), F.col("_alat"), F.col("_alon")) / 1000
-    best = pairs.groupBy(key).agg(F.min(F.struct(d.alias("km"), F.col("anchor"))).alias("b")).select(key, "b.km", "b.anchor")
-    if max_km is not None:
-        best = best.withColumn("anchor", F.when(F.col("km") <= max_km, F.col("anchor")))
-    return lines.join(best, key)
+    listed = place_list(a)
+    if listed is not None:
+        d = F.transform("_places", lambda p: F.struct((haversine_m(F.col("lat"), F.col("lon"), p["_alat"], p["_alon"]) / 1000).alias("km"), p["anchor"].alias("anchor")))
+        best = lines.crossJoin(listed).withColumn("_b", F.array_min(d)).drop("_places")
+    else:
+        best = _nearest_by_rings(lines, a, key)
+    best = best.withColumn("km", F.col("_b.km")).withColumn("anchor", F.col("_b.anchor")).drop("_b")
+    return best if max_km is None else best.withColumn("anchor", F.when(F.col("km") <= max_km, F.col("anchor")))
+
+
+def cheapest_places(lines: DataFrame, places: DataFrame, k: int, key: str = "line") -> DataFrame:
+    """(key, rank, anchor, cost): the k places (anchor, la, lo, extra) of a short list with the smallest metres plus extra."""
+    listed = place_list(places)
+    if listed is None:
+        raise ValueError(f"cheapest_places: more than {FEW} places; their extras have no bound by distance")
+    cost = F.transform("_places", lambda p: F.struct((haversine_m(F.col("lat"), F.col("lon"), p["la"], p["lo"]) + p["extra"]).alias("cost"), p["anchor"].alias("anchor")))
+    best = lines.crossJoin(listed).select(key, F.posexplode(F.slice(F.array_sort(cost), 1, k)).alias("rank", "b"))
+    return best.select(key, (F.col("rank") + 1).alias("rank"), "b.anchor", "b.cost")
+
+
+def _nearest_by_rings(lines: DataFrame, anchors: DataFrame, key: str, sizes: tuple[float, ...] = (0.05, 0.5, 5.0, 45.0)) -> DataFrame:
+    """lines with _b (km, anchor): cells of growing size; a line is settled where its nearest lies closer than a cell's side."""
+    open_, found = lines.select(key, F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")), None
+    for k, size in enumerate(sizes):
+        q = _around(open_, "_qlat", "_qlon", (size, size))
+        p = anchors.withColumn("_cy", cell(F.col("_alat"), size)).withColumn("_cx", cell(F.col("_alon"), size))
+        d = haversine_m(F.col("_qlat"), F.col("_qlon"), F.col("_alat"), F.col("_alon")) / 1000
+        b = q.join(p, ["_cy", "_cx"]).groupBy(key).agg(F.min(F.struct(d.alias("km"), "anchor")).alias("_b"), F.first("_qlat").alias("_qlat"))
+        sure = b if k == len(sizes) - 1 else b.where(F.col("_b.km") <= size * 110.5 * F.cos(F.radians(F.abs("_qlat") + size)))
+        sure = sure.select(F.col(key).alias("_k"), "_b")
+        found = sure if found is None else found.union(sure)
+        open_ = open_.join(sure, F.col(key) == F.col("_k"), "left_anti")
+    return lines.join(found, F.col(key) == F.col("_k"), "left").drop("_k")
 
 
 def nearest_in_cells(probes: DataFrame, points: DataFrame, max_m: float, size: tuple[float, float], key: str = "probe", other: str = "point") -> DataFrame:

@@ -78,3 +78,36 @@ def concatenation_errors(line_points: DataFrame, segment_points: DataFrame, line
     cols = [line, "seq", "lat", "lon"]
     a, b = line_points.select(*cols), segment_points.select(*cols)
     return a.exceptAll(b).withColumn("side", F.lit("line")).union(b.exceptAll(a).withColumn("side", F.lit("segments")))
+
+
+def falling(rows: DataFrame, key: str, order: str, value: str, rule: str) -> Violations:
+    """Rows whose value is below the one before it along the key."""
+    from pyspark.sql import Window as W
+
+    before = F.lag(value).over(W.partitionBy(key).orderBy(order))
+    bad = rows.withColumn("_before", before).where(F.col(value) < F.col("_before"))
+    return _found(bad.groupBy(key).agg(F.count(F.lit(1)).alias("n")), rule, F.col(key), F.col("n"))
+
+
+def not_one_of(rows: DataFrame, key: str, column: str, values: list, rule: str) -> Violations:
+    return _found(rows.where(~F.coalesce(F.col(column).isin(values), F.lit(False))), rule, F.col(key), F.coalesce(F.col(column).cast("string"), F.lit("null")))
+
+
+def misnamed(rows: DataFrame, key: str, pattern: str, rule: str) -> Violations:
+    return _found(rows.where(~F.coalesce(F.col(key).rlike(pattern), F.lit(False))), rule, F.col(key), F.lit(pattern))
+
+
+def wrong_extents(rows: DataFrame, key: str, declared: DataFrame, rule: str, places: int = 5) -> Violations:
+    """Keys whose declared box (min_lat, min_lon, max_lat, max_lon) is not that of their points."""
+    sides = {f"{n}_{c}": f(c) for n, f in (("min", F.min), ("max", F.max)) for c in ("lat", "lon")}
+    real = rows.groupBy(key).agg(*(F.round(v, places).alias(f"r_{k}") for k, v in sides.items()))
+    both = real.join(declared.withColumnRenamed(key, "_k"), F.col(key) == F.col("_k"))
+    wrong = [k for k in sides]
+    differ = F.concat_ws(",", *(F.when(~F.round(k, places).eqNullSafe(F.col(f"r_{k}")), k) for k in wrong))
+    return _found(both.withColumn("_d", differ).where("_d <> ''"), rule, F.col(key), F.col("_d"))
+
+
+def stale_hashes(manifest: DataFrame, files: DataFrame, rule: str) -> Violations:
+    """Keys whose hash (key, hash) differs between manifest and files, or that one side lacks."""
+    d = snapshot_diff(manifest, files, "key", "hash").where("state <> 'same'")
+    return _found(d, rule, F.col("key"), F.col("state"))

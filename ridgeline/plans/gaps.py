@@ -288,3 +288,31 @@ def own_spacing(spark, sf_dir):
     """The upper median of a line's steps."""
     s = lines.with_steps(track(spark, sf_dir)).where("step_m > 0")
     return s.groupBy("line").agg(F.round(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY step_m DESC)"), 3).alias("spacing_m"))
+
+
+# --- whole jobs -----------------------------------------------------------------------------------------------------
+
+
+def _gap_box(k: int) -> str:
+    return f"""b AS (SELECT gap, least(a_lat, b_lat) - {k} / 111320.0 AS la, greatest(a_lat, b_lat) + {k} / 111320.0 AS ha, least(a_lon, b_lon) - {k} / (111320 * cos(radians((a_lat + b_lat) / 2))) AS lo, greatest(a_lon, b_lon) + {k} / (111320 * cos(radians((a_lat + b_lat) / 2))) AS ho FROM g)"""
+
+
+@query(f"WITH {TOWNS}, {_NETWORK}, g AS (SELECT o_orderkey AS gap, {_GAP_ENDS} FROM orders WHERE o_orderkey % 7 = 0), {_gap_box(300)} SELECT gap, line AS way FROM b JOIN net ON net.lat <= ha AND net.lat2 >= la AND net.lon <= ho AND net.lon2 >= lo")
+def gap_ways(spark, sf_dir):
+    return gaps.ways_for_gaps(_ways(spark, sf_dir), _gap_ends(spark, sf_dir).where("gap % 7 = 0"), 300.0)
+
+
+@query(f"WITH {TOWNS}, {_NETWORK}, g AS (SELECT o_orderkey AS gap, {_GAP_ENDS} FROM orders WHERE o_orderkey % 7 = 0), {_gap_box(300)}, v AS (SELECT line, lat, lon FROM net UNION ALL SELECT line, lat2, lon2 FROM net) SELECT DISTINCT gap, line AS way FROM b JOIN v ON lat BETWEEN la AND ha AND lon BETWEEN lo AND ho")
+def gap_way_vertices(spark, sf_dir):
+    return gaps.ways_for_gaps(_ways(spark, sf_dir), _gap_ends(spark, sf_dir).where("gap % 7 = 0"), 300.0, vertices=True)
+
+
+@query(f"""WITH {CUM}, x AS (SELECT line, seq, km * 1000 AS m, {hav("lat", "lon", "46.01", "10.02")} <= 900 AS at_a, {hav("lat", "lon", "46.03", "10.03")} <= 900 AS at_b, {_STRETCH_GAP} AS gap FROM cum),
+ y AS (SELECT p.line, p.seq AS ia, q.seq AS ib, q.m - p.m AS r FROM x p JOIN x q ON p.line = q.line AND p.seq < q.seq AND p.at_a AND q.at_b AND q.m - p.m >= p.gap - 5 AND q.m - p.m <= greatest(2 * p.gap, p.gap + 250)),
+ z AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY r, ia, ib) AS rk FROM y) WHERE rk = 1)
+SELECT t.line, ia, ib, round(r, 1) AS ridden_m, CASE WHEN ia IS NULL THEN 'open gap' ELSE 'recorded' END AS note FROM (SELECT DISTINCT line FROM cum) t LEFT JOIN z USING (line)""")
+def recorded_connectors(spark, sf_dir):
+    c = lines.cumulative_km(track(spark, sf_dir)).select("line", "seq", "lat", "lon", (F.col("km") * 1000).alias("m"))
+    a, b = (tuple(map(F.lit, _ENDS[k])) for k in ("a", "b"))
+    g = c.select("line").distinct().select("line", a[0].alias("a_lat"), a[1].alias("a_lon"), b[0].alias("b_lat"), b[1].alias("b_lon"), geo.haversine_m(*a, *b).alias("gap_m"))
+    return gaps.recorded_connectors(c, g, within_m=900.0, times=2.0).select("line", "ia", "ib", F.round("ridden_m", 1).alias("ridden_m"), "note")

@@ -340,10 +340,9 @@ def grid_nearest(spark, sf_dir):
 @query(f"""WITH {TRAILS}, {TOWNS}, d AS (SELECT t.line, a.anchor, {hav("t.lat", "t.lon", "a.lat", "a.lon")} + a.region * 10 AS cost FROM trails t, towns a)
 SELECT line, anchor, rk AS rank, round(cost, 2) AS cost FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY cost, anchor) AS rk FROM d) WHERE rk <= 3""")
 def topk_nearest(spark, sf_dir):
-    a = towns(spark, sf_dir).select("anchor", F.col("lat").alias("la"), F.col("lon").alias("lo"), "region")
-    cost = geo.haversine_m(F.col("lat"), F.col("lon"), F.col("la"), F.col("lo")) + F.col("region") * 10
-    d = trails(spark, sf_dir).crossJoin(F.broadcast(a)).select("line", "anchor", cost.alias("cost"))
-    return d.withColumn("rank", F.row_number().over(W.partitionBy("line").orderBy("cost", "anchor"))).where("rank <= 3").select("line", "anchor", F.col("rank").cast("long").alias("rank"), F.round("cost", 2).alias("cost"))
+    a = towns(spark, sf_dir).select("anchor", F.col("lat").alias("la"), F.col("lon").alias("lo"), (F.col("region") * 10).alias("extra"))
+    got = nearest.cheapest_places(trails(spark, sf_dir), a, 3)
+    return got.select("line", "anchor", F.col("rank").cast("long").alias("rank"), F.round("cost", 2).alias("cost"))
 
 
 # --- rules and ranking ----------------------------------------------------------------------------------------------
@@ -599,7 +598,7 @@ SELECT c.pair, coalesce(b.seq, c.seq) AS seq, round(coalesce(b.gap_m, c.gap_m),
 def junction_candidates(spark, sf_dir):
     c = lines.cumulative_km(track(spark, sf_dir))
     d = c.select(F.col("line").alias("pair"), "seq", (F.col("km") * 1000).alias("along_m"), geo.haversine_m(F.col("lat"), F.col("lon"), F.lit(46.02), F.lit(10.02)).alias("gap_m"))
-    return chain.junction_candidates(d, 1000.0, 150.0).where("rank = 1").select("pair", "seq", F.round("gap_m", 2).alias("gap_m"), "fallback")
+    return chain.junction_candidates(d, 1000.0, 150.0, cap=1).select("pair", "seq", F.round("gap_m", 2).alias("gap_m"), "fallback")
 
 
 # --- folds, without SQL ---------------------------------------------------------------------------------------------

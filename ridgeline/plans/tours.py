@@ -410,3 +410,101 @@ def index_cuts(spark, sf_dir):
     cuts = spark.createDataFrame([(0, 0, 10), (1, 5, 25), (2, 40, 45)], "piece int, lo int, hi int")
     t = track(spark, sf_dir)
     return lines.cut_by_index(t.select("line", "seq"), t.select("line").distinct().join(F.broadcast(cuts))).select("line", "piece", "k", "seq")
+
+
+# --- validators, sinks, streams, SQL functions ----------------------------------------------------------------------
+
+
+@query("""WITH ext AS (SELECT c_nationkey AS k, round(min(46 + (c_custkey * 37 % 1000) / 20000.0::DOUBLE), 5) AS a, round(max(46 + (c_custkey * 37 % 1000) / 20000.0::DOUBLE), 5) AS b FROM customer GROUP BY 1)
+SELECT 'falling' AS rule, o_custkey::VARCHAR AS entity, count(*)::VARCHAR AS detail FROM (SELECT o_custkey, o_totalprice, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS p FROM orders) WHERE o_totalprice < p GROUP BY 2
+UNION ALL SELECT 'segment', c_custkey::VARCHAR, c_mktsegment FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY')
+UNION ALL SELECT 'name', p_name, '^[a-z]+ [a-z]' FROM part WHERE NOT regexp_matches(p_name, '^[a-z]+ [a-z]')
+UNION ALL SELECT 'extents', k::VARCHAR, 'min_lat,max_lat' FROM ext WHERE k % 3 = 0
+UNION ALL SELECT 'hash', n_name, CASE WHEN n_nationkey % 5 = 0 THEN 'changed' ELSE 'removed' END FROM nation WHERE n_nationkey % 5 = 0 OR n_nationkey > 20""")
+def region_validator(spark, sf_dir):
+    c, o, p, n = (table(spark, sf_dir, t) for t in ("customer", "orders", "part", "nation"))
+    k = F.col("c_custkey")
+    points = c.select(F.col("c_nationkey").alias("k"), (46 + (k * 37 % 1000) / 20000.0).alias("lat"), (10 + (k * 91 % 1000) / 20000.0).alias("lon"))
+    sides = [f(x).alias(f"{m}_{x}") for m, f in (("min", F.min), ("max", F.max)) for x in ("lat", "lon")]
+    off = F.when(F.col("k") % 3 == 0, 0.01).otherwise(0.0)
+    declared = points.groupBy("k").agg(*sides).withColumn("min_lat", F.col("min_lat") + off).withColumn("max_lat", F.col("max_lat") + off)
+    hashed = n.select(F.col("n_name").alias("key"), F.md5("n_name").alias("hash"), "n_nationkey")
+    files = hashed.where("n_nationkey <= 20").withColumn("hash", F.when(F.col("n_nationkey") % 5 == 0, "x").otherwise(F.col("hash")))
+    return tables.all_violations([
+        tables.falling(o, "o_custkey", "o_orderkey", "o_totalprice", "falling"), tables.not_one_of(c, "c_custkey", "c_mktsegment", ["BUILDING", "AUTOMOBILE", "MACHINERY"], "segment"),
+        tables.misnamed(p, "p_name", "^[a-z]+ [a-z]", "name"), tables.wrong_extents(points, "k", declared, "extents"), tables.stale_hashes(hashed, files, "hash"),
+    ])
+
+
+@query(f"WITH {TRAILS} SELECT nation AS region_key, '{{ label: \"N' || nation || '\", trailCount: ' || count(*) || ', bounds: [[' || printf('%.5f', min(lat)) || ', ' || printf('%.5f', min(lon)) || '], [' || printf('%.5f', max(lat)) || ', ' || printf('%.5f', max(lon)) || ']], subRegions: [' || string_agg(DISTINCT diff, ', ' ORDER BY diff) || '] }}' AS entry FROM trails GROUP BY 1")
+def catalog_entries(spark, sf_dir):
+    from ridgeline.sources.sinks import catalog_entries as entries
+
+    t = trails(spark, sf_dir)
+    return entries(t.select(F.col("nation").alias("region_key"), F.concat(F.lit("N"), F.col("nation").cast("string")).alias("label"), F.col("diff").alias("sub"), "lat", "lon"))
+
+
+@query(f"WITH {TRAILS} SELECT nation AS region_key, count(*) AS trails, count(*) * 2 AS points, count(*) FILTER (line % 5 = 0) AS lifts, count(*) FILTER (line % 5 = 0) > 0 AS has_lifts FROM trails GROUP BY 1")
+def region_documents(spark, sf_dir):
+    """Region documents with all their parts, read again."""
+    from ridgeline.sources.sinks import region_documents as documents
+
+    t = trails(spark, sf_dir).select(F.col("nation").alias("region_key"), F.col("line").cast("string").alias("id"), "name", "lat", "lon", "line")
+    both = t.select("region_key", "id", F.explode(F.array(F.lit(0), F.lit(1))).alias("seq"), "lat", "lon")
+    prof = both.select("region_key", "id", F.col("seq").alias("k"), F.col("seq").cast("double").alias("km"), F.lit(500.0).alias("ele"))
+    lifts = t.where("line % 5 = 0").select("region_key", "id", "name")
+    d = documents(t.select("region_key", "id", "name"), both, prof, places=t.select("region_key", "name"), lifts=lifts)
+    back = F.from_json("document", "struct<lineTrails: array<struct<id: string>>, trailGeo: map<string, array<array<double>>>, lifts: array<struct<id: string>>>")
+    x = d.select("region_key", "document", back.alias("x"))
+    points = F.aggregate(F.map_values("x.trailGeo"), F.lit(0), lambda a, p: a + F.size(p))
+    return x.select("region_key", F.size("x.lineTrails").cast("long").alias("trails"), points.cast("long").alias("points"), F.coalesce(F.greatest(F.size("x.lifts"), F.lit(0)), F.lit(0)).cast("long").alias("lifts"), F.contains("document", F.lit('"lifts":')).alias("has_lifts"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN '–' ELSE round(value * 3.6)::BIGINT || ' km/h' END AS kmh, CASE WHEN event_id % 6 = 0 THEN '–' ELSE (event_id % 3000) || ' m' END AS altitude_shown FROM events")
+def live_readout(spark, sf_dir):
+    from ridgeline.streaming.tracks import readout
+
+    i = F.col("event_id")
+    fixes = table(spark, sf_dir, "events").select("event_id", F.when(i % 4 != 0, F.col("value")).alias("speed"), F.when(i % 6 != 0, (i % 3000).cast("double")).alias("altitude"))
+    return readout(fixes).select("event_id", "kmh", "altitude_shown")
+
+
+@query("SELECT p_partkey AS slug, CASE WHEN p_partkey % 2 = 0 AND p_partkey % 3 <> 0 THEN 'old' ELSE 'new' END AS body FROM part")
+def resumed_harvest(spark, sf_dir):
+    """What an interrupted harvest left, and what a second run fetches of the rest or anew, put in by key."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("slug"))
+    kept = p.where("slug % 2 = 0").withColumn("body", F.lit("old"))
+    rest = p.join(kept.select("slug"), "slug", "left_anti").unionByName(p.where("slug % 6 = 0")).withColumn("body", F.lit("new"))
+    from ridgeline.sources.sinks import upsert
+
+    return upsert(kept, rest, "slug")
+
+
+@query(f"""WITH RECURSIVE s AS (SELECT s_suppkey AS id, 46 + (s_suppkey * 53 % 1000) / 20000.0::DOUBLE AS lat, 10 + (s_suppkey * 71 % 1000) / 20000.0::DOUBLE AS lon, row_number() OVER (ORDER BY s_suppkey) AS rk FROM supplier),
+ g AS (SELECT 0::BIGINT AS rk, NULL::BIGINT AS id, false AS keep, []::STRUCT(a DOUBLE, b DOUBLE)[] AS kept UNION ALL SELECT x.rk, x.id, x.ok, CASE WHEN x.ok THEN list_append(x.kept, struct_pack(a := x.lat, b := x.lon)) ELSE x.kept END FROM (SELECT s.*, g.kept, len(list_filter(g.kept, lambda k: {hav("k.a", "k.b", "s.lat", "s.lon")} <= 500)) = 0 AS ok FROM g JOIN s ON s.rk = g.rk + 1) x)
+SELECT id FROM g WHERE keep""")
+def ordered_duplicates(spark, sf_dir):
+    """Places in order of id; one goes if one that stays before it lies within 500 m."""
+    from ridgeline.operators.gaps import closest_vertices
+
+    s = F.col("s_suppkey")
+    p = table(spark, sf_dir, "supplier").select(s.alias("id"), F.lit(0).alias("seq"), (46 + (s * 53 % 1000) / 20000.0).alias("lat"), (10 + (s * 71 % 1000) / 20000.0).alias("lon"))
+    near = closest_vertices(p.withColumnRenamed("id", "a"), p.withColumnRenamed("id", "b"), 500.0, (0.006, 0.009)).where("a < b").select("a", "b")
+    return ranking.greedy_survivors(p.select("id"), near)
+
+
+@query(f"WITH {TRACK}, {_EDGE} SELECT line, seq, round({hav('lat', 'lon', 'lat2', 'lon2')}, 3) AS m FROM edge WHERE lat2 IS NOT NULL")
+def sql_functions(spark, sf_dir):
+    """The kernels as SQL functions of the session."""
+    from ridgeline.functions import sql
+
+    sql.register(spark)
+    e = nearest.edges_of(track(spark, sf_dir))
+    return e.select("line", "seq", F.round(F.expr("haversine_m(lat, lon, lat2, lon2)"), 3).alias("m"))
+
+
+@query(f"WITH {SEGMENTS}, c AS (SELECT line, seq, start_lat, start_lon, end_lat, end_lon FROM seg WHERE seq = 1 OR seq = 2) SELECT p.line, 2::BIGINT AS piece, {hav('p.end_lat', 'p.end_lon', 'q.end_lat', 'q.end_lon')} < {hav('p.end_lat', 'p.end_lon', 'q.start_lat', 'q.start_lon')} AS flipped, round(least({hav('p.end_lat', 'p.end_lon', 'q.end_lat', 'q.end_lon')}, {hav('p.end_lat', 'p.end_lon', 'q.start_lat', 'q.start_lon')}), 2) AS joint_m FROM c p JOIN c q ON p.line = q.line AND p.seq = 1 AND q.seq = 2")
+def section_chain(spark, sf_dir):
+    """The first two segments of each line as sections: how the second has to be turned."""
+    s = _segments(spark, sf_dir).where("seq <= 2").select("line", F.col("seq").alias("piece"), F.col("start_lat").alias("a_lat"), F.col("start_lon").alias("a_lon"), F.col("end_lat").alias("b_lat"), F.col("end_lon").alias("b_lon"))
+    return lines.chained_sections(s, 1000.0).where("piece = 2").select("line", "piece", "flipped", F.round("joint_m", 2).alias("joint_m"))

@@ -11,15 +11,34 @@ from pyspark.sql import functions as F
 REGION_KEYS = ("lineTrails", "trailGeo", "elevationProfiles", "places", "trailSegments", "lifts")
 
 
-def region_documents(trails: DataFrame, points: DataFrame, profiles: DataFrame, key: str = "region_key") -> DataFrame:
-    """(key, document): one JSON text a region from the tables of trails (id and its fields), points (id, seq, lat, lon) and
-    profiles (id, k, km, ele). Written with df.write.text it is one file a region."""
-    t = trails.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*[c for c in trails.columns if c != key]))).alias("lineTrails"))
-    line = points.groupBy(key, "id").agg(F.sort_array(F.collect_list(F.struct("seq", F.array("lat", "lon").alias("p")))).alias("a"))
-    g = line.groupBy(key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("id", F.transform("a", lambda x: x["p"]).alias("v"))))).alias("trailGeo"))
-    prof = profiles.groupBy(key, "id").agg(F.sort_array(F.collect_list(F.struct("k", F.array("km", "ele").alias("p")))).alias("a"))
-    e = prof.groupBy(key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("id", F.transform("a", lambda x: x["p"]).alias("v"))))).alias("elevationProfiles"))
-    return t.join(g, key, "left").join(e, key, "left").select(key, F.to_json(F.struct("lineTrails", "trailGeo", "elevationProfiles")).alias("document"))
+def region_documents(trails: DataFrame, points: DataFrame, profiles: DataFrame, places: DataFrame | None = None, segments: DataFrame | None = None, lifts: DataFrame | None = None, key: str = "region_key") -> DataFrame:
+    """(key, document): one JSON text a region from the tables of trails (id and its fields), points (id, seq, lat, lon),
+    profiles (id, k, km, ele), and where given places, segments (loop_id, pos and its fields) and lifts; the last two are
+    left out of a region that has none. Written with df.write.text it is one file a region, which is the sink's unit."""
+
+    def rows_of(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*[c for c in df.columns if c != key]))).alias(name))
+
+    def by_id(df: DataFrame, order: str, pair: tuple[str, str], name: str) -> DataFrame:
+        each = df.groupBy(key, "id").agg(F.sort_array(F.collect_list(F.struct(order, F.array(*pair).alias("p")))).alias("a"))
+        return each.groupBy(key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("id", F.transform("a", lambda x: x["p"]).alias("v"))))).alias(name))
+
+    parts = [by_id(points, "seq", ("lat", "lon"), "trailGeo"), by_id(profiles, "k", ("km", "ele"), "elevationProfiles")]
+    parts += [rows_of(df, name) for df, name in ((places, "places"), (segments, "trailSegments"), (lifts, "lifts")) if df is not None]
+    out = rows_of(trails, "lineTrails")
+    for p in parts:
+        out = out.join(p, key, "left")
+    return out.select(key, F.to_json(F.struct(*[k for k in REGION_KEYS if k in out.columns])).alias("document"))
+
+
+def catalog_entries(rows: DataFrame, key: str = "region_key") -> DataFrame:
+    """(key, entry): a region's catalog text from rows (key, label, sub, lat, lon): label, number, bounds to 5 places and the
+    sub-regions in use."""
+    side = lambda x: F.format_string("%.5f", x)
+    g = rows.groupBy(key).agg(F.first("label").alias("label"), F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_set("sub")), ", ").alias("subs"), *(f(c).alias(f"{m}_{c}") for m, f in (("min", F.min), ("max", F.max)) for c in ("lat", "lon")))
+    bounds = F.concat(F.lit("[["), side(F.col("min_lat")), F.lit(", "), side(F.col("min_lon")), F.lit("], ["), side(F.col("max_lat")), F.lit(", "), side(F.col("max_lon")), F.lit("]]"))
+    entry = F.concat(F.lit('{ label: "'), "label", F.lit('", trailCount: '), F.col("n").cast("string"), F.lit(", bounds: "), bounds, F.lit(", subRegions: ["), "subs", F.lit("] }"))
+    return g.select(key, entry.alias("entry"))
 
 
 def region_text(document: dict) -> str:
