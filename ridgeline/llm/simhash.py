@@ -64,10 +64,15 @@ def fingerprints(docs: DataFrame, keep: list[str], n: int = 4, seed: int = 42, t
 
 
 def within(fps: np.ndarray, group: np.ndarray, radius: int = 4, chunk: int = 1 << 19) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, later members of i's group within the radius of i), for each i that has any. fps lie group by group."""
+    """(i, later members of i's group within the radius of i), for each i that has any. fps lie group by group.
+
+    A fingerprint is a number, or a row of numbers where it has more bits than one.
+    """
     n = len(fps)
     if n < 2:
         return
+    fps = fps.reshape(n, -1)
+    bits = fps.shape[1] * BITS
     head = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     size = np.diff(np.append(head, n))
     many = np.repeat(size > 1, size)
@@ -78,13 +83,16 @@ def within(fps: np.ndarray, group: np.ndarray, radius: int = 4, chunk: int = 1 <
     lane = in_group % 64
     row_of = np.full((first_word[-1], 64), -1, np.int64)
     row_of[word, lane] = np.arange(n)
-    lanes = np.where(row_of >= 0, fps[row_of], U(0))
-    planes = [np.packbits(((lanes >> U(j)) & U(1)).astype(bool), axis=1, bitorder="little").view(U).ravel() for j in range(BITS)]
+    planes = []
+    for k in range(fps.shape[1]):
+        lanes = np.where(row_of >= 0, fps[row_of, k], U(0))
+        planes += [np.packbits(((lanes >> U(j)) & U(1)).astype(bool), axis=1, bitorder="little").view(U).ravel() for j in range(BITS)]
+        del lanes
     valid = np.packbits(row_of >= 0, axis=1, bitorder="little").view(U).ravel()
-    del lanes
     last_word = np.repeat(first_word[1:], size)
     reps = np.where(many, last_word - word, 0)
     done = np.concatenate([[0], np.cumsum(reps)])
+    n_counters = max(radius.bit_length(), 1)
     lo = 0
     while lo < n:
         hi = max(int(np.searchsorted(done, done[lo] + chunk, "right")) - 1, lo + 1)
@@ -95,21 +103,25 @@ def within(fps: np.ndarray, group: np.ndarray, radius: int = 4, chunk: int = 1 <
         live[own] &= ~((U(2) << lane[r[own]].astype(U)) - U(1))
         lo = hi
         q = fps[r]
-        c1, c2, c4, over = (np.zeros(len(r), U) for _ in range(4))
-        for j in range(BITS):
-            d = planes[j][w] ^ (U(0) - ((q >> U(j)) & U(1)))
-            d, c1 = c1 & d, c1 ^ d
-            d, c2 = c2 & d, c2 ^ d
-            d, c4 = c4 & d, c4 ^ d
+        counters, over = [np.zeros(len(r), U) for _ in range(n_counters)], np.zeros(len(r), U)
+        for j in range(bits):
+            d = planes[j][w] ^ (U(0) - ((q[:, j // BITS] >> U(j % BITS)) & U(1)))
+            for k in range(n_counters):
+                d, counters[k] = counters[k] & d, counters[k] ^ d
             over |= d
-            if j % 4 == 3 and j > 8 or j == BITS - 1:
-                beyond = over.copy()
-                for k in range(radius + 1, 8):
-                    beyond |= (c4 if k & 4 else ~c4) & (c2 if k & 2 else ~c2) & (c1 if k & 1 else ~c1)
+            if j % 4 == 3 and j > 2 * radius or j == bits - 1:
+                beyond, equal = over.copy(), ~over
+                for k in reversed(range(n_counters)):
+                    if radius >> k & 1:
+                        equal &= counters[k]
+                    else:
+                        beyond |= equal & counters[k]
+                        equal &= ~counters[k]
                 live &= ~beyond
                 stay = live != 0
-                if j == BITS - 1 or stay.mean() < 0.8:
-                    r, w, q, live, c1, c2, c4, over = (x[stay] for x in (r, w, q, live, c1, c2, c4, over))
+                if j == bits - 1 or stay.mean() < 0.8:
+                    r, w, q, live, over = (x[stay] for x in (r, w, q, live, over))
+                    counters = [x[stay] for x in counters]
                     if not len(r):
                         break
         if len(r):

@@ -4,6 +4,7 @@ import numpy as np
 
 import corpus_pipeline as P
 from ridgeline.llm import nearcopies
+from ridgeline.llm.simhash import within
 from tests.llm.conftest import SCHEMA, prose
 
 
@@ -79,3 +80,26 @@ def test_a_shingle_is_the_same_anywhere():
 
 def test_empty(empty):
     assert nearcopies.grouped(empty).count() == 0
+
+
+def test_bits_of_long_fingerprints():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 64, (20, 2), dtype=np.uint64)
+    fps = np.repeat(base, 15, axis=0)
+    for _ in range(30):
+        fps[np.arange(300), rng.integers(0, 2, 300)] ^= np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64)
+    group = np.sort(rng.integers(0, 4, 300))
+    away = np.bitwise_count(fps[:, None] ^ fps[None]).sum(2)
+    for radius in (0, 1, 4, 31, 32, 52):
+        got = {(i, int(j)) for i, others in within(fps, group, radius, chunk=500) for j in others}
+        want = {(i, j) for i in range(300) for j in range(i + 1, 300) if group[i] == group[j] and away[i, j] <= radius}
+        assert got == want
+
+
+def test_pairs_at_the_least_similarity_are_within_the_radius():
+    rng = np.random.default_rng(5)
+    for n in (4, 8, 40, 400):
+        for _ in range(300):
+            x = rng.integers(0, 1 << 64, n + n // 4, dtype=np.uint64)
+            a, b = nearcopies.fingerprint(x), nearcopies.fingerprint(x[:n])
+            assert np.bitwise_count(a ^ b).sum() <= nearcopies.RADIUS
