@@ -47,7 +47,7 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the document with the smallest id.
 
-    Rows with one id are one document: those with equal texts become one row, others stay together. A row without an
+    SimHash fingerprints, compared bit-sliced, choose the pairs that the shingles decide. Rows with one id are one document: those with equal texts become one row, others stay together. A row without an
     id is in no group and stays. Texts without words are one group. An empty table stays empty. Extra columns are
     not touched, whatever their names.
     """
@@ -83,7 +83,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_copies", drop_near_copies), ("repeats", cut_repeats), ("packing", pack)]
 
-#: Learned models, suffix arrays and tokenizers are beyond SQL; tests/llm/test_pipeline.py works each stage out again.
+#: Learned models, suffix arrays and tokenizers are beyond SQL; tests/llm holds near copies and repeats against
+#: brute force stage by stage, and the verdicts of the other stages' operators against planted cases.
 ORACLE_SQL = None
 
 
