@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -5,6 +6,8 @@ import pytest
 import corpus_pipeline as P
 from ridgeline.llm import queries
 from tests.llm.conftest import SCHEMA, prose
+from tests.llm.test_near_copies import brute
+from tests.llm.test_text_operators import brute_repeats
 
 COLUMNS = [c.split()[0].strip("`") for c in SCHEMA.split(", ")]
 
@@ -40,7 +43,9 @@ def test_stages_take_effect(spark, tables):
     assert not any(i % 6 == 0 for i in toxic if i < 300) and {1, 301, 303, 304} <= set(toxic)
     assert 303 not in poor and 304 not in poor and {1, 2, 3, 301, 302} <= set(poor)
     assert 2 in copies and 301 not in copies and {1, 3, 7} <= set(copies)
-    assert set(repeats) == set(copies)
+    assert set(copies) == set(brute(list(poor.items())).values())
+    cut = {k: sha for k, _, _, _, sha in brute_repeats(list(copies.items()))}
+    assert {k: hashlib.sha256(t.encode()).hexdigest() for k, t in repeats.items()} == cut
     assert shared in repeats[1] and shared not in repeats[7] and shared not in repeats[13]
     assert P.STAGES[-1][1](spark, docs, folder).groupBy("sequence_id").sum("length").count() > 3
 
