@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import bpe, grulm, lattice, licenses, packing, quality, sharding, simhash, suffix, toxicity
+from ridgeline.llm import bpe, grulm, lattice, licenses, packing, pieces, quality, sharding, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,7 +78,18 @@ def op10_fuzzy_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~toxicity.trained_on(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op2_linear_suffix_dedup, op3_boosted_quality, op4_simhash_groups, op5_hilbert_packing, op6_chunk_reuse_bpe, op7_two_pass_shuffle, op8_lattice_links, op9_gated_lm, op10_fuzzy_lexicon)}
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op13_prefix_table_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of whole texts, as digests. Null texts are empty."""
+    return pieces.encoded(_table(spark, sf_dir, "documents"), ["doc_id"], piece_model()).drop("ids")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op2_linear_suffix_dedup, op3_boosted_quality, op4_simhash_groups, op5_hilbert_packing, op6_chunk_reuse_bpe, op7_two_pass_shuffle, op8_lattice_links, op9_gated_lm, op10_fuzzy_lexicon, op13_prefix_table_pieces)}
 
 #: All pairs, which DuckDB can afford on a small table. The other operators' hashes, models and tokenizers are beyond SQL: tests/llm works them out again.
 ORACLE_SQL: dict[str, str] = {
