@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import bpe, grulm, lattice, licenses, packing, pieces, quality, sharding, simhash, suffix, toxicity
+from ridgeline.llm import bpe, grulm, lattice, licenses, packing, pieces, quality, resample, sharding, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,11 @@ def op10_fuzzy_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~toxicity.trained_on(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op12_gain_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn towards the benchmark by gains of one and two words. Null texts weigh nothing."""
+    return resample.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 def piece_model() -> str:
     import public_tokenizers
 
@@ -89,9 +94,9 @@ def op13_prefix_table_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(_table(spark, sf_dir, "documents"), ["doc_id"], piece_model()).drop("ids")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op2_linear_suffix_dedup, op3_boosted_quality, op4_simhash_groups, op5_hilbert_packing, op6_chunk_reuse_bpe, op7_two_pass_shuffle, op8_lattice_links, op9_gated_lm, op10_fuzzy_lexicon, op13_prefix_table_pieces)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_templates, op2_linear_suffix_dedup, op3_boosted_quality, op4_simhash_groups, op5_hilbert_packing, op6_chunk_reuse_bpe, op7_two_pass_shuffle, op8_lattice_links, op9_gated_lm, op10_fuzzy_lexicon, op12_gain_resampling, op13_prefix_table_pieces)}
 
-#: All pairs, which DuckDB can afford on a small table. The other operators' hashes, models and tokenizers are beyond SQL: tests/llm works them out again.
+#: op8: all pairs, which DuckDB can afford on a small table. op12: CRC-32 as steps over a text's bytes. The other operators' hashes, models and tokenizers are beyond SQL: tests/llm works them out again.
 ORACLE_SQL: dict[str, str] = {
     "op8_lattice_links": """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
@@ -102,4 +107,21 @@ least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
 degree AS (SELECT a, count(DISTINCT b) AS n FROM links GROUP BY a)
 SELECT v.vec_id, coalesce(d.n, 0) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
 FROM v JOIN least l ON l.a = v.vec_id LEFT JOIN degree d ON d.a = v.vec_id""",
+    "op12_gain_resampling": r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+wanted AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+grams AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM docs),
+wanted_grams AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM wanted),
+steps AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+names AS (SELECT g FROM grams UNION SELECT g FROM wanted_grams),
+codes AS (SELECT g, list_transform(range(1, octet_length(encode(g)) + 1), lambda i: ('0x' || substr(hex(encode(g)), 2 * i - 1, 2))::BIGINT) AS c FROM names),
+buckets AS (SELECT g, xor(list_reduce(list_prepend(4294967295, c), lambda a, x: xor(a >> 8, t[xor(a % 256, x) + 1])), 4294967295) % 10000 AS b FROM codes, steps),
+s AS (SELECT b, count(*) AS n FROM grams JOIN buckets USING (g) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM wanted_grams JOIN buckets USING (g) GROUP BY b),
+gains AS (SELECT s.b, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE) / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t ON s.b = t.b),
+sums AS (SELECT doc_id, count(*) AS n, sum(gain) AS gain FROM grams JOIN buckets USING (g) JOIN gains USING (b) GROUP BY doc_id),
+weights AS (SELECT doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features, coalesce(floor(gain / n), 0)::BIGINT AS weight, ('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT AS h FROM docs LEFT JOIN sums USING (doc_id)),
+scores AS (SELECT doc_id, n_words, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM weights),
+places AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scores WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank FROM scores LEFT JOIN places USING (doc_id)""",
 }
