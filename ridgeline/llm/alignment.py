@@ -9,10 +9,12 @@ travel to their B id in sorted streams that Spark spills; there the counts of th
 postings (a cogroup in one stream), so that counts, their highest and each document's share are settled locally. What
 each document got is summed by document.
 
-A frequent B id is in most documents. Its postings are dealt into slices by block so that no slice holds more than
-about one part in all parts, and its counts, which have at most one row for each A id, go to each slice. Counts are
-summed by pair beforehand, in the tasks that hold postings before they travel. The table of slices has at most one
-row for each B id and is broadcast; it is refused beyond MOST_IDS.
+Blocks are dealt into groups and B ids into BINS bins, and what is in one group and bin is a stream of its own, of
+about CELL postings. So a document's shares come from BINS streams at most, however large the corpus is. A frequent B
+id is in most documents: it is cut into slices by block, each of about a bin's share at most, which go to bins of their
+own. Its counts have at most one row for each A id and go to each slice. Counts are summed by pair beforehand, in the
+tasks that hold postings before they travel. The table of slices has at most one row for each B id and is broadcast;
+vocabularies beyond MOST_IDS are refused.
 
 Cases: texts null, empty, or changed by a tokenizer (bytes of its tokens other than a space and the text) have no
 tokens: all counts zero and an empty digest. Repeated rows count each and get their own row. Long texts are read whole
@@ -39,8 +41,8 @@ from ridgeline.llm.shared import flat, map_texts, on_workers, parts_for, schema_
 
 #: Ids of either side at most: two fit into one number beside a document's place in its block.
 MOST_IDS = 1 << 20
-#: Bytes of text in a block of documents; postings of a slice; postings settled at a time; document shares held before they are summed.
-BLOCK_BYTES, SLICE, AT_A_TIME, HELD = 4 << 20, 1 << 20, 1 << 19, 1 << 21
+#: Bytes of text in a block of documents; bins of B ids; postings of a group's bin; postings settled at a time; document shares held before they are summed.
+BLOCK_BYTES, BINS, CELL, AT_A_TIME, HELD = 2 << 20, 16, 1 << 20, 1 << 19, 1 << 21
 COLUMNS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 
 
@@ -153,7 +155,7 @@ def blocks(docs: DataFrame, keep: list[str], a_path: str, a_ranks: str | None, b
 
 
 def shares(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, n_best, count_sum) of postings that follow the counts of their B id, in rows (b, slice, row, docs, a, n); counts have no docs."""
+    """(row, n_best, count_sum) of postings that follow the counts of their B id, in rows (row, docs, a, n); counts have no docs."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
     known_a, known_n = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the counts that the last rows stood under
@@ -209,11 +211,15 @@ def aligned(docs: DataFrame, keep: list[str], a_path: str, b_path: str, a_ranks:
     by_pair = postings.select("b", F.inline(F.arrays_zip("a", "n"))).groupBy("b", "a").agg(F.sum("n").cast("long").alias("n"), F.count(F.lit(1)).alias("held"))
     by_id = written(by_pair.groupBy("b").agg(F.sort_array(F.collect_list(F.struct("a", "n"))).alias("pairs"), F.sum("held").alias("held")), "counts")
     total = by_id.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
-    parts = parts_for(spark, total, SLICE)
-    slices = by_id.select("b", F.greatest(F.lit(1), F.ceil(F.col("held") * parts / max(total, 1))).cast("int").alias("slices"))
-    heads = by_id.join(F.broadcast(slices), "b").select("b", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("array<int>").alias("docs"), F.col("pairs.a").alias("a"), F.col("pairs.n").alias("n"))
-    dealt = postings.join(F.broadcast(slices), "b").select("b", F.pmod(F.xxhash64("row"), F.col("slices")).cast("int").alias("slice"), "row", "docs", "a", F.col("n").cast("array<bigint>").alias("n"))
+    cells = parts_for(spark, total, CELL)
+    groups = -(-cells // BINS)
+    slices = by_id.select("b", F.greatest(F.lit(1), F.ceil(F.col("held") * BINS / max(total, 1))).cast("int").alias("slices"))
+    up_to = lambda n: F.sequence(F.lit(0), n - 1)
+    heads = by_id.join(F.broadcast(slices), "b").withColumn("slice", F.explode(up_to(F.col("slices")))).withColumn("group", F.explode(up_to(F.lit(groups))))
+    heads = heads.select("b", "slice", "group", F.lit(None).cast("long").alias("row"), F.lit(None).cast("array<int>").alias("docs"), F.col("pairs.a").alias("a"), F.col("pairs.n").alias("n"))
+    dealt = postings.join(F.broadcast(slices), "b").select("b", F.pmod(F.xxhash64("row", F.lit(1)), F.col("slices")).cast("int").alias("slice"), F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("group"), "row", "docs", "a", F.col("n").cast("array<bigint>").alias("n"))
     on_workers(spark)
-    streams = heads.unionByName(dealt).repartition(parts, "b", "slice").sortWithinPartitions("b", "slice", F.col("row").asc_nulls_first())
+    both = heads.unionByName(dealt).withColumn("bin", F.pmod(F.xxhash64("b", "slice"), F.lit(BINS)).cast("int"))
+    streams = both.repartition(cells, "group", "bin").sortWithinPartitions("group", "bin", "b", "slice", F.col("row").asc_nulls_first())
     got = streams.mapInArrow(shares, "row long, n_best long, count_sum long").groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
     return own.join(got, "row", "left").drop("row").fillna(0, ["n_best", "count_sum"])

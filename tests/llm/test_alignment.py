@@ -103,7 +103,8 @@ def test_small_blocks_slices_and_batches(spark, plain_rows, monkeypatch):
     want = brute(plain_rows)
     assert got(run(docs)) == want
     monkeypatch.setattr(alignment, "BLOCK_BYTES", 300)
-    monkeypatch.setattr(alignment, "SLICE", 50)
+    monkeypatch.setattr(alignment, "CELL", 50)
+    monkeypatch.setattr(alignment, "BINS", 3)
     assert got(run(docs)) == want
 
 
