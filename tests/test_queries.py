@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from ridgeline.plans import gaps, queries, tours  # noqa: F401
+from ridgeline.plans import gaps, network, queries, tours  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
