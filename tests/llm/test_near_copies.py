@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from ridgeline.llm import nearcopies
@@ -103,3 +104,46 @@ def test_pairs_at_the_least_similarity_are_within_the_radius():
             x = rng.integers(0, 1 << 64, n + n // 4, dtype=np.uint64)
             a, b = nearcopies.fingerprint(x), nearcopies.fingerprint(x[:n])
             assert np.bitwise_count(a ^ b).sum() <= nearcopies.RADIUS
+
+
+def test_sketches_of_near_pairs_are_near():
+    rng = np.random.default_rng(6)
+    far = []
+    for n in (4, 8, 40, 400):
+        for _ in range(200):
+            x = rng.integers(0, 1 << 64, n + n // 4, dtype=np.uint64)
+            a, b = (nearcopies.sketch(nearcopies.minima(s)) for s in (x, x[:n]))
+            assert np.bitwise_count(a ^ b).sum() <= nearcopies.NEAR
+        x = rng.integers(0, 1 << 64, 8 * n, dtype=np.uint64)
+        a, b = (nearcopies.sketch(nearcopies.minima(s)) for s in (x[: 5 * n], x[3 * n :]))  # a quarter in common
+        far.append(int(np.bitwise_count(a ^ b).sum()))
+    assert min(far) > nearcopies.NEAR
+
+
+def test_no_task_holds_what_bands_connect(spark, monkeypatch):
+    """Texts of pairwise similarity 0.3 to 0.5, without near copies but a few, make no family that meets in one task."""
+    rng = random.Random(12)
+    common = [prose(rng, 12) + f" mark{k}" for k in range(40)]
+
+    def text(i):
+        alone = set(rng.sample(range(40), 8))
+        return " ".join(prose(rng, 12) + f" own{i}x{k}" if k in alone else common[k] for k in range(40))
+
+    rows = [(i, text(i)) for i in range(800)]
+    rows += [(5000 + i, changed(rng, rows[i * 7][1], 2)) for i in range(40)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows[:60])]
+    alike = [len(a & b) / len(a | b) for k, a in enumerate(sets) for b in sets[:k]]
+    assert max(alike) < 0.78 and 0.3 < sum(alike) / len(alike) < 0.6
+    tile, seen = 16, []
+    kept = nearcopies._found
+
+    def watched(rows, sketches):
+        seen.append((sketches, rows.groupBy("c", "at", "tile").agg(F.count_distinct("d").alias("n")).agg(F.max("n"), F.sum("n")).first()))
+        return kept(rows, sketches)
+
+    monkeypatch.setattr(nearcopies, "_found", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component for r in nearcopies.grouped(docs, tile=tile).collect()}
+    assert got == brute(rows) and all(got[5000 + i] == i * 7 for i in range(40))
+    assert max(n for _, (n, _) in seen if n) <= 4 * tile  # tiles are dealt by hash: about two of TILE
+    assert all(total < 20 * len(rows) for sketches, (_, total) in seen if not sketches)
