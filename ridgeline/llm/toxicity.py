@@ -6,8 +6,9 @@ against the trie: a state is the set of trie nodes that a word read so far can s
 for each; states are made when first reached and their transitions kept, so a word costs a table lookup a
 letter and most words reach the dead state after a few. Distinct words of a batch are run once.
 
-Hits count by kind: exact, misspelled, and standing in a quotation (between quotation marks or beside a
-reporting word within CONTEXT words). A logistic regression on these turns them into a probability; its weights are drawn
+Hits count by kind: exact, misspelled, and standing in a quotation (between a mark that opens and the one that closes
+it, both within CONTEXT words, or beside a reporting word within CONTEXT words). Marks pair within a line, as quotations() says;
+an apostrophe between letters is none, and words between two quotations are not quoted. A logistic regression on these turns them into a probability; its weights are drawn
 towards a prior that counts a quoted hit for little.
 
 Only the text enters a score. The lexicon and the regression are fitted on a bounded sample of labelled rows
@@ -23,6 +24,8 @@ named score or hits is an error; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -40,7 +43,10 @@ STEM_LENGTHS = (3, 4, 5, 6, 7, 8)
 CONTEXT = 6
 # Words that report what others said, in four languages.
 REPORTING = frozenset("said says say called calls quote quoted quotes quoting wrote writes term word phrase reported dit disait cite mot sagte sagt zitat wort dijo dice cita palabra".split())
-_MARKS = '"“”„«»‘’'
+#: What closes what, in the same languages; either guillemet opens, and a straight mark closes an open one.
+CLOSES = {'"': '"', "”": "“„”", "“": "„", "»": "«", "«": "»", "’": "‘", "‘": "‚"}
+OPENS = frozenset('"“„”«»‘‚')
+_MARK = re.compile('["“”„«»‘’‚\n]')
 #: What a misspelled and a quoted hit count for against an exact one, before the corrections below.
 MISSPELLED, QUOTED = 0.8, 0.1
 #: Of the offset, of the hit terms' weights, of those of misspelled and of quoted ones again (corrections to the above),
@@ -217,16 +223,40 @@ def learned_terms(counts: DataFrame, n_toxic: int, n_clean: int, least: int = 8,
     return [t for t in chosen.values() if not covered(t.text)]
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """(place of the opening mark, place of the closing one) of each quotation, in order of the closing marks.
+
+    A mark closes the last open one that it can close, and what was opened since is forgotten; else it opens one. What is
+    open at the end of a line is no quotation. A single mark between letters or digits is an apostrophe."""
+    out, open_ = [], []
+    for m in _MARK.finditer(text):
+        c, at = m.group(), m.start()
+        if c == "\n":
+            open_ = []
+            continue
+        if c in "‘’" and 0 < at < len(text) - 1 and text[at - 1].isalnum() and text[at + 1].isalnum():
+            continue
+        k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] in CLOSES.get(c, "")), None)
+        if k is not None:
+            out.append((open_[k][1], at))
+            del open_[k:]
+        elif c in OPENS:
+            open_.append((c, at))
+    return out
+
+
 def hits(text: str, words_with_places: list[tuple[str, int, int]], found: dict[str, tuple[int, int]]) -> list[tuple[int, int, bool, int]]:
     """(edits, term, quoted, word number) of each hit in a text, whose words stand at the given places."""
     out = []
+    pairs = quotations(text)
+    closed = [b for _, b in pairs]
     for i, (w, s, e) in enumerate(words_with_places):
         m = found.get(w)
         if m is None:
             continue
-        before = text[words_with_places[max(0, i - CONTEXT)][1] : s]
-        after = text[e : words_with_places[min(len(words_with_places) - 1, i + CONTEXT)][2]]
-        inside = any(c in before for c in _MARKS) and any(c in after for c in _MARKS)
+        lo, hi = words_with_places[max(0, i - CONTEXT)][1], words_with_places[min(len(words_with_places) - 1, i + CONTEXT)][2]
+        near = pairs[bisect_right(closed, e - 1) : bisect_right(closed, hi)]  # marks that close within CONTEXT words
+        inside = any(lo - 1 <= a < s for a, _ in near)
         reports = any(x[0] in REPORTING for x in words_with_places[max(0, i - CONTEXT) : i + CONTEXT + 1])
         out.append((*m, inside or reports, i))
     return out

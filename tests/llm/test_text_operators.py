@@ -475,3 +475,68 @@ def test_empty_tables(spark, empty):
 def test_no_labels_scores_zero(spark, docs):
     got = toxicity.scored(docs, toxicity.fitted(docs, labels_of(spark, [])), ["doc_id"]).collect()
     assert max(r.score for r in got) < 1e-6
+
+
+def test_quotations_pair_marks():
+    def quoted(text):
+        return {m.group() for m in re.finditer("[a-z]+", text) if any(a < m.start() < b for a, b in toxicity.quotations(text))}
+
+    assert quoted("l’eau est froide et blorgus dans l’air") == set()
+    assert quoted("the ‘blorgus’ and the dog’s bone") == {"blorgus"}
+    assert quoted('she "one" two "three" four') == {"one", "three"}
+    assert quoted("“one” two „drei“ vier «cinq» six »sieben« acht") == {"one", "drei", "cinq", "sieben"}
+    assert quoted("“a ‘bb’ c” d") == {"a", "bb", "c"}
+    assert quoted('open " never\nclosed " here') == set()
+    assert quoted("vorher “ nachher “one” da") == {"one"}
+
+
+def brute_score(text, terms, weights):
+    """The score of a whole text, each word held against each term by edit distance, marks paired by scanning back."""
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, prev = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(prev[j] + 1, row[j - 1] + 1, prev[j - 1] + (x != y)))
+        return row[-1]
+
+    text = low(text)
+    words = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)]
+    hit = []
+    for i, (w, s, e) in enumerate(words):
+        fits = []
+        for n, t in enumerate(terms):
+            d = min(edits(t.text, w[:k]) for k in range(len(w) + 1)) if t.stem else edits(t.text, w)
+            if d <= t.edits:
+                fits.append((d, n))
+        if not fits:
+            continue
+        lo, hi = words[max(0, i - 6)][1], words[min(len(words) - 1, i + 6)][2]
+        reports = any(x in toxicity.REPORTING for x, _, _ in words[max(0, i - 6) : i + 7])
+        inside = any(max(0, lo - 1) <= a < s and e <= b <= hi for a, b in toxicity.quotations(text))
+        hit.append((*min(fits), inside or reports))
+    kinds, plain = [{}, {}, {}], 0
+    for d, n, q in hit:
+        if sum(x[1] == n for x in hit) >= terms[n].need:
+            kinds[2 if q else int(d > 0)][n] = terms[n].weight
+            plain += not q
+    exact, wrong, told = (sum(k.values()) for k in kinds)
+    x = np.array([1, exact + 0.8 * wrong + 0.1 * told, wrong, told, np.log1p(plain)])
+    return 1 / (1 + np.exp(-x @ weights))
+
+
+def test_scores_of_whole_texts_are_brute_force(spark):
+    import random
+
+    rng = random.Random(13)
+    terms = [toxicity.Term("blorgus", False, 1, 1, 1.3), toxicity.Term("worthless", False, 2, 1, 0.9), toxicity.Term("scum", False, 0), toxicity.Term("vile", True, 0, 2, 1.1)]
+    model = toxicity.Model(terms, np.array([-3.0, 1.2, -0.3, 0.2, 0.7]))
+    pool = ["blorgus", "blorgvs", "wortless", "worthles", "scum", "scun", "vilest", "vileness", "l’eau", "dog’s", "river", "stone", "said", "été", "Été"]
+    marks = ["", "", "", "", "“", "”", '"', "«", "»", "‘", "’", ",", ".\n", "„"]
+    rows = [(1, None), (2, ""), (3, "l’eau est froide et blorgus dans l’air"), (4, "“blorgus”")]
+    rows += [(10 + i, " ".join(rng.choice(marks) + rng.choice(pool) + rng.choice(marks) for _ in range(rng.randint(1, 40)))) for i in range(250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, model, ["doc_id"]).collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(brute_score(t, terms, model.weights)), t
+    assert got[3] > 4 * got[4]
