@@ -90,7 +90,8 @@ class Block:
         common, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
         last_a, last_b = np.cumsum(self.n_a), np.cumsum(self.n_b)
         self.n_groups = np.diff(np.searchsorted(at_a, last_a), prepend=0)
-        ends = np.union1d(ends_a, ends_b)  # a link ends at each
+        both = np.sort(np.concatenate((ends_a, ends_b)), kind="stable")  # two runs that only need merging
+        ends = both[np.diff(both, prepend=-1) > 0]  # a link ends at each
         link_a, link_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         self.doc = np.searchsorted(last_a, link_a, "right")
         self.n_links = np.bincount(self.doc, minlength=len(texts)).astype(np.int64)
