@@ -7,10 +7,14 @@ cell's side.
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ridgeline.functions.geo import edge_projection, haversine_m
+from ridgeline.functions.geo import EARTH_M, edge_projection, haversine_m
+from ridgeline.operators.settle import settled
 
 
 def cell(x: Column, size: float) -> Column:
@@ -36,10 +40,10 @@ def place_list(places: DataFrame) -> DataFrame | None:
 
 def nearest_anchor(lines: DataFrame, anchors: DataFrame, max_km: float | None = None, key: str = "line") -> DataFrame:
     """Each line (key, lat, lon) with the nearest of the anchors (anchor, lat, lon) and km; ties to the smaller anchor. Beyond
-    max_km the anchor is null.
+    max_km the anchor is null, as it is where there is none.
 
-    A short list is an array that each row looks through, without a shuffle; a longer one goes by cells, in sizes that
-    grow until every line has one near enough to be sure."""
+    A short list is an array that each row looks through, without a shuffle; a longer one goes by cells of space, in sizes
+    that grow, and lines that are far from all anchors go down a tree of cells."""
     a = anchors.select("anchor", F.col("lat").alias("_alat"), F.col("lon").alias("_alon"))
     listed = place_list(a)
     if listed is not None:
@@ -52,30 +56,95 @@ def nearest_anchor(lines: DataFrame, anchors: DataFrame, max_km: float | None =
 
 
 def cheapest_places(lines: DataFrame, places: DataFrame, k: int, key: str = "line") -> DataFrame:
-    """(key, rank, anchor, cost): the k places (anchor, la, lo, extra) of a short list with the smallest metres plus extra."""
+    """(key, rank, anchor, cost): for each line (key, lat, lon) the k places (anchor, la, lo, extra) with the smallest metres plus extra."""
     listed = place_list(places)
     if listed is None:
-        raise ValueError(f"cheapest_places: more than {FEW} places; their extras have no bound by distance")
+        return _down_the_cells(lines.select(key, "lat", "lon"), places.select("anchor", "la", "lo", "extra"), k, key)
     cost = F.transform("_places", lambda p: F.struct((haversine_m(F.col("lat"), F.col("lon"), p["la"], p["lo"]) + p["extra"]).alias("cost"), p["anchor"].alias("anchor")))
     best = lines.crossJoin(listed).select(key, F.posexplode(F.slice(F.array_sort(cost), 1, k)).alias("rank", "b"))
     return best.select(key, (F.col("rank") + 1).alias("rank"), "b.anchor", "b.cost")
 
 
-def _nearest_by_rings(lines: DataFrame, anchors: DataFrame, key: str, sizes: tuple[float, ...] = (0.05, 0.5, 5.0, 45.0)) -> DataFrame:
-    """lines with _b (km, anchor): cells of growing size; a line is settled where its nearest lies closer than a cell's side."""
-    open_, found = lines.select(key, F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")), None
-    for k, size in enumerate(sizes):
-        q = _around(open_, "_qlat", "_qlon", (size, size))
-        p = anchors.withColumn("_cy", cell(F.col("_alat"), size)).withColumn("_cx", cell(F.col("_alon"), size))
-        d = haversine_m(F.col("_qlat"), F.col("_qlon"), F.col("_alat"), F.col("_alon")) / 1000
-        b = q.join(p, ["_cy", "_cx"]).groupBy(key).agg(F.min(F.struct(d.alias("km"), "anchor")).alias("_b"), F.first("_qlat").alias("_qlat"))
-        sure = b if k == len(sizes) - 1 else b.where(F.col("_b.km") <= size * 110.5 * F.cos(F.radians(F.abs("_qlat") + size)))
-        sure = sure.select(F.col(key).alias("_k"), "_b")
+def space_cell(lat: Column, lon: Column, side_m: float) -> Column:
+    """struct(x, y, z): the cube of side_m metres that a place on the globe lies in; no latitude or longitude is special."""
+    return F.struct(*(F.floor(v / side_m).alias(c) for c, v in _xyz(lat, lon).items()))
+
+
+def around_in_space(df: DataFrame, lat: str, lon: str, side_m: float) -> DataFrame:
+    """df with _x, _y, _z: a row for the cube of a place and each cube around it, so that places within side_m meet."""
+    ring = F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip(o, "xyz", strict=True))) for o in product((-1, 0, 1), repeat=3)))
+    each = df.withColumn("_c", space_cell(F.col(lat), F.col(lon), side_m)).withColumn("_o", F.explode(ring))
+    return each.select(*df.columns, *((F.col(f"_c.{c}") + F.col(f"_o.{c}")).alias(f"_{c}") for c in "xyz"))
+
+
+def _xyz(lat: Column, lon: Column) -> dict[str, Column]:
+    y, x = F.radians(lat), F.radians(lon)
+    return {"x": F.cos(y) * F.cos(x) * EARTH_M, "y": F.cos(y) * F.sin(x) * EARTH_M, "z": F.sin(y) * EARTH_M}
+
+
+#: Metres of a cube's side: of the rings around a line, then of the tree that far lines go down, each ten of the next.
+RINGS, TREE = (2_000.0, 8_000.0, 32_000.0), (1_600_000.0, 160_000.0, 16_000.0)
+
+
+def _nearest_by_rings(lines: DataFrame, anchors: DataFrame, key: str) -> DataFrame:
+    """lines with _b (km, anchor). A line is settled where its nearest lies within a cube's side as the crow digs; great circles are no shorter."""
+    open_, found = lines.select(key, "lat", "lon"), None
+    for side in RINGS:
+        p = anchors.withColumn("_c", space_cell(F.col("_alat"), F.col("_alon"), side)).select("anchor", "_alat", "_alon", *(F.col(f"_c.{c}").alias(f"_{c}") for c in "xyz"))
+        d = haversine_m(F.col("lat"), F.col("lon"), F.col("_alat"), F.col("_alon")) / 1000
+        met = around_in_space(open_, "lat", "lon", side).join(p, ["_x", "_y", "_z"]).select(key, d.alias("km"), "anchor").where(F.col("km") * 1000 <= side)
+        sure = settled(met.groupBy(key).agg(F.min(F.struct("km", "anchor")).alias("_b")).select(F.col(key).alias("_k"), "_b"), "near")
         found = sure if found is None else found.union(sure)
-        open_ = open_.join(sure, F.col(key) == F.col("_k"), "left_anti")
+        open_ = settled(open_.join(sure, F.col(key) == F.col("_k"), "left_anti"), "open")
+        if open_.isEmpty():
+            break
+    else:
+        far = _down_the_cells(open_, anchors.select("anchor", F.col("_alat").alias("la"), F.col("_alon").alias("lo"), F.lit(0.0).alias("extra")), 1, key)
+        found = found.union(far.select(key, F.struct((F.col("cost") / 1000).alias("km"), "anchor")))
     return lines.join(found, F.col(key) == F.col("_k"), "left").drop("_k")
 
 
+def _down_the_cells(lines: DataFrame, places: DataFrame, k: int, key: str) -> DataFrame:
+    """(key, rank, anchor, cost) as cheapest_places, for lists of any length.
+
+    Places lie in a tree of cubes. A cube costs a line no less than the metres to its center, less half its diagonal, plus the
+    smallest extra in it, and one place of each cube is known. So a line leaves cubes that cost more than the k-th of the known
+    places, and goes on with the cubes in the others. The first cubes are a list of under a thousand at any number of places.
+    Lines keep their candidates as rows of their own; what a cube holds meets only the lines that may want it."""
+    name = lambda n: F.struct(*(F.floor(F.col(c) / (TREE[n])).alias(c) for c in "xyz"))
+    p = places.select("anchor", "la", "lo", "extra", *(v.alias(c) for c, v in _xyz(F.col("la"), F.col("lo")).items()))
+    p = settled(p.select("anchor", "la", "lo", "extra", *(name(n).alias(f"c{n}") for n in range(len(TREE)))), "tree")
+
+    def cubes(n: int) -> DataFrame:
+        best = F.min(F.struct("extra", "anchor", "la", "lo"))
+        up = [F.col(f"c{n - 1}").alias("parent")] if n else []
+        return p.groupBy(*([f"c{n - 1}"] if n else []), f"c{n}").agg(best.alias("b")).select(*up, F.col(f"c{n}").alias("cube"), "b")
+
+    def bounds(cube: Column, b: Column, n: int, at: dict[str, Column], lat: Column, lon: Column) -> tuple[Column, Column]:
+        side = TREE[n]
+        gap = F.sqrt(sum(((cube[c] + 0.5) * side - at[c]) * ((cube[c] + 0.5) * side - at[c]) for c in "xyz")) - side * 0.8661
+        return F.greatest(gap, F.lit(0.0)) + b["extra"] - 0.001, haversine_m(lat, lon, b["la"], b["lo"]) + b["extra"]
+
+    q = lines.select(key, "lat", "lon", *(v.alias(f"_{c}") for c, v in _xyz(F.col("lat"), F.col("lon")).items()))
+    at = {c: F.col(f"_{c}") for c in "xyz"}
+
+    def told(x: Column) -> Column:
+        low, high = bounds(x["cube"], x["b"], 0, at, F.col("lat"), F.col("lon"))
+        return F.struct(x["cube"].alias("cube"), low.alias("low"), high.alias("high"))
+
+    first = F.broadcast(cubes(0).agg(F.collect_list(F.struct("cube", "b")).alias("_all")))
+    seen = q.crossJoin(first).withColumn("_all", F.transform("_all", told)).withColumn("_most", F.get(F.array_sort(F.transform("_all", lambda x: x["high"])), F.lit(k - 1)))
+    front = seen.withColumn("_f", F.explode(F.filter("_all", lambda x: F.col("_most").isNull() | (x["low"] <= F.col("_most"))))).select(key, "lat", "lon", *at.values(), F.col("_f.cube").alias("_cube"))
+    for n in range(1, len(TREE)):
+        low, high = bounds(F.col("cube"), F.col("b"), n, at, F.col("lat"), F.col("lon"))
+        step = front.join(cubes(n), F.col("_cube") == F.col("parent")).select(key, "lat", "lon", *at.values(), "cube", low.alias("_low"), high.alias("_high"))
+        most = F.nth_value("_high", k).over(W.partitionBy(key).orderBy("_high").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+        front = step.withColumn("_most", most).where("_most is null or _low <= _most").select(key, "lat", "lon", *at.values(), F.col("cube").alias("_cube"))
+    cost = haversine_m(F.col("lat"), F.col("lon"), F.col("la"), F.col("lo")) + F.col("extra")
+    met = front.join(p, F.col("_cube") == F.col(f"c{len(TREE) - 1}")).select(key, "anchor", cost.alias("cost"))
+    return met.withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy("cost", "anchor"))).where(F.col("rank") <= k).select(key, "rank", "anchor", "cost")
+
+
 def nearest_in_cells(probes: DataFrame, points: DataFrame, max_m: float, size: tuple[float, float], key: str = "probe", other: str = "point") -> DataFrame:
     """(key, other, d): the nearest point within max_m of each probe, by cells of size degrees; none gives no row. Ties to the smaller point."""
     q = _around(probes.select(key, F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")), "_qlat", "_qlon", size)

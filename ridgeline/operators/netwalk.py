@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.geo import crossing, haversine_m
 from ridgeline.operators.lines import along
-from ridgeline.operators.nearest import cell, edges_of
+from ridgeline.operators.nearest import around_in_space, cell, edges_of, space_cell
 from ridgeline.operators.settle import settled
-from ridgeline.operators.waymerge import space_cell
 
 PLACES = 5
 
@@ -38,11 +37,9 @@ def network_edges(points: DataFrame, line: str = "way", seq: str = "seq") -> Dat
 def nearest_nodes(starts: DataFrame, edges: DataFrame, within_m: float, key: str = "gap") -> DataFrame:
     """(key, node, d): for each start (key, lat, lon) the nearest node within within_m, of equals the smaller; by cells of space."""
     nodes = edges.select(F.col("src").alias("node"), "lat", "lon").distinct().withColumn("c", space_cell(F.col("lat"), F.col("lon"), within_m))
-    nodes = nodes.select("node", F.col("lat").alias("lat_n"), F.col("lon").alias("lon_n"), "c.x", "c.y", "c.z")
-    ring = F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip((i, j, k), "ijk", strict=True))) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)))
-    q = starts.withColumn("c", space_cell(F.col("lat"), F.col("lon"), within_m)).withColumn("o", F.explode(ring))
-    q = q.select(key, "lat", "lon", (F.col("c.x") + F.col("o.i")).alias("x"), (F.col("c.y") + F.col("o.j")).alias("y"), (F.col("c.z") + F.col("o.k")).alias("z"))
-    met = q.join(nodes, ["x", "y", "z"]).select(key, "node", haversine_m(F.col("lat"), F.col("lon"), F.col("lat_n"), F.col("lon_n")).alias("d")).where(F.col("d") <= within_m)
+    nodes = nodes.select("node", F.col("lat").alias("lat_n"), F.col("lon").alias("lon_n"), *(F.col(f"c.{c}").alias(f"_{c}") for c in "xyz"))
+    q = around_in_space(starts.select(key, "lat", "lon"), "lat", "lon", within_m)
+    met = q.join(nodes, ["_x", "_y", "_z"]).select(key, "node", haversine_m(F.col("lat"), F.col("lon"), F.col("lat_n"), F.col("lon_n")).alias("d")).where(F.col("d") <= within_m)
     return met.groupBy(key).agg(F.min(F.struct("d", "node")).alias("m")).select(key, "m.node", "m.d")
 
 

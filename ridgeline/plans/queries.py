@@ -345,6 +345,30 @@ def topk_nearest(spark, sf_dir):
     return got.select("line", "anchor", F.col("rank").cast("long").alias("rank"), F.round("cost", 2).alias("cost"))
 
 
+# Places over the whole globe, more than a list may have from a scale of 0.01 on.
+_FAR = f"""far AS (SELECT c_custkey AS anchor, (c_custkey * 37 % 1801) / 10.0::DOUBLE - 90 AS la, (c_custkey * 91 % 3600) / 10.0::DOUBLE - 180 AS lo, c_nationkey * 1000.0::DOUBLE AS extra FROM customer),
+ spot AS (SELECT p_partkey AS line, (p_partkey * 53 % 1801) / 10.0::DOUBLE - 90 AS lat, (p_partkey * 71 % 3601) / 10.0::DOUBLE - 180 AS lon FROM part), d AS (SELECT line, anchor, extra, {hav("lat", "lon", "la", "lo")} AS m FROM spot, far)"""
+
+
+def _far(spark, sf_dir):
+    c, p = F.col("c_custkey"), F.col("p_partkey")
+    far = table(spark, sf_dir, "customer").select(c.alias("anchor"), ((c * 37 % 1801) / 10.0 - 90).alias("la"), ((c * 91 % 3600) / 10.0 - 180).alias("lo"), (F.col("c_nationkey") * 1000.0).alias("extra"))
+    return far, table(spark, sf_dir, "part").select(p.alias("line"), ((p * 53 % 1801) / 10.0 - 90).alias("lat"), ((p * 71 % 3601) / 10.0 - 180).alias("lon"))
+
+
+@query(f"WITH {_FAR} SELECT line, round(min(m) / 1000, 4) AS km FROM d GROUP BY 1")
+def far_anchor_assign(spark, sf_dir):
+    """The nearest of a long list of places; at the poles many are equally near, so the metres are compared."""
+    far, spot = _far(spark, sf_dir)
+    return nearest.nearest_anchor(spot, far.select("anchor", F.col("la").alias("lat"), F.col("lo").alias("lon"))).select("line", F.round("km", 4).alias("km"))
+
+
+@query(f"WITH {_FAR} SELECT line, rk AS rank, round(m + extra, 2) AS cost FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY m + extra, anchor) AS rk FROM d) WHERE rk <= 3")
+def far_topk(spark, sf_dir):
+    far, spot = _far(spark, sf_dir)
+    return nearest.cheapest_places(spot, far, 3).select("line", F.col("rank").cast("long").alias("rank"), F.round("cost", 2).alias("cost"))
+
+
 # --- rules and ranking ----------------------------------------------------------------------------------------------
 
 _TAGS = """tags AS (SELECT p_partkey, p_type, CASE p_size % 5 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' WHEN 2 THEN 'private' WHEN 3 THEN 'dismount' END AS bicycle,

@@ -19,21 +19,57 @@ def test_catalog_literal(spark):
     assert labels == {"aa": ["Alpha", "Alpha/Beta", "Beta", 'Nord "x"'], "bb": ["B", "B-Land", "Land"]}
 
 
-def test_long_anchor_lists_go_by_rings(spark):
+def _globe(rng, n):
+    return [(round(math.degrees(math.asin(rng.uniform(-1, 1))), 6), rng.uniform(-180, 180)) for _ in range(n)]
+
+
+def _km(p, q):
+    x = math.sin(math.radians(q[0] - p[0]) / 2) ** 2 + math.cos(math.radians(p[0])) * math.cos(math.radians(q[0])) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2
+    return 2 * 6371 * math.asin(min(1, math.sqrt(x)))
+
+
+#: The poles, both sides of 180 degrees, far from everything, beside an anchor.
+ODD = [(90.0, 0.0), (-90.0, 77.0), (89.99, -120.0), (0.5, 179.99), (0.5, -179.99), (80.0, 0.0), (-75.0, 0.0), (0.0, 180.0), (47.0004, 10.0), (47.2, 10.3)]
+
+
+def test_anchors_by_list_and_by_cells_agree(spark, monkeypatch):
     rng = random.Random(3)
-    at = lambda: (rng.uniform(-60, 60), rng.uniform(-170, 170))
-    anchors = [(i, *at()) for i in range(nearest.FEW + 200)] + [(5000, 47.0, 10.0), (5001, 47.001, 10.0)]
-    rows = [(i, *at()) for i in range(60)] + [(100, 47.0004, 10.0), (101, 47.2, 10.3)]
-    a = spark.createDataFrame(anchors, "anchor int, lat double, lon double")
-    got = {r.line: (r.anchor, r.km) for r in nearest.nearest_anchor(spark.createDataFrame(rows, "line int, lat double, lon double"), a).collect()}
-
-    def km(p, q):
-        x = math.sin(math.radians(q[0] - p[0]) / 2) ** 2 + math.cos(math.radians(p[0])) * math.cos(math.radians(q[0])) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2
-        return 2 * 6371 * math.asin(math.sqrt(x))
-
-    for i, *p in rows:
-        best = min((km(p, q), k) for k, *q in anchors)
-        assert got[i][0] == best[1] and abs(got[i][1] - best[0]) < 1e-6
+    anchors = _globe(rng, nearest.FEW + 200) + [(47.0, 10.0), (47.001, 10.0), (0.5, -179.95), (0.5, 179.9), (47.0, 10.0)] + [(46 + rng.uniform(0, 0.5), 10 + rng.uniform(0, 0.5)) for _ in range(200)]
+    near = [(46 + rng.uniform(-0.5, 1), 10 + rng.uniform(-0.5, 1)) for _ in range(60)]
+    rows = _globe(rng, 120) + ODD + near
+    a = spark.createDataFrame([(i, *p) for i, p in enumerate(anchors)], "anchor int, lat double, lon double")
+    at = spark.createDataFrame([(i, *p) for i, p in enumerate(rows)], "line int, lat double, lon double").repartition(3)
+    got = {r.line: (r.anchor, r.km) for r in nearest.nearest_anchor(at, a).collect()}
+    for i, p in enumerate(rows):
+        best = min((_km(p, q), k) for k, q in enumerate(anchors))
+        assert got[i][0] == best[1] and abs(got[i][1] - best[0]) < 1e-6, p
+    monkeypatch.setattr(nearest, "FEW", 5000)
+    assert {r.line: r.anchor for r in nearest.nearest_anchor(at, a).collect()} == {k: v[0] for k, v in got.items()}
+
+
+def test_lines_far_from_a_long_list(spark):
+    """All anchors in one place: lines on the other side of the globe go down the cells."""
+    rng = random.Random(4)
+    anchors = [(46 + rng.uniform(0, 2), 10 + rng.uniform(0, 2)) for _ in range(nearest.FEW + 50)]
+    a = spark.createDataFrame([(i, *p) for i, p in enumerate(anchors)], "anchor int, lat double, lon double")
+    rows = ODD + _globe(rng, 30)
+    got = {r.line: (r.anchor, r.km) for r in nearest.nearest_anchor(spark.createDataFrame([(i, *p) for i, p in enumerate(rows)], "line int, lat double, lon double"), a, 100.0).collect()}
+    for i, p in enumerate(rows):
+        d, k = min((_km(p, q), k) for k, q in enumerate(anchors))
+        assert got[i][0] == (k if d <= 100 else None) and abs(got[i][1] - d) < 1e-6
+
+
+def test_cheapest_places_of_a_long_list(spark):
+    rng = random.Random(5)
+    places = [(*p, rng.choice((0.0, 500.0, 40_000.0, 3e6))) for p in _globe(rng, nearest.FEW + 100)]
+    q = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "anchor int, la double, lo double, extra double")
+    rows = _globe(rng, 60) + ODD
+    out = nearest.cheapest_places(spark.createDataFrame([(i, *p) for i, p in enumerate(rows)], "line int, lat double, lon double"), q, 4).collect()
+    got = {(r.line, r.rank): (r.anchor, r.cost) for r in out}
+    assert len(out) == 4 * len(rows)
+    for i, p in enumerate(rows):
+        for rank, (cost, k) in enumerate(sorted((1000 * _km(p, x[:2]) + x[2], k) for k, x in enumerate(places))[:4], 1):
+            assert got[i, rank][0] == k and abs(got[i, rank][1] - cost) < 1e-3
 
 
 def test_preferences_and_arrows(spark):
