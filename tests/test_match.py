@@ -38,3 +38,30 @@ def test_track_against_network(spark):
     assert got == [("A", True), ("B", False), ("B", True)]
     e = match.extended(m, track, network).orderBy("a").collect()
     assert e[0].lo_km == 0.0 and abs(e[0].hi_km - 2.2239) < 0.01
+
+
+def test_tracks_that_stand_still(spark):
+    """A parked recorder, one point, one point twice, beside a proper ride: no track is lost and none stops the others."""
+    a = line([47.0, 10.0], [47.02, 10.0], 41)
+    network = spark.createDataFrame([("A", i, *p) for i, p in enumerate(a.tolist())], "cand string, seq int, lat double, lon double")
+    rows = [(1, i, *p) for i, p in enumerate(a.tolist())] + [(2, i, 47.01, 10.0) for i in range(300)] + [(3, 0, 47.01, 10.0)] + [(4, i, 50.0, 8.0) for i in range(2)]
+    track = spark.createDataFrame(rows, "line int, seq int, lat double, lon double").repartition(3)
+    got = {(r.line, r.cand, r.a, r.b, r.reversed) for r in match.matched(track, network).collect()}
+    assert (1, "A", 0, 40, False) in got and {x[0] for x in got} <= {1, 2, 3}
+    assert match.matched(track.where("line > 9"), network).count() == 0
+    assert match.matched(track, network.where("seq > 99")).count() == 0
+
+
+def test_windows_are_no_longer_than_the_track(spark):
+    sizes = spark.createDataFrame([(1e-9, 1), (1e-9, 300), (10.0, 300), (10.0, 5)], "m double, n long")
+    got = [r[0] for r in sizes.select(match.in_points(150.0, F.col("m"), 3, F.col("n"))).collect()]
+    assert got == [3, 301, 15, 6]
+
+
+def test_points_far_from_their_run_s_line_meet_all_its_edges(spark):
+    a = line([47.0, 10.0], [47.02, 10.0], 41)
+    network = spark.createDataFrame([("A", i, *p) for i, p in enumerate(a.tolist())], "cand string, seq int, lat double, lon double")
+    track = spark.createDataFrame([(1, 0, 47.0, 10.0), (1, 1, 47.01, 10.05), (1, 2, 47.02, 10.0001)], "line int, seq int, lat double, lon double")
+    runs = spark.createDataFrame([(1, 0, "A", 0, 2)], "line int, run int, cand string, a int, b int")
+    got = {r.seq: r.km for r in match.places(runs, track, network).collect()}
+    assert abs(got[0]) < 1e-9 and abs(got[1] - 1.112) < 0.01 and abs(got[2] - 2.2239) < 0.001
