@@ -94,12 +94,12 @@ def clip_by_vertices(spark, sf_dir):
 
 
 @query(f"""WITH {TRACK}, {TOWNS}, v AS (SELECT t.line AS gap, t.seq AS i, a.anchor AS way, min({hav("t.lat", "t.lon", "x.lat", "x.lon")}) AS d, any_value(a.region) AS region FROM track t, towns a, LATERAL (SELECT a.lat, a.lon UNION ALL SELECT a.lat + 0.01, a.lon + 0.012) x
- WHERE t.seq < 8 AND a.region = t.line % 5 GROUP BY 1, 2, 3), s AS (SELECT gap, way, avg(d) AS mean_m, avg(d) + any_value(way % 4) * 6 AS score FROM v GROUP BY 1, 2)
+ WHERE a.region = t.line % 5 GROUP BY 1, 2, 3), s AS (SELECT gap, way, avg(d) AS mean_m, avg(d) + any_value(way % 4) * 6 AS score FROM v GROUP BY 1, 2)
 SELECT gap, way, round(mean_m, 2) AS mean_m, round(score, 2) AS score FROM (SELECT *, row_number() OVER (PARTITION BY gap ORDER BY score, way) AS rk FROM s) WHERE rk = 1""")
 def best_matching_way(spark, sf_dir):
-    """The first eight points of a track against the ways of one sub-region."""
+    """A track's points against the ways of one sub-region."""
     t = towns(spark, sf_dir)
-    points = _track(spark, sf_dir).where("seq < 8").select(F.col("line").alias("gap"), F.col("seq").alias("i"), "lat", "lon")
+    points = _track(spark, sf_dir).select(F.col("line").alias("gap"), F.col("seq").alias("i"), "lat", "lon")
     own = points.select("gap").distinct().join(t.select("anchor", "region"), F.col("gap") % 5 == F.col("region")).select("gap", F.col("anchor").alias("way"))
     vertices = _network(spark, sf_dir).select((F.col("line") - 1_000_000).alias("_w"), "lat", "lon")
     cut = own.join(vertices, F.col("way") == F.col("_w")).select("gap", "way", "lat", "lon")
@@ -124,12 +124,12 @@ def walk_to_line(spark, sf_dir):
     return got.select("line", "direction", "seq", F.round("walked_m", 1).alias("walked_m"))
 
 
-@query(f"""WITH {TRACK}, d AS (SELECT x.line AS a, y.line AS b, x.seq AS sa, y.seq AS sb, {hav("x.lat", "x.lon", "y.lat", "y.lon")} AS d FROM track x JOIN track y ON x.line % 10 = 0 AND y.line % 10 = 1 AND abs(x.lat - y.lat) < 0.003 AND abs(x.lon - y.lon) < 0.004)
+@query(f"""WITH {TRACK}, d AS (SELECT x.line AS a, y.line AS b, x.seq AS sa, y.seq AS sb, {hav("x.lat", "x.lon", "y.lat", "y.lon")} AS d FROM track x JOIN track y ON x.line % 2 = 0 AND y.line % 2 = 1 AND abs(x.lat - y.lat) < 0.003 AND abs(x.lon - y.lon) < 0.004)
 SELECT a, b, sa, sb, round(d, 2) AS d FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY d, sa, sb) AS rk FROM d WHERE d <= 150) WHERE rk = 1""")
 def junction_vertices(spark, sf_dir):
-    """Of tracks of two kinds the closest vertices, where two ways can go over into each other."""
+    """Of tracks of two kinds, even and odd, the closest vertices, where two ways can go over into each other."""
     t = _track(spark, sf_dir)
-    a, b = t.where("line % 10 = 0").withColumnRenamed("line", "a"), t.where("line % 10 = 1").withColumnRenamed("line", "b")
+    a, b = t.where("line % 2 = 0").withColumnRenamed("line", "a"), t.where("line % 2 = 1").withColumnRenamed("line", "b")
     return gaps.closest_vertices(a, b, 150.0, (0.002, 0.003)).select("a", "b", "sa", "sb", F.round("d", 2).alias("d"))
 
 
@@ -297,14 +297,14 @@ def _gap_box(k: int) -> str:
     return f"""b AS (SELECT gap, least(a_lat, b_lat) - {k} / 111320.0 AS la, greatest(a_lat, b_lat) + {k} / 111320.0 AS ha, least(a_lon, b_lon) - {k} / (111320 * cos(radians((a_lat + b_lat) / 2))) AS lo, greatest(a_lon, b_lon) + {k} / (111320 * cos(radians((a_lat + b_lat) / 2))) AS ho FROM g)"""
 
 
-@query(f"WITH {TOWNS}, {_NETWORK}, g AS (SELECT o_orderkey AS gap, {_GAP_ENDS} FROM orders WHERE o_orderkey % 7 = 0), {_gap_box(300)} SELECT gap, line AS way FROM b JOIN net ON net.lat <= ha AND net.lat2 >= la AND net.lon <= ho AND net.lon2 >= lo")
+@query(f"WITH {TOWNS}, {_NETWORK}, g AS (SELECT o_orderkey AS gap, {_GAP_ENDS} FROM orders), {_gap_box(300)} SELECT gap, line AS way FROM b JOIN net ON net.lat <= ha AND net.lat2 >= la AND net.lon <= ho AND net.lon2 >= lo")
 def gap_ways(spark, sf_dir):
-    return gaps.ways_for_gaps(_ways(spark, sf_dir), _gap_ends(spark, sf_dir).where("gap % 7 = 0"), 300.0)
+    return gaps.ways_for_gaps(_ways(spark, sf_dir), _gap_ends(spark, sf_dir), 300.0)
 
 
-@query(f"WITH {TOWNS}, {_NETWORK}, g AS (SELECT o_orderkey AS gap, {_GAP_ENDS} FROM orders WHERE o_orderkey % 7 = 0), {_gap_box(300)}, v AS (SELECT line, lat, lon FROM net UNION ALL SELECT line, lat2, lon2 FROM net) SELECT DISTINCT gap, line AS way FROM b JOIN v ON lat BETWEEN la AND ha AND lon BETWEEN lo AND ho")
+@query(f"WITH {TOWNS}, {_NETWORK}, g AS (SELECT o_orderkey AS gap, {_GAP_ENDS} FROM orders), {_gap_box(300)}, v AS (SELECT line, lat, lon FROM net UNION ALL SELECT line, lat2, lon2 FROM net) SELECT DISTINCT gap, line AS way FROM b JOIN v ON lat BETWEEN la AND ha AND lon BETWEEN lo AND ho")
 def gap_way_vertices(spark, sf_dir):
-    return gaps.ways_for_gaps(_ways(spark, sf_dir), _gap_ends(spark, sf_dir).where("gap % 7 = 0"), 300.0, vertices=True)
+    return gaps.ways_for_gaps(_ways(spark, sf_dir), _gap_ends(spark, sf_dir), 300.0, vertices=True)
 
 
 @query(f"""WITH {CUM}, x AS (SELECT line, seq, km * 1000 AS m, {hav("lat", "lon", "46.01", "10.02")} <= 900 AS at_a, {hav("lat", "lon", "46.03", "10.03")} <= 900 AS at_b, {_STRETCH_GAP} AS gap FROM cum),

@@ -168,12 +168,12 @@ def access_titles(spark, sf_dir):
     return d.select("doc_id", regions.is_access(F.replace(F.concat(head, "text"), F.lit("\n"), F.lit(" "))).alias("access"))
 
 
-_ROUTES = "r AS (SELECT line AS route, min(lat) - 0.0005 AS a, min(lon) - 0.0005 AS b, max(lat) + 0.0005 AS c, max(lon) + 0.0005 AS d FROM track WHERE seq < 3 GROUP BY 1)"
+_ROUTES = "r AS (SELECT line AS route, min(lat) - 0.0005 AS a, min(lon) - 0.0005 AS b, max(lat) + 0.0005 AS c, max(lon) + 0.0005 AS d FROM track GROUP BY 1)"
 
 
 @query(f"WITH {TRACK}, {TRAILS}, {_ROUTES} SELECT route, trails.line AS line FROM r JOIN trails ON lat BETWEEN a AND c AND lon BETWEEN b AND d")
 def near_route(spark, sf_dir):
-    r = track(spark, sf_dir).where("seq < 3").groupBy(F.col("line").alias("route")).agg(*(f(c).alias(f"{n}_{c}") for n, f in (("min", F.min), ("max", F.max)) for c in ("lat", "lon")))
+    r = track(spark, sf_dir).groupBy(F.col("line").alias("route")).agg(*(f(c).alias(f"{n}_{c}") for n, f in (("min", F.min), ("max", F.max)) for c in ("lat", "lon")))
     boxes = trails(spark, sf_dir).select("line", *(F.col(c).alias(f"{n}_{c}") for n in ("min", "max") for c in ("lat", "lon")))
     return regions.near_route(r, boxes, 0.0005)
 
@@ -503,8 +503,12 @@ def sql_functions(spark, sf_dir):
     return e.select("line", "seq", F.round(F.expr("haversine_m(lat, lon, lat2, lon2)"), 3).alias("m"))
 
 
-@query(f"WITH {SEGMENTS}, c AS (SELECT line, seq, start_lat, start_lon, end_lat, end_lon FROM seg WHERE seq = 1 OR seq = 2) SELECT p.line, 2::BIGINT AS piece, {hav('p.end_lat', 'p.end_lon', 'q.end_lat', 'q.end_lon')} < {hav('p.end_lat', 'p.end_lon', 'q.start_lat', 'q.start_lon')} AS flipped, round(least({hav('p.end_lat', 'p.end_lon', 'q.end_lat', 'q.end_lon')}, {hav('p.end_lat', 'p.end_lon', 'q.start_lat', 'q.start_lon')}), 2) AS joint_m FROM c p JOIN c q ON p.line = q.line AND p.seq = 1 AND q.seq = 2")
+@query(f"""WITH RECURSIVE {SEGMENTS}, c AS (SELECT line, seq, start_lat, start_lon, end_lat, end_lon FROM seg),
+ r AS (SELECT line, seq, end_lat AS x, end_lon AS y, false AS flipped, NULL::DOUBLE AS m FROM c WHERE (line, seq) IN (SELECT (line, min(seq)) FROM c GROUP BY line)
+  UNION ALL SELECT line, seq, CASE WHEN to_b < to_a THEN start_lat ELSE end_lat END, CASE WHEN to_b < to_a THEN start_lon ELSE end_lon END, to_b < to_a, least(to_a, to_b) FROM
+   (SELECT c.*, {hav('r.x', 'r.y', 'c.start_lat', 'c.start_lon')} AS to_a, {hav('r.x', 'r.y', 'c.end_lat', 'c.end_lon')} AS to_b FROM r JOIN c ON c.line = r.line AND c.seq = r.seq + 1))
+SELECT line, seq AS piece, flipped, round(m, 2) AS joint_m FROM r""")
 def section_chain(spark, sf_dir):
-    """The first two segments of each line as sections: how the second has to be turned."""
-    s = _segments(spark, sf_dir).where("seq <= 2").select("line", F.col("seq").alias("piece"), F.col("start_lat").alias("a_lat"), F.col("start_lon").alias("a_lon"), F.col("end_lat").alias("b_lat"), F.col("end_lon").alias("b_lon"))
-    return lines.chained_sections(s, 1000.0).where("piece = 2").select("line", "piece", "flipped", F.round("joint_m", 2).alias("joint_m"))
+    """The segments of each line as sections: how each has to be turned to follow the one before."""
+    s = _segments(spark, sf_dir).select("line", F.col("seq").alias("piece"), F.col("start_lat").alias("a_lat"), F.col("start_lon").alias("a_lon"), F.col("end_lat").alias("b_lat"), F.col("end_lon").alias("b_lon"))
+    return lines.chained_sections(s, 1000.0).select("line", "piece", "flipped", F.round("joint_m", 2).alias("joint_m"))
