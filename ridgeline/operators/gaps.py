@@ -149,19 +149,20 @@ def reusable_connector(connectors: DataFrame, gaps: DataFrame, within_m: float =
 def stretch_between(recording: DataFrame, gaps: DataFrame, within_m: float = 60.0, slack_m: float = 250.0, floor_m: float = 5.0, times: float = 3.0, key: str = "line") -> DataFrame:
     """(key, ia, ib, ridden_m): the shortest stretch of a recording (key, seq, lat, lon, m) from near a gap's start to near its
     end (key, a_lat, a_lon, b_lat, b_lon, gap_m) that is as long as a bridge may be. Starts are moved ahead by the least length;
-    for each place near the end the last start before it then decides, so no pairs are made."""
+    for each place near the end the start with most metres before it then decides, of equal ones the first, so no pairs are made."""
     met = recording.join(gaps.withColumnRenamed(key, "_g"), F.col(key) == F.col("_g"))
     near = lambda x: haversine_m(F.col(f"{x}_lat"), F.col(f"{x}_lon"), F.col("lat"), F.col("lon")) <= within_m
     marked = met.select(key, "seq", "m", "gap_m", near("a").alias("at_a"), near("b").alias("at_b"))
     least = F.greatest(F.col("gap_m") - floor_m, F.lit(0.0))
-    start = F.struct(F.col("seq").alias("ia"), F.col("m").alias("m0"))
+    start = F.struct(F.col("m").alias("m0"), (-F.col("seq")).alias("back"))
     moved = marked.where("at_a").select(key, (F.col("m") + least).alias("at"), F.lit(0).alias("kind"), "seq", "m", "gap_m", start.alias("s"))
     ends = marked.where("at_b").select(key, F.col("m").alias("at"), F.lit(1).alias("kind"), "seq", "m", "gap_m", F.when(F.lit(False), start).alias("s"))
-    last = F.last("s", True).over(along(key, "at", "kind", "seq").rowsBetween(W.unboundedPreceding, -1))
+    # an end stands before the start of its own place, which is no start for it
+    last = F.max("s").over(along(key, "at", "seq", F.col("kind").desc()).rowsBetween(W.unboundedPreceding, -1))
     got = moved.unionByName(ends).withColumn("s", last).where("kind = 1 and s is not null").withColumn("ridden_m", F.col("m") - F.col("s.m0"))
     most = F.greatest(times * F.col("gap_m"), F.col("gap_m") + slack_m)
-    fits = got.where((F.col("s.ia") < F.col("seq")) & (F.col("ridden_m") <= most))
-    return fits.groupBy(key).agg(F.min(F.struct("ridden_m", F.col("s.ia").alias("ia"), F.col("seq").alias("ib"))).alias("b")).select(key, "b.ia", "b.ib", "b.ridden_m")
+    fits = got.withColumn("ia", -F.col("s.back")).where((F.col("ia") < F.col("seq")) & (F.col("ridden_m") <= most))
+    return fits.groupBy(key).agg(F.min(F.struct("ridden_m", "ia", F.col("seq").alias("ib"))).alias("b")).select(key, "b.ia", "b.ib", "b.ridden_m")
 
 
 def accepted(candidates: DataFrame, budgets: DataFrame, beeline_most_m: float = 1500.0) -> DataFrame:

@@ -209,3 +209,13 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.n for r in spark.table("sessions").collect()) == [1, 2]
+
+
+def test_stretch_starts_at_the_first_of_equal_places(spark):
+    from ridgeline.operators import gaps
+
+    rows = [(1, 0, 46.0, 0.0), (1, 1, 46.01, 1200.0), (1, 2, 46.01, 1200.0), (1, 3, 46.02, 2400.0), (2, 0, 46.01, 0.0), (2, 1, 46.01, 0.0), (2, 2, 46.01, 0.0)]
+    recording = spark.createDataFrame([(line, seq, lat, 10.0, m) for line, seq, lat, m in rows], "line int, seq int, lat double, lon double, m double")
+    ends = spark.createDataFrame([(1, 46.01, 10.0, 46.02, 10.0, 1112.0), (2, 46.01, 10.0, 46.01, 10.0, 0.0)], "line int, a_lat double, a_lon double, b_lat double, b_lon double, gap_m double")
+    got = gaps.stretch_between(recording, ends, 60.0)
+    assert [tuple(r) for r in got.orderBy("line").collect()] == [(1, 1, 3, 1200.0), (2, 0, 1, 0.0)]
