@@ -38,10 +38,10 @@ def duplicate_key(x: Column) -> Column:
 RESORT_DROPPED = (r"\b(sektion|section)\s*\d+\b", r"\bjump\s*section\b", r"^\d{3}\s*", "[^a-z0-9]")
 
 
-def resort_key(x: Column) -> Column:
-    """Folded letters; section numbers and a leading three-digit number go."""
+def resort_key(x: Column, dropped: tuple[str, ...] = RESORT_DROPPED) -> Column:
+    """Folded letters; section numbers and a leading three-digit number go, or what `dropped` names."""
     x = _replaced(F.lower(x), FOLDED)
-    for pattern in RESORT_DROPPED:
+    for pattern in dropped:
         x = F.regexp_replace(x, pattern, "")
     return x
 

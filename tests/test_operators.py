@@ -219,3 +219,12 @@ def test_stretch_starts_at_the_first_of_equal_places(spark):
     ends = spark.createDataFrame([(1, 46.01, 10.0, 46.02, 10.0, 1112.0), (2, 46.01, 10.0, 46.01, 10.0, 0.0)], "line int, a_lat double, a_lon double, b_lat double, b_lon double, gap_m double")
     got = gaps.stretch_between(recording, ends, 60.0)
     assert [tuple(r) for r in got.orderBy("line").collect()] == [(1, 1, 3, 1200.0), (2, 0, 1, 0.0)]
+
+
+def test_name_keys_keep_numbers(spark, tmp_path):
+    from ridgeline.plans import queries
+
+    docs = [(1, "829484 grün"), (2, "Section 12 Höhe"), (3, "jump section à é")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.resort_key for r in queries.name_keys(spark, str(tmp_path)).collect()}
+    assert got == {1: "829484gruntrail", 2: "section12hohetrail", 3: "jumpsectionaetrail"}
