@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ridgeline.functions.geo import crossing, haversine_m
 from ridgeline.operators.lines import along
 from ridgeline.operators.nearest import around_in_space, cell, edges_of, space_cell
-from ridgeline.operators.settle import settled
+from ridgeline.operators.settle import settled, shuffled
 
 PLACES = 5
 
@@ -52,7 +52,7 @@ def crossings(edges: DataFrame, lines: DataFrame, size: float, key: str = "gap")
 
     own = edges_of(lines, key, "seq").select(key, F.col("seq").alias("edge"), *(F.col(c).alias(f"l_{c}") for c in ("lat", "lon", "lat2", "lon2")), "lat", "lon", "lat2", "lon2")
     own = tiled(own).drop("lat", "lon", "lat2", "lon2")
-    met = tiled(edges).join(own, ["_cy", "_cx"])
+    met = shuffled(tiled(edges)).join(own, ["_cy", "_cx"])
     x = crossing((F.col("lat"), F.col("lon")), (F.col("lat2"), F.col("lon2")), (F.col("l_lat"), F.col("l_lon")), (F.col("l_lat2"), F.col("l_lon2")))
     cut = met.select(key, "src", "edge", "lat", "lon", x.alias("x")).where("x is not null")
     to = haversine_m(F.col("lat"), F.col("lon"), F.col("x.lat"), F.col("x.lon"))
@@ -71,11 +71,11 @@ def first_cuts(points: DataFrame, starts: DataFrame, lines: DataFrame, *, most_m
     hops = edges.select(F.col("src").alias("node"), "dst", "w")
     while not front.isEmpty():
         ends = seen.join(cuts.withColumnRenamed("src", "node"), [key, "node"]).groupBy(key).agg(F.min(F.col("m") + F.col("to_m")).alias("best"))
-        open_ = front.join(ends, key, "left").where("best is null or m < best").drop("best")
-        step = open_.join(hops, "node").select(key, F.col("dst").alias("node"), (F.col("m") + F.col("w")).alias("m"), F.concat("path", F.array("dst")).alias("path")).where(F.col("m") <= most_m)
+        open_ = front.join(shuffled(ends), key, "left").where("best is null or m < best").drop("best")
+        step = open_.join(shuffled(hops), "node").select(key, F.col("dst").alias("node"), (F.col("m") + F.col("w")).alias("m"), F.concat("path", F.array("dst")).alias("path")).where(F.col("m") <= most_m)
         nearer = step.groupBy(key, "node").agg(F.min(F.struct("m", "path")).alias("new"))
         known = seen.select(key, "node", F.col("m").alias("old"))
-        front = settled(nearer.join(known, [key, "node"], "left").where("old is null or new.m < old").select(key, "node", "new.m", "new.path"), "front")
+        front = settled(nearer.join(shuffled(known), [key, "node"], "left").where("old is null or new.m < old").select(key, "node", "new.m", "new.path"), "front")
         kept = seen.join(front.select(key, "node"), [key, "node"], "left_anti").unionByName(front)
         seen = settled(kept, "seen")
     ended = seen.join(cuts.withColumnRenamed("src", "node"), [key, "node"])

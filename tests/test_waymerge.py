@@ -113,3 +113,15 @@ def test_random_networks(spark, seed):
 def test_empty(spark):
     pieces, line = waymerge.merged_ways(spark.createDataFrame([], SCHEMA))
     assert pieces.count() == 0 and line.count() == 0
+
+
+def test_rows_that_explode_are_not_sent_through_the_driver(spark):
+    from pyspark.sql import functions as F
+
+    from ridgeline.operators.nearest import around_in_space
+    from ridgeline.operators.settle import settled
+
+    places = spark.range(50).select("id", (46 + F.col("id") / 1000).alias("lat"), F.lit(10.0).alias("lon"))
+    around, small = around_in_space(places, "lat", "lon", 100.0), settled(places, "places")
+    for met in (around.join(places.select(F.col("id").alias("_x")), "_x"), places.join(small.select("id"), "id", "left_anti")):
+        assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
