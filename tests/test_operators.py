@@ -228,3 +228,13 @@ def test_name_keys_keep_numbers(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.resort_key for r in queries.name_keys(spark, str(tmp_path)).collect()}
     assert got == {1: "829484gruntrail", 2: "section12hohetrail", 3: "jumpsectionaetrail"}
+
+
+def test_nearest_in_cells_meets_each_place_once(spark):
+    import time
+
+    probes = spark.range(30_000).select(F.col("id").alias("probe"), F.when(F.col("id") == 7, 46.001).otherwise(46.0).alias("lat"), F.lit(10.0).alias("lon"))
+    places = spark.range(30_000).select((F.col("id") + 5).alias("point"), F.when(F.col("id") == 9, 46.001).otherwise(46.0).alias("lat"), F.lit(10.0).alias("lon"))
+    began = time.time()
+    got = {r.probe: (r.point, round(r.d)) for r in nearest.nearest_in_cells(probes, places, 300.0, (0.003, 0.0045)).collect()}
+    assert got == {k: (14, 0) if k == 7 else (5, 0) for k in range(30_000)} and time.time() - began < 30
