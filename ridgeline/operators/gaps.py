@@ -188,22 +188,30 @@ def applied(segments: DataFrame, bridges: DataFrame, line: str = "line") -> Data
     return kept.unionByName(added).withColumn("at", F.row_number().over(along(line, "o")) - 1).select(line, "at", "kind", "grown_m")
 
 
-def same_type_groups(ways: DataFrame, tol_places: int = 5, max_rounds: int = 40) -> DataFrame:
+def same_type_groups(ways: DataFrame, tol_places: int = 5) -> DataFrame:
     """(way, group): ways (way, kind, name, a_lat, a_lon, b_lat, b_lon) of one kind and name whose ends touch are one group,
-    named by its smallest way. Labels spread along shared ends, a round a step, until nothing changes."""
+    named by its smallest way. Labels spread along shared ends and to the way a way is labelled with, and each way takes over
+    the label of the one it is labelled with, so a chain of n ways settles in some log n rounds. Labels only fall, so the rounds
+    end; each is a table."""
     from ridgeline.operators.graph import node_key
+    from ridgeline.operators.settle import forget, settled
 
     ends = ways.select("way", F.explode(F.array(*(F.concat_ws("|", F.coalesce("kind", F.lit("")), F.coalesce("name", F.lit("")), node_key(F.col(f"{x}_lat"), F.col(f"{x}_lon"), tol_places)) for x in ("a", "b")))).alias("end")).distinct()
-    label = ways.select("way", F.col("way").alias("group"))
-    has_dir = bool(ways.sparkSession.sparkContext.getCheckpointDir())
-    for _ in range(max_rounds):
+    ends = settled(ends, "ends")
+    label = settled(ways.select("way", F.col("way").alias("group")), "labels")
+    while True:
         here = ends.join(label, "way").groupBy("end").agg(F.min("group").alias("g"))
-        new = ends.join(here, "end").groupBy("way").agg(F.min("g").alias("group"))
-        new = new.checkpoint() if has_dir else new
-        if new.join(label.withColumnRenamed("group", "old"), "way").where("group <> old").isEmpty():
+        near = ends.join(here, "end").groupBy("way").agg(F.min("g").alias("g")).join(label, "way")
+        told = near.select(F.explode(F.array("way", "group")).alias("way"), "g").groupBy("way").agg(F.min("g").alias("group"))
+        told = settled(told, "told")
+        ahead = told.select(F.col("way").alias("_w"), F.col("group").alias("_g"))
+        new = settled(told.join(ahead, F.col("group") == F.col("_w")).select("way", F.col("_g").alias("group")), "labels")
+        forget(told)
+        done = new.join(label.withColumnRenamed("group", "old"), "way").where("group <> old").isEmpty()
+        forget(label)
+        if done:
             return new
         label = new
-    raise RuntimeError("same_type_groups did not settle")
 
 
 def closing_report(gaps: DataFrame) -> DataFrame:

@@ -125,3 +125,14 @@ def test_rows_that_explode_are_not_sent_through_the_driver(spark):
     around, small = around_in_space(places, "lat", "lon", 100.0), settled(places, "places")
     for met in (around.join(places.select(F.col("id").alias("_x")), "_x"), places.join(small.select("id"), "id", "left_anti")):
         assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_chains_of_one_type_are_one_group(spark):
+    from pyspark.sql import functions as F
+
+    from ridgeline.operators.gaps import same_type_groups
+
+    i = F.col("id")
+    ways = spark.range(120).select(i.alias("way"), F.lit("path").alias("kind"), F.when(i < 100, "x").otherwise("y").alias("name"), (46 + i / 1000).alias("a_lat"), F.lit(10.0).alias("a_lon"), (46 + (i + 1) / 1000).alias("b_lat"), F.lit(10.0).alias("b_lon"))
+    got = {r.way: r.group for r in same_type_groups(ways).collect()}
+    assert got == {k: 0 if k < 100 else 100 for k in range(120)}
