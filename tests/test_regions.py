@@ -72,6 +72,22 @@ def test_cheapest_places_of_a_long_list(spark):
             assert got[i, rank][0] == k and abs(got[i, rank][1] - cost) < 1e-3
 
 
+def test_dense_places_are_settled_by_rings(spark, monkeypatch):
+    """Lines among many places meet those in the cubes around, and never all first cubes of the tree; copies of a place share an answer."""
+    rng = random.Random(6)
+    spots = [(46 + rng.uniform(0, 1), 10 + rng.uniform(0, 1)) for _ in range(nearest.FEW + 100)]
+    places = [(*p, rng.choice((0.0, 500.0, 4_000.0))) for p in spots + spots[:9] * 6]
+    q = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "anchor int, la double, lo double, extra double")
+    rows = [(46.2 + rng.uniform(0, 0.6), 10.2 + rng.uniform(0, 0.6)) for _ in range(30)] * 2 + spots[:9]
+    monkeypatch.setattr(nearest, "_down_the_cells", None)
+    out = nearest.cheapest_places(spark.createDataFrame([(i, *p) for i, p in enumerate(rows)], "line int, lat double, lon double"), q, 4).collect()
+    got = {(r.line, r.rank): (r.anchor, r.cost) for r in out}
+    assert len(out) == 4 * len(rows)
+    for i, p in enumerate(rows):
+        for rank, (cost, k) in enumerate(sorted((1000 * _km(p, x[:2]) + x[2], k) for k, x in enumerate(places))[:4], 1):
+            assert got[i, rank][0] == k and abs(got[i, rank][1] - cost) < 1e-3
+
+
 def test_preferences_and_arrows(spark):
     assert regions.preferences("3:2 way, 7:0,x:1, 9, 11:") == {3: "2 way", 7: "0"}
     got = regions.arrows(spark.createDataFrame([(1, 0.0), (2, 0.1), (3, 100.0)], "line int, km double")).groupBy("line").count().collect()
