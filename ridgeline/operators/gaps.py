@@ -12,31 +12,41 @@ from pyspark.sql import functions as F
 from ridgeline.functions.geo import edge_projection, haversine_m
 from ridgeline.operators.lines import along, with_steps
 from ridgeline.operators.nearest import _around, cells_of_edges, edges_of, in_cell
+from ridgeline.operators.settle import spread
 
 
 def nearest_edge(points: DataFrame, ways: DataFrame, within_m: float, size: float, keys: list[str]) -> DataFrame:
     """(keys, way, edge, d, t, at_lat, at_lon): for each point (keys, lat, lon) the nearest place on a way (way, seq, lat, lon)
-    within within_m, which a cell's side of `size` degrees must exceed; ties to the smaller way and edge. None gives no row."""
+    within within_m, which a cell's side of `size` degrees must exceed; ties to the smaller way and edge. None gives no row.
+
+    Places meet, each once: the points of one place have one answer."""
+    own = points.select(*keys, F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")).where("_qlat is not null and _qlon is not null")
+    best = _met_edges(spread(own.select("_qlat", "_qlon").distinct()), ways, within_m, size).groupBy("_qlat", "_qlon").agg(F.min(F.struct(F.col("p.d").alias("d"), "way", "edge", F.col("p.t").alias("t"), F.col("p.lat").alias("at_lat"), F.col("p.lon").alias("at_lon"))).alias("b"))
+    return own.join(best, ["_qlat", "_qlon"]).select(*keys, "b.way", "b.edge", "b.d", "b.t", "b.at_lat", "b.at_lon")
+
+
+def _met_edges(places: DataFrame, ways: DataFrame, within_m: float, size: float) -> DataFrame:
+    """places (..., _qlat, _qlon) with the edges of ways (way, edge) within within_m and p, the projection on them."""
     e = cells_of_edges(edges_of(ways, "way", "seq").withColumnRenamed("seq", "edge"), size)
-    q = in_cell(points.select(*keys, F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")), size)
     p = edge_projection((F.col("_qlat"), F.col("_qlon")), (F.col("lat"), F.col("lon")), (F.col("lat2"), F.col("lon2")), mid_latitude=True)
-    met = q.join(e, ["_cy", "_cx"]).select(*keys, "way", "edge", p.alias("p")).where(F.col("p.d") <= within_m)
-    best = met.groupBy(*keys).agg(F.min(F.struct(F.col("p.d").alias("d"), "way", "edge", F.col("p.t").alias("t"), F.col("p.lat").alias("at_lat"), F.col("p.lon").alias("at_lon"))).alias("b"))
-    return best.select(*keys, "b.way", "b.edge", "b.d", "b.t", "b.at_lat", "b.at_lon")
+    return in_cell(places, size).join(e, ["_cy", "_cx"]).select(*places.columns, "way", "edge", p.alias("p")).where(F.col("p.d") <= within_m)
 
 
 def off_way_metres(bridges: DataFrame, ways: DataFrame, tol_m: float = 5.0, step_m: float = 10.0, size: float = 0.002, line: str = "line") -> DataFrame:
     """(line, length_m, off_m): of each bridge (line, seq, lat, lon) cut into steps of at most step_m, the metres whose middle
-    is farther than tol_m from all ways."""
-    e = edges_of(bridges, line, "seq")
+    is farther than tol_m from all ways. Edges between the same two places are cut once; a table of them has no row a step."""
+    ends = ["lat", "lon", "lat2", "lon2"]
+    e = edges_of(bridges, line, "seq").select(line, *ends)
     length = haversine_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
-    cut = e.withColumn("m", length).withColumn("parts", F.when(F.col("m") > step_m, F.ceil(F.col("m") / step_m)).otherwise(1).cast("int"))
+    cut = spread(e.select(*ends).distinct()).select(F.struct(*ends).alias("_e"), *ends, length.alias("m")).withColumn("parts", F.when(F.col("m") > step_m, F.ceil(F.col("m") / step_m)).otherwise(1).cast("int"))
     each = cut.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     at = (F.col("k") + 0.5) / F.col("parts")
-    middle = each.select(line, "seq", "k", (F.col("m") / F.col("parts")).alias("m"), (F.col("lat") + at * (F.col("lat2") - F.col("lat"))).alias("lat"), (F.col("lon") + at * (F.col("lon2") - F.col("lon"))).alias("lon"))
-    near = nearest_edge(middle, ways, tol_m, size, [line, "seq", "k"]).select(F.col(line).alias("_l"), F.col("seq").alias("_s"), F.col("k").alias("_k"))
-    met = middle.join(near, (F.col(line) == F.col("_l")) & (F.col("seq") == F.col("_s")) & (F.col("k") == F.col("_k")), "left")
-    return met.groupBy(line).agg(F.sum("m").alias("length_m"), F.sum(F.when(F.col("_l").isNull(), F.col("m")).otherwise(0.0)).alias("off_m"))
+    middle = each.select("_e", "k", "m", "parts", (F.col("lat") + at * (F.col("lat2") - F.col("lat"))).alias("_qlat"), (F.col("lon") + at * (F.col("lon2") - F.col("lon"))).alias("_qlon"))
+    near = _met_edges(middle, ways, tol_m, size).groupBy("_e").agg((F.count_distinct("k") * F.max(F.col("m") / F.col("parts"))).alias("near_m"), (F.count_distinct("k") == F.max("parts")).alias("all"))
+    near = near.select(*(F.col(f"_e.{c}").alias(f"_{c}") for c in ends), "near_m", "all")
+    met = e.withColumn("m", length).join(near, [F.col(c) == F.col(f"_{c}") for c in ends], "left")
+    off = F.when(F.col("all"), 0.0).otherwise(F.col("m") - F.coalesce("near_m", F.lit(0.0)))
+    return met.groupBy(line).agg(F.sum("m").alias("length_m"), F.sum(off).alias("off_m"))
 
 
 def double_ride_metres(bridges: DataFrame, others: DataFrame, within_m: float = 10.0, size: float = 0.002, line: str = "line") -> DataFrame:

@@ -238,3 +238,21 @@ def test_nearest_in_cells_meets_each_place_once(spark):
     began = time.time()
     got = {r.probe: (r.point, round(r.d)) for r in nearest.nearest_in_cells(probes, places, 300.0, (0.003, 0.0045)).collect()}
     assert got == {k: (14, 0) if k == 7 else (5, 0) for k in range(30_000)} and time.time() - began < 30
+
+
+def test_places_meet_ways_once(spark, monkeypatch):
+    """Of copies of a point, or of an edge, one meets the ways, and all have its answer."""
+    from ridgeline.operators import gaps, nearest
+
+    met = []
+    for module in (gaps, nearest):
+        monkeypatch.setattr(module, "in_cell", lambda df, size, f=module.in_cell: (met.append(df), f(df, size))[1])
+    ways = spark.createDataFrame([(1, 0, 46.0, 10.0), (1, 1, 46.0, 10.01), (2, 0, 46.001, 10.0), (2, 1, 46.001, 10.01)], "way int, seq int, lat double, lon double")
+    copies = spark.createDataFrame([(k, s, 46.0002 + 0.004 * s, 10.002) for k in range(40) for s in (0, 1)] + [(99, 0, None, 10.0)], "line int, seq int, lat double, lon double")
+    near = {(r.line, r.seq): (r.way, round(r.d, 3)) for r in gaps.nearest_edge(copies, ways, 100.0, 0.002, ["line", "seq"]).collect()}
+    assert set(near) == {(k, 0) for k in range(40)} and len(set(near.values())) == 1 and near[0, 0][0] == 1
+    labels = nearest.label_points(copies, ways.withColumnRenamed("way", "cand"), 100.0, 0.002).collect()
+    assert len(labels) == 81 and all((r.label == 1) == (r.seq == 0 and r.line < 99) for r in labels)
+    off = {r.line: (round(r.length_m), round(r.off_m)) for r in gaps.off_way_metres(copies, ways, 50.0, 10.0).collect()}
+    assert set(off) == set(range(40)) and len(set(off.values())) == 1 and 0 < off[0][1] < off[0][0] == 445
+    assert [df.count() for df in met] == [2, 2, 45]
