@@ -135,3 +135,12 @@ def test_shapes(spark):
     rows = [("in", [5.0] * 10), ("tail", [1.0] * 6 + [20.0, 40.0, 70.0, 120.0]), ("few", [1.0, 2.0]), ("mixed", [1.0, 500.0] * 5)]
     got = {r.k: r.s for r in spark.createDataFrame(rows, "k string, d array<double>").select("k", ranking.profile_shape(F.col("d")).alias("s")).collect()}
     assert got == {"in": "subsumed", "tail": "junction", "few": "unclear", "mixed": "unclear"}
+
+
+def test_more_groups_than_a_list_holds(spark):
+    """Means of very many groups go by cells; none is refused and none is crossed with all points."""
+    n = 100_500
+    members = spark.range(n).selectExpr("id as region", "cast(id % 300 as double) / 10 + 30 as lat", "cast(floor(id / 300) as double) / 10 - 10 as lon")
+    rows = [(1, 30.02, -9.99), (2, 45.01, 5.02), (3, 59.9, 23.4)]
+    got = {r.line: r.region for r in regions.nearest_centroid(spark.createDataFrame(rows, "line int, lat double, lon double"), members).collect()}
+    assert got == {1: 0, 2: 150 * 300 + 150, 3: 334 * 300 + 299}
