@@ -118,6 +118,17 @@ def greedy_survivors(nodes: DataFrame, conflicts: DataFrame, node: str = "id", m
     return nodes if gone is None else nodes.join(gone.withColumnRenamed("b", node).distinct(), node, "left_anti")
 
 
+def first_of_near(places: DataFrame, within_m: float, size: tuple[float, float], node: str = "id") -> DataFrame:
+    """(id): places (id, lat, lon) taken in order of id, without those within within_m of one that stays before them; by cells.
+
+    Of the rows of one place only the first can stay: what it gives way to comes before the others too. So places meet, not copies."""
+    from ridgeline.operators.gaps import closest_vertices
+
+    first = places.groupBy("lat", "lon").agg(F.min(node).alias(node)).select(node, F.lit(0).alias("seq"), "lat", "lon")
+    near = closest_vertices(first.withColumnRenamed(node, "a"), first.withColumnRenamed(node, "b"), within_m, size).where("a < b").select("a", "b")
+    return greedy_survivors(first.select(node), near, node)
+
+
 # Fixed values of a shape: times the tolerance that a contained line leaves the other, that a junction's tail climbs over
 # it, and that a step may fall back by; the share of rising steps in a tail; the share of points that lie near.
 STRAY, TAIL, SLACK, RISING, MOSTLY = 3, 4, 0.25, 0.75, 0.6

@@ -144,3 +144,17 @@ def test_more_groups_than_a_list_holds(spark):
     rows = [(1, 30.02, -9.99), (2, 45.01, 5.02), (3, 59.9, 23.4)]
     got = {r.line: r.region for r in regions.nearest_centroid(spark.createDataFrame(rows, "line int, lat double, lon double"), members).collect()}
     assert got == {1: 0, 2: 150 * 300 + 150, 3: 334 * 300 + 299}
+
+
+def test_copies_of_a_place_are_no_conflicts(spark, monkeypatch):
+    rng = random.Random(7)
+    spots = [(46 + rng.uniform(0, 0.02), 10 + rng.uniform(0, 0.03)) for _ in range(25)]
+    rows = [(i, *rng.choice(spots)) for i in range(400)]
+    seen, settle = [], ranking.greedy_survivors
+    monkeypatch.setattr(ranking, "greedy_survivors", lambda nodes, conflicts, node: (seen.append(conflicts.count()), settle(nodes, conflicts, node))[1])
+    got = {r.id for r in ranking.first_of_near(spark.createDataFrame(rows, "id int, lat double, lon double"), 500.0, (0.006, 0.009)).collect()}
+    kept = []
+    for i, *p in rows:
+        if all(_km(p, q) * 1000 > 500 for _, q in kept):
+            kept.append((i, p))
+    assert got == {i for i, _ in kept} and seen[0] <= 25 * 24 / 2
