@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -540,3 +541,11 @@ def test_scores_of_whole_texts_are_brute_force(spark):
     for i, t in rows:
         assert got[i] == pytest.approx(brute_score(t, terms, model.weights)), t
     assert got[3] > 4 * got[4]
+
+
+def test_document_ids_of_entries_are_small_once_compressed():
+    """Entries hold ids by planes of bytes: compressed they take little more than the bytes that differ."""
+    ids = np.random.default_rng(1).integers(0, 1 << 22, 5000)
+    packed = suffix._planes(ids)
+    assert (suffix._of_planes(packed) == ids).all() and (suffix._of_planes(suffix._planes(np.array([suffix._LAST, -5]))) == [suffix._LAST, -5]).all()
+    assert len(pa.compress(packed, "lz4", asbytes=True)) < 0.8 * len(pa.compress(ids.astype("<i8").tobytes(), "lz4", asbytes=True))
