@@ -2,7 +2,7 @@
 
 The network is edges between numbered nodes (vertices at five decimals). Each start goes out over the edges in rounds, like
 rings; a round keeps what comes nearer to a node than before. Edges that cross the start's own line are found beforehand by
-cells. A walk ends where the metres to a node and on to a crossing are least, and no ring goes farther than the best end
+cells. Starts at one node with one line have one walk, which one of them goes. A walk ends where the metres to a node and on to a crossing are least, and no ring goes farther than the best end
 so far or than most_m. Rounds are written as tables; no part of the network is gathered.
 """
 
@@ -35,12 +35,15 @@ def network_edges(points: DataFrame, line: str = "way", seq: str = "seq") -> Dat
 
 
 def nearest_nodes(starts: DataFrame, edges: DataFrame, within_m: float, key: str = "gap") -> DataFrame:
-    """(key, node, d): for each start (key, lat, lon) the nearest node within within_m, of equals the smaller; by cells of space."""
+    """(key, node, d): for each start (key, lat, lon) the nearest node within within_m, of equals the smaller; by cells of space.
+
+    Places meet the nodes, each once: the starts of one place have one answer."""
     nodes = edges.select(F.col("src").alias("node"), "lat", "lon").distinct().withColumn("c", space_cell(F.col("lat"), F.col("lon"), within_m))
     nodes = nodes.select("node", F.col("lat").alias("lat_n"), F.col("lon").alias("lon_n"), *(F.col(f"c.{c}").alias(f"_{c}") for c in "xyz"))
-    q = around_in_space(starts.select(key, "lat", "lon"), "lat", "lon", within_m)
-    met = q.join(nodes, ["_x", "_y", "_z"]).select(key, "node", haversine_m(F.col("lat"), F.col("lon"), F.col("lat_n"), F.col("lon_n")).alias("d")).where(F.col("d") <= within_m)
-    return met.groupBy(key).agg(F.min(F.struct("d", "node")).alias("m")).select(key, "m.node", "m.d")
+    q = around_in_space(starts.select("lat", "lon").distinct(), "lat", "lon", within_m)
+    met = q.join(nodes, ["_x", "_y", "_z"]).select("lat", "lon", "node", haversine_m(F.col("lat"), F.col("lon"), F.col("lat_n"), F.col("lon_n")).alias("d")).where(F.col("d") <= within_m)
+    best = met.groupBy("lat", "lon").agg(F.min(F.struct("d", "node")).alias("m"))
+    return shuffled(starts.select(key, "lat", "lon")).join(best, ["lat", "lon"]).groupBy(key).agg(F.min("m").alias("m")).select(key, "m.node", "m.d")
 
 
 def crossings(edges: DataFrame, lines: DataFrame, size: float, key: str = "gap") -> DataFrame:
@@ -60,13 +63,24 @@ def crossings(edges: DataFrame, lines: DataFrame, size: float, key: str = "gap")
     return best.select(key, "src", "m.*")
 
 
+def alike_starts(nodes: DataFrame, lines: DataFrame, key: str = "gap") -> DataFrame:
+    """(key, node, line, first): starts (key, node) with their own line as an array of (seq, lat, lon); first is the smallest start
+    of those at one node with one line, which have one walk."""
+    line = lines.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("seq", "lat", "lon"))).alias("line"))
+    each = shuffled(nodes.select(key, "node")).join(line, key)
+    first = each.groupBy(F.col("node").alias("_node"), F.col("line").alias("_line")).agg(F.min(key).alias("first"))
+    return each.join(shuffled(first), (F.col("node") == F.col("_node")) & (F.col("line") == F.col("_line"))).select(key, "node", "line", "first")
+
+
 def first_cuts(points: DataFrame, starts: DataFrame, lines: DataFrame, *, most_m: float = 1200.0, reach_m: float = 120.0, size: float = 0.002, key: str = "gap", way: str = "way") -> DataFrame:
     """(key, walked_m, node, edge, lat, lon, path): for each start (key, lat, lon) the shortest walk over ways (way, seq, lat, lon) from
     its nearest node to a place where an edge cuts its line (key, seq, lat, lon); path is the nodes up to the last before the
     cut. Nodes up to most_m are gone on from. Starts without a node within reach_m, or without a cut, give no row."""
     edges = settled(network_edges(points, way), "edges")
-    cuts = settled(crossings(edges, lines, size, key), "cuts")
-    front = settled(nearest_nodes(starts, edges, reach_m, key).select(key, "node", F.lit(0.0).alias("m"), F.array("node").alias("path")), "front")
+    alike = settled(alike_starts(nearest_nodes(starts, edges, reach_m, key), lines, key), "alike")
+    first = alike.where(F.col(key) == F.col("first"))
+    cuts = settled(crossings(edges, first.select(key, F.inline("line")), size, key), "cuts")
+    front = settled(first.select(key, "node", F.lit(0.0).alias("m"), F.array("node").alias("path")), "front")
     seen = front
     hops = edges.select(F.col("src").alias("node"), "dst", "w")
     while not front.isEmpty():
@@ -80,4 +94,4 @@ def first_cuts(points: DataFrame, starts: DataFrame, lines: DataFrame, *, most_m
         seen = settled(kept, "seen")
     ended = seen.join(cuts.withColumnRenamed("src", "node"), [key, "node"])
     best = ended.groupBy(key).agg(F.min(F.struct((F.col("m") + F.col("to_m")).alias("walked_m"), "node", "edge", "lat", "lon", "path")).alias("b"))
-    return best.select(key, "b.*")
+    return alike.select(key, "first").join(shuffled(best.select(F.col(key).alias("first"), "b.*")), "first").drop("first")
