@@ -57,20 +57,41 @@ class Sides:
         if max(len(self.a_bytes), len(self.b_bytes)) > MOST_IDS:
             raise ValueError(f"at most {MOST_IDS} ids a side")
         self.a_size, self.b_size = (np.array([len(x) for x in of], np.int64) for of in (self.a_bytes, self.b_bytes))
+        self.spellings = [(np.frombuffer(b"".join(of), np.uint8), np.cumsum(size) - size, size) for of, size in ((self.a_bytes, self.a_size), (self.b_bytes, self.b_size))]
         self.a_named = [n + end for n in names for end in ",|"]
         self.b_named = [n + end for n in self.b.names for end in ",;"]
         self.named = self.a_named + self.b_named
 
-    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both sides; none where the bytes of either's tokens aren't a space and the text."""
-        none = np.zeros(0, np.int64)
-        if not text:
-            return none, none
-        a, b = np.frombuffer(self.a.plain(" " + text), self.a.dtype), np.frombuffer(self.b.encode(text), np.int32)
-        raw = b" " + text.encode()
-        if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
-            return none, none
-        return a.astype(np.int64), b.astype(np.int64)
+    def ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(tokens a text, ids of all texts one after the other) of both sides; a text has none where the bytes of either's tokens
+        aren't a space and the text. Bytes are compared for all texts at once."""
+        raw = [b" " + t.encode() if t else b"" for t in texts]
+        size = np.array([len(x) for x in raw], np.int64)
+        found = []
+        for encode, dtype in ((lambda t: self.a.plain(" " + t), self.a.dtype), (self.b.encode, np.dtype(np.int32))):
+            own = [encode(t) if t else b"" for t in texts]
+            found.append((np.array([len(x) for x in own], np.int64) // dtype.itemsize, np.frombuffer(b"".join(own), dtype).astype(np.int64)))
+        same = np.ones(len(texts), bool)
+        for (n, ids), of in zip(found, (self.a_size, self.b_size), strict=True):
+            same &= np.diff(np.append(0, np.cumsum(of[ids]))[np.cumsum(n)], prepend=0) == size
+        found = self.without(found, same)
+        kept = np.flatnonzero(same)
+        want, last = np.frombuffer(b"".join([raw[k] for k in kept.tolist()]), np.uint8), np.cumsum(size[kept])
+        for (_, ids), spelling in zip(found, self.spellings, strict=True):
+            other = np.flatnonzero(spelled(ids, *spelling) != want)
+            same[kept[np.searchsorted(last, other, "right")]] = False
+        return self.without(found, same)
+
+    @staticmethod
+    def without(found: list[tuple[np.ndarray, np.ndarray]], same: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        return found if same.all() else [(np.where(same, n, 0), ids[np.repeat(same, n)]) for n, ids in found]
+
+
+def spelled(ids: np.ndarray, raw: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of ids one after the other; raw holds those of the vocabulary, each id's from its start."""
+    n = size[ids]
+    ends = np.cumsum(n)
+    return raw[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[ids] - ends + n, n)]
 
 
 @lru_cache(maxsize=1)
@@ -79,20 +100,23 @@ def sides(a_path: str, a_ranks: str | None, b_path: str) -> Sides:
     return Sides(a_path, a_ranks, b_path)
 
 
+def below(ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many of ends lie below each of at, as searchsorted says; both are places in one block's bytes, so they are counted up."""
+    return np.cumsum(np.bincount(ends + 1, minlength=int(at.max(initial=0)) + 1))[at]
+
+
 class Block:
     """The alignment of some texts as arrays: tokens, ends, groups and links of all of them one after the other."""
 
     def __init__(self, of: Sides, texts: list[str]):
-        pairs = [of.ids(t) for t in texts]
-        self.n_a, self.n_b = (np.array([len(p[k]) for p in pairs], np.int64) for k in (0, 1))
-        a, b = (np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0, np.int64) for k in (0, 1))
+        (self.n_a, a), (self.n_b, b) = of.ids(texts)
         ends_a, ends_b = np.cumsum(of.a_size[a]), np.cumsum(of.b_size[b])  # texts are as long on both sides, so they stay level
         common, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
         last_a, last_b = np.cumsum(self.n_a), np.cumsum(self.n_b)
         self.n_groups = np.diff(np.searchsorted(at_a, last_a), prepend=0)
         both = np.sort(np.concatenate((ends_a, ends_b)), kind="stable")  # two runs that only need merging
         ends = both[np.diff(both, prepend=-1) > 0]  # a link ends at each
-        link_a, link_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        link_a, link_b = below(ends_a, ends), below(ends_b, ends)
         self.doc = np.searchsorted(last_a, link_a, "right")
         self.n_links = np.bincount(self.doc, minlength=len(texts)).astype(np.int64)
         self.a, self.b = a[link_a], b[link_b]
@@ -103,7 +127,7 @@ class Block:
         is its own number and how many of the other side go before it."""
         closes_a, closes_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         closes_a[at_a] = closes_b[at_b] = 1
-        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        group_a, group_b = below(common, ends_a), below(common, ends_b)
         before_a = np.concatenate(([0], at_b + 1))[group_a]  # B tokens of earlier groups
         before_b = (at_a + 1)[group_b] if len(at_a) else group_b  # A tokens up to this group's end
         codes = np.empty(len(a) + len(b), np.int64)

@@ -141,3 +141,32 @@ def test_query(spark, tmp_path, docs, rows):
     out = queries.op11_postings_alignment(spark, str(tmp_path))
     assert sorted(out.columns) == sorted("doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256".split())
     assert {t for c, t in out.dtypes if c != "groups_sha256"} == {"bigint"} and out.count() == len(rows)
+
+
+def test_bytes_are_compared_for_a_block_at_once(monkeypatch):
+    """(op11 in the check of round 3) Texts that a side changes have no tokens, wherever in a block they stand, and no text is joined by itself."""
+    a, ranks = tokenizer_files()
+    of = alignment.Sides(a, ranks, piece_model())
+    changed = {"x" * 40: 0, "y" * 40: 1}  # a side gives other bytes: more of them, or as many
+    plain, encode = of.a.plain, of.b.encode
+    monkeypatch.setattr(of.a, "plain", lambda t: plain(t + "more" if t[1:] in changed and not changed[t[1:]] else t))
+    monkeypatch.setattr(of.b, "encode", lambda t: encode(t.replace("y", "z") if t in changed else t))
+    texts = ["x" * 40, "a plain text", "", "y" * 40, "é ü 😀 \x00", "y" * 40, "another one", "x" * 40]
+    joined = []
+
+    class Watched(list):
+        def __getitem__(self, i):
+            joined.append(i)
+            return super().__getitem__(i)
+
+    of.a_bytes, of.b_bytes = Watched(of.a_bytes), Watched(of.b_bytes)
+    (n_a, ids_a), (n_b, ids_b) = of.ids(texts)
+    assert not joined
+    assert [bool(n) for n in n_a] == [bool(n) for n in n_b] == [t not in changed and t != "" for t in texts]
+    lo_a = lo_b = 0
+    for t, x, y in zip(texts, n_a.tolist(), n_b.tolist(), strict=True):
+        raw = b"".join(of.a_bytes[i] for i in ids_a[lo_a : lo_a + x].tolist()), b"".join(of.b_bytes[i] for i in ids_b[lo_b : lo_b + y].tolist())
+        assert not x or raw == (b" " + t.encode(),) * 2
+        lo_a, lo_b = lo_a + x, lo_b + y
+    assert (lo_a, lo_b) == (len(ids_a), len(ids_b))
+    assert [len(v) for pair in of.ids([]) for v in pair] == [0] * 4 and alignment.Block(of, ["", "x" * 40]).n_links.tolist() == [0, 0]
