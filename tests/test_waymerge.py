@@ -136,3 +136,9 @@ def test_long_chains_of_one_type_are_one_group(spark):
     ways = spark.range(120).select(i.alias("way"), F.lit("path").alias("kind"), F.when(i < 100, "x").otherwise("y").alias("name"), (46 + i / 1000).alias("a_lat"), F.lit(10.0).alias("a_lon"), (46 + (i + 1) / 1000).alias("b_lat"), F.lit(10.0).alias("b_lon"))
     got = {r.way: r.group for r in same_type_groups(ways).collect()}
     assert got == {k: 0 if k < 100 else 100 for k in range(120)}
+
+
+def test_ends_of_ways_meet_by_a_shuffle(spark):
+    """Few bytes of ends are many rows around them: a driver of 750 MB could not hold them."""
+    ways = spark.createDataFrame([(1, "a", "b", 0, 46.0, 10.0), (1, "a", "b", 1, 46.1, 10.0), (2, "a", "b", 0, 46.1, 10.0), (2, "a", "b", 1, 46.2, 10.0)], SCHEMA)
+    assert "Broadcast" not in waymerge.touching_ends(ways, 1.0)._jdf.queryExecution().executedPlan().toString()
