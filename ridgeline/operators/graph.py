@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.geo import haversine_m
 from ridgeline.operators.lines import along
+from ridgeline.operators.settle import forget, settled, shuffled
 
 
 def node_key(lat: Column, lon: Column, places: int = 5) -> Column:
@@ -45,9 +46,64 @@ def reached(edges: DataFrame, starts: DataFrame, hops: int) -> DataFrame:
     return seen
 
 
+#: Edges that one task may hold of a part; larger parts are searched in rounds. Rows of a front that may be sent to every task.
+PART_EDGES, FRONT_ROWS = 200_000, 100_000
+
+
 def shortest_paths(edges: DataFrame, gaps: DataFrame, part: str = "part") -> DataFrame:
-    """(part, src, dst, metres, hops, path): Dijkstra for each gap (part, src, dst) in the edges (part, src, dst, w) of its
-    part of the network, which a caller cuts out by a padded box. Unreachable gives nulls. Equal lengths go the way of the smaller node."""
+    """(part, src, dst, metres, hops, path): the shortest way for each gap (part, src, dst) in the edges (part, src, dst, w > 0) of
+    its part of the network. Unreachable gives nulls. Equal lengths go the way of the smaller node.
+
+    A part that a caller cuts out by a padded box is one task's Dijkstra; one of more than PART_EDGES edges is searched in
+    rounds over all tasks."""
+    edges = settled(edges.select(part, "src", "dst", "w"), "edges")
+    large = settled(edges.groupBy(part).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PART_EDGES).select(part), "large")
+    if large.isEmpty():
+        return _searched_by_task(edges, gaps, part)
+    own = lambda df, how: df.join(large, part, how)
+    return _searched_by_task(own(edges, "left_anti"), own(gaps, "left_anti"), part).unionByName(_searched_in_rounds(own(edges, "left_semi"), own(gaps, "left_semi"), part))
+
+
+def _searched_in_rounds(edges: DataFrame, gaps: DataFrame, part: str) -> DataFrame:
+    """shortest_paths by labels (metres, node before): a round takes every label that got shorter over its node's edges, until no
+    label shorter than the farthest goal of its start is left. Ways are read from the goals back, all at once."""
+    gaps = settled(gaps.select(part, "src", "dst"), "gaps")
+    goals = gaps.distinct()
+    node = [part, "start", "node"]
+    label = F.struct("m", "before")
+    start = goals.select(part, F.col("src").alias("start"), F.col("src").alias("node")).distinct()
+    seen = settled(start.select(*node, F.lit(0.0).alias("m"), F.lit(None).cast("string").alias("before"), F.lit(True).alias("moved")), "labels")
+    out = edges.select(F.col(part).alias("_p"), F.col("src").alias("_s"), F.col("dst").alias("_d"), "w")
+    while True:
+        wanted = goals.join(seen.select(part, F.col("start").alias("src"), F.col("node").alias("dst"), "m"), [part, "src", "dst"], "left")
+        most = wanted.groupBy(part, F.col("src").alias("start")).agg(F.when(F.count("m") == F.count(F.lit(1)), F.max("m")).alias("most"))
+        front = settled(seen.where("moved").join(most, [part, "start"]).where("most is null or m < most").select(*node, "m"), "front")
+        n = front.count()
+        if n == 0:
+            break
+        at = front.select(F.col(part).alias("_fp"), "start", "node", "m")
+        at = F.broadcast(at) if n <= FRONT_ROWS else shuffled(at)  # a short front spares the edges a shuffle
+        met = at.join(out, (F.col("_fp") == F.col("_p")) & (F.col("node") == F.col("_s")))
+        new = met.select(F.col("_fp").alias(part), "start", F.col("_d").alias("node"), (F.col("m") + F.col("w")).alias("m"), F.col("node").alias("before"))
+        both = seen.select(*node, "m", "before", F.col("m").alias("old")).unionByName(new.withColumn("old", F.lit(None).cast("double")))
+        best = both.groupBy(*node).agg(F.min(label).alias("b"), F.min("old").alias("old"))
+        last, seen = seen, settled(best.select(*node, "b.m", "b.before", (F.col("old").isNull() | (F.col("b.m") < F.col("old"))).alias("moved")), "labels")
+        forget(last)
+        forget(front)
+    found = goals.join(seen.select(part, F.col("start").alias("src"), F.col("node").alias("dst"), "m"), [part, "src", "dst"])
+    walk = settled(found.select(part, "src", "dst", F.col("m").alias("metres"), F.col("dst").alias("at"), F.array("dst").alias("path")), "walk")
+    back = seen.select(part, F.col("start").alias("src"), F.col("node").alias("at"), "before")
+    while not walk.where("at <> src").isEmpty():
+        step = walk.join(back, [part, "src", "at"])
+        on = F.col("at") != F.col("src")
+        step = step.select(part, "src", "dst", "metres", F.when(on, F.col("before")).otherwise(F.col("at")).alias("at"), F.when(on, F.concat(F.array("before"), F.col("path"))).otherwise(F.col("path")).alias("path"))
+        last, walk = walk, settled(step, "walk")
+        forget(last)
+    return gaps.join(walk, [part, "src", "dst"], "left").select(part, "src", "dst", "metres", (F.size("path") - 1).alias("hops"), "path")
+
+
+def _searched_by_task(edges: DataFrame, gaps: DataFrame, part: str) -> DataFrame:
+    """shortest_paths by Dijkstra, one part at a time in memory."""
 
     def search(key: tuple, g: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
         near: dict[str, list] = {}

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from ridgeline.operators import chain, facets, graph, lines, nearest, ranking, runs, tables
@@ -256,3 +257,19 @@ def test_places_meet_ways_once(spark, monkeypatch):
     off = {r.line: (round(r.length_m), round(r.off_m)) for r in gaps.off_way_metres(copies, ways, 50.0, 10.0).collect()}
     assert set(off) == set(range(40)) and len(set(off.values())) == 1 and 0 < off[0][1] < off[0][0] == 445
     assert [df.count() for df in met] == [2, 2, 45]
+
+
+@pytest.mark.parametrize("front_rows", [0, 1000])
+def test_large_parts_are_searched_in_rounds(spark, monkeypatch, front_rows):
+    """The same metres, hops and ways as the search by one task, ties among them."""
+    import random
+
+    rng = random.Random(11)
+    e = {(p, f"n{rng.randrange(12)}", f"n{rng.randrange(12)}", float(rng.randint(1, 3))) for p in range(4) for _ in range(18)}
+    edges = spark.createDataFrame([*e, *((p, d, s, w) for p, s, d, w in e)], "part int, src string, dst string, w double")
+    gaps = spark.createDataFrame([(p, f"n{rng.randrange(13)}", f"n{rng.randrange(13)}") for p in range(5) for _ in range(8)] + [(0, "n1", "n1")] * 2, "part int, src string, dst string")
+    told = lambda: sorted((r.part, r.src, r.dst, r.metres if r.hops is not None and r.hops == r.hops else None, tuple(r.path or ())) for r in graph.shortest_paths(edges, gaps).collect())
+    by_task = told()
+    monkeypatch.setattr(graph, "PART_EDGES", 0)
+    monkeypatch.setattr(graph, "FRONT_ROWS", front_rows)
+    assert told() == by_task and any(len(r[4]) > 2 for r in by_task) and any(not r[4] for r in by_task)
