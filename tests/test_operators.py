@@ -273,3 +273,16 @@ def test_large_parts_are_searched_in_rounds(spark, monkeypatch, front_rows):
     monkeypatch.setattr(graph, "PART_EDGES", 0)
     monkeypatch.setattr(graph, "FRONT_ROWS", front_rows)
     assert told() == by_task and any(len(r[4]) > 2 for r in by_task) and any(not r[4] for r in by_task)
+
+
+def test_boxes_of_copies_meet_once(spark):
+    import random
+
+    rng = random.Random(4)
+    places = [(rng.randrange(12) * 0.001, rng.randrange(12) * 0.001, rng.randrange(4) * 0.001, rng.randrange(4) * 0.001) for _ in range(12)]
+    b = [(i, *(lambda p: (p[0], p[1], p[0] + p[2], p[1] + p[3]))(places[rng.randrange(12)])) for i in range(80)]
+    boxes = spark.createDataFrame(b, "line long, min_lat double, min_lon double, max_lat double, max_lon double")
+    plain = sorted((p[0], q[0]) for p in b for q in b if p[0] < q[0] and p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
+    got = nearest.overlapping_boxes(boxes, 0.002)
+    assert sorted(map(tuple, got.collect())) == plain and len(plain) > 200
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") >= 1  # distinct boxes meet, not rows
