@@ -549,3 +549,22 @@ def test_document_ids_of_entries_are_small_once_compressed():
     packed = suffix._planes(ids)
     assert (suffix._of_planes(packed) == ids).all() and (suffix._of_planes(suffix._planes(np.array([suffix._LAST, -5]))) == [suffix._LAST, -5]).all()
     assert len(pa.compress(packed, "lz4", asbytes=True)) < 0.8 * len(pa.compress(ids.astype("<i8").tobytes(), "lz4", asbytes=True))
+
+
+def test_what_blocks_give_out_grows_with_the_input():
+    columns = np.array([3, 1 << 40]), np.array([], np.int64), np.array([0, 0]), np.array([suffix._LAST, -5]), np.array([255], np.uint8)
+    packed = suffix._packed(*columns)
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(suffix._unpacked(packed), columns, strict=True))
+    assert len(packed) == 4 + 8 * 5 + 2 * 6 + 2 * 8 + 1
+    a, b = suffix._union(np.array([0, 10, 60, 200]), np.array([50, 60, 70, 250]))
+    assert a.tolist() == [0, 200] and b.tolist() == [70, 250]
+    # a row for each block and bucket, and for each block and array: what these take besides their content, at 6 GB (10 GB of text)
+    total = 10 << 30
+    blocks, buckets, arrays, _ = suffix.dealt(total, 200)
+    assert blocks * (2 * buckets + arrays) * 100 < 0.4 * total
+    # groups in parts give the same as all at once
+    rng = np.random.default_rng(3)
+    base = [bytes(rng.integers(97, 101, 90).astype(np.uint8)) for _ in range(20)]
+    texts = [base[g][s : s + 60] for g, s in zip(rng.integers(0, 20, 300).tolist(), rng.integers(0, 30, 300).tolist(), strict=True)]
+    docs, group = rng.integers(0, 40, 300), np.array([base.index(next(b for b in base if t in b)) for t in texts])
+    assert suffix.in_parts(texts, docs, group, 500) == suffix.shared_windows(texts, docs, group)
