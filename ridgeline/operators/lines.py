@@ -160,13 +160,17 @@ def kept_by_shape(xy: np.ndarray, eps_m: float) -> np.ndarray:
         a, b = todo.pop()
         if b - a < 2:
             continue
-        cos = np.cos(np.radians(xy[a, 0])) * M_PER_LON
-        x, y = xy[a : b + 1, 1] * cos, xy[a : b + 1, 0] * M_PER_LAT
-        dx, dy = x[-1] - x[0], y[-1] - y[0]
-        length = np.hypot(dx, dy)
-        d = haversine_np(xy[a + 1 : b], xy[a]) if length == 0 else np.abs(dy * (x[1:-1] - x[0]) - dx * (y[1:-1] - y[0])) / length
-        k = int(np.round(d, 6).argmax())  # to a micrometre, so that equal deviations go to the first
-        if d[k] > eps_m:
+        # differences before products: places as numbers of metres would cost a nanometre, which parts equal deviations
+        to, (dy, dx) = xy[a + 1 : b] - xy[a], xy[b] - xy[a]
+        cos = np.cos(np.radians(xy[a, 0]))
+        length = np.sqrt((dx * cos * M_PER_LON) ** 2 + (dy * M_PER_LAT) ** 2)
+        if length == 0:
+            x = np.sin(np.radians(to[:, 0]) / 2) ** 2 + np.cos(np.radians(xy[a + 1 : b, 0])) * cos * np.sin(np.radians(to[:, 1]) / 2) ** 2
+            d = 2 * EARTH_M * np.arcsin(np.sqrt(np.minimum(x, 1)))
+        else:
+            d = np.abs(dy * M_PER_LAT * to[:, 1] * cos * M_PER_LON - dx * cos * M_PER_LON * to[:, 0] * M_PER_LAT) / length
+        k = int(np.floor(d * 1e6 + 0.5).argmax())  # to a micrometre, so that equal deviations go to the first
+        if d.max() > eps_m:
             keep[a + 1 + k] = True
             todo += [(a, a + 1 + k), (a + 1 + k, b)]
     return keep
