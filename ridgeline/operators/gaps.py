@@ -1,15 +1,23 @@
 """Gaps of a loop: ways that bridge them, what a bridge costs, which ones are taken.
 
-Everything is an equality join on cells or on the gap's own key; nothing is gathered but one gap's own arrays.
+Everything is an equality join on cells or on the gap's own key; nothing is gathered but one gap's own arrays and, for the closest
+vertices of every two ways, blocks of vertices.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ridgeline.functions.geo import edge_projection, haversine_m
+from ridgeline.functions.geo import EARTH_M, edge_projection, haversine_m
 from ridgeline.operators.lines import along, with_steps
 from ridgeline.operators.nearest import _around, cells_of_edges, edges_of, in_cell
 from ridgeline.operators.settle import spread
@@ -134,7 +142,8 @@ def walk_to_line(way: DataFrame, starts: DataFrame, met: DataFrame, tol_m: float
 
 
 def closest_vertices(left: DataFrame, right: DataFrame, within_m: float, size: tuple[float, float], key: str = "a", other: str = "b") -> DataFrame:
-    """(key, other, sa, sb, d): of every two ways with vertices within within_m the closest pair, by cells."""
+    """(key, other, sa, sb, d): of every two ways with vertices within within_m the closest pair, by cells,
+    for ways of which few are near each other: pairs of vertices are shuffled."""
     from ridgeline.operators.nearest import cell
 
     q = _around(left.select(key, F.col("seq").alias("sa"), F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon")), "_qlat", "_qlon", size)
@@ -144,6 +153,92 @@ def closest_vertices(left: DataFrame, right: DataFrame, within_m: float, size: t
     return met.groupBy(key, other).agg(F.min(F.struct("d", "sa", "sb")).alias("m")).select(key, other, "m.sa", "m.sb", "m.d")
 
 
+def closest_of_all(left: DataFrame, right: DataFrame, within_m: float, size: tuple[float, float], key: str = "a", other: str = "b", block: int = 1 << 14, ways: int = 1 << 10) -> DataFrame:
+    """(key, other, sa, sb, d): closest_vertices where most ways may be near each other, so that the result may hold every two.
+
+    Ways are dealt to blocks of some `block` vertices and `ways` ways at most, each block of one side meets each of the
+    other in one row, and what is found there is final: no pair is shuffled or sorted, and a task holds the pairs of two blocks."""
+
+    def blocks(df: DataFrame, line: str, name: str) -> DataFrame:
+        known = df.where("lat is not null and lon is not null")
+        size = known.agg(F.count(F.lit(1)).alias("points"), F.count_distinct(line).alias("ways")).first()
+        n = max(1, -(-size.points // block), -(-size.ways // ways))
+        each = known.select(F.pmod(F.xxhash64(line), F.lit(n)).alias("_t"), F.struct(F.col(line).alias("line"), F.col("seq").alias("seq"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")).alias("p"))
+        # few blocks a part, so few meet in a batch of rows
+        return each.groupBy("_t").agg(F.collect_list("p").alias(name)).select(name, "_t").repartition(-(-n // 4), "_t").select(name)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sides = (batch.column(c).slice(i, 1).flatten() for c in ("_p", "_q"))
+                yield from _closest(*sides, within_m, size, schema)
+
+    met_rows = blocks(left, key, "_p").crossJoin(blocks(right, other, "_q").hint("shuffle_replicate_nl"))
+    kinds = [(key, left.schema[key].dataType), (other, right.schema[other].dataType), ("sa", left.schema["seq"].dataType), ("sb", right.schema["seq"].dataType), ("d", DoubleType())]
+    out = StructType([StructField(n, t) for n, t in kinds])
+    schema = to_arrow_schema(out)
+    return met_rows.mapInArrow(met, out)
+
+
+def _closest(p: pa.StructArray, q: pa.StructArray, within_m: float, size: tuple[float, float], schema: pa.Schema, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The closest vertices of each two ways of two blocks (line, seq, lat, lon). Distinct places meet; `most` pairs of vertices at a time."""
+    side = []
+    for x in (p, q):
+        line = x.field("line").dictionary_encode()
+        seq, rank = np.unique(x.field("seq").to_numpy(zero_copy_only=False), return_inverse=True)
+        place, of = np.unique(np.column_stack([x.field(c).to_numpy(zero_copy_only=False) for c in ("lat", "lon")]), axis=0, return_inverse=True)
+        by = np.argsort(of := of.ravel(), kind="stable")
+        side.append((line.dictionary, line.indices.to_numpy()[by], seq, rank[by], place, np.searchsorted(of[by], np.arange(len(place) + 1))))
+    (names_a, line_a, seq_a, rank_a, a, off_a), (names_b, line_b, seq_b, rank_b, b, off_b) = side
+    i, j = _near_cells(a, b, size)
+    h = lambda c: np.sin(np.radians(b[j, c] - a[i, c]) / 2) ** 2
+    d = 2 * EARTH_M * np.arcsin(np.sqrt(np.minimum(h(0) + np.cos(np.radians(a[i, 0])) * np.cos(np.radians(b[j, 0])) * h(1), 1)))
+    i, j, d = i[d <= within_m], j[d <= within_m], d[d <= within_m]
+    n_a, n_b = off_a[i + 1] - off_a[i], off_b[j + 1] - off_b[j]
+    part = (np.cumsum(n_a * n_b) - n_a * n_b) // most
+    cuts = np.searchsorted(part, np.unique(part))
+
+    def pairs() -> Iterator[tuple[np.ndarray, ...]]:
+        """Vertices of both sides with their cell in the table of ways by ways, and their distance."""
+        for lo, hi in zip(cuts, np.append(cuts[1:], len(i)), strict=True):
+            n = n_a[lo:hi] * n_b[lo:hi]
+            k = np.repeat(np.arange(lo, hi), n)
+            nth = np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
+            x, y = off_a[i[k]] + nth // n_b[k], off_b[j[k]] + nth % n_b[k]
+            yield x, y, line_a[x].astype(np.int64) * len(names_b) + line_b[y], d[k]
+
+    best = np.full(len(names_a) * len(names_b), np.inf)
+    for _, _, at, far in pairs():
+        np.minimum.at(best, at, far)
+    first = np.full(len(best), np.iinfo(np.int64).max)
+    for x, y, at, far in pairs():
+        hit = far == best[at]
+        np.minimum.at(first, at[hit], rank_a[x[hit]] * len(seq_b) + rank_b[y[hit]])
+    found = np.flatnonzero(np.isfinite(best))
+    m, n = names_a.take(pa.array(found // len(names_b))), names_b.take(pa.array(found % len(names_b)))
+    columns = [m, n, pa.array(seq_a[first[found] // len(seq_b)]), pa.array(seq_b[first[found] % len(seq_b)]), pa.array(best[found])]
+    table = pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    yield from table.filter(pc.not_equal(m, n)).to_batches(1 << 16)
+
+
+def _near_cells(a: np.ndarray, b: np.ndarray, size: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (i, j) of places (lat, lon) in the same cell or in two that touch."""
+    ca, cb = (np.floor(x / np.array(size)).astype(np.int64) for x in (a, b))
+    code = lambda y, x: (y << 32) + x
+    of_b = code(cb[:, 0], cb[:, 1])
+    order = np.argsort(of_b, kind="stable")
+    of_b = of_b[order]
+    rows, found = [], []
+    for dy in (-1, 0, 1):
+        for dx in (-1, 0, 1):
+            want = code(ca[:, 0] + dy, ca[:, 1] + dx)
+            lo, hi = np.searchsorted(of_b, want), np.searchsorted(of_b, want, "right")
+            n = hi - lo
+            rows.append(np.repeat(np.arange(len(a)), n))
+            found.append(order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)])
+    return np.concatenate(rows), np.concatenate(found)
+
+
 def reusable_connector(connectors: DataFrame, gaps: DataFrame, within_m: float = 60.0) -> DataFrame:
     """(gap, segment, ia, ib, score): of the connectors (tour, segment, seq, lat, lon) of a gap's tour (gap, tour, a_lat, a_lon,
     b_lat, b_lon) the one with different vertices near both ends and the smallest sum of distances."""

@@ -130,7 +130,7 @@ def junction_vertices(spark, sf_dir):
     """Of tracks of two kinds, even and odd, the closest vertices, where two ways can go over into each other."""
     t = _track(spark, sf_dir)
     a, b = t.where("line % 2 = 0").withColumnRenamed("line", "a"), t.where("line % 2 = 1").withColumnRenamed("line", "b")
-    return gaps.closest_vertices(a, b, 150.0, (0.002, 0.003)).select("a", "b", "sa", "sb", F.round("d", 2).alias("d"))
+    return gaps.closest_of_all(a, b, 150.0, (0.002, 0.003)).select("a", "b", "sa", "sb", F.round("d", 2).alias("d"))
 
 
 _GAP_ENDS = "46 + (o_orderkey * 37 % 1000) / 20000.0::DOUBLE AS a_lat, 10 + (o_orderkey * 91 % 1000) / 20000.0::DOUBLE AS a_lon, 46 + (o_custkey * 37 % 1000) / 20000.0::DOUBLE AS b_lat, 10 + (o_custkey * 91 % 1000) / 20000.0::DOUBLE AS b_lon"

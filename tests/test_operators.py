@@ -286,3 +286,21 @@ def test_boxes_of_copies_meet_once(spark):
     got = nearest.overlapping_boxes(boxes, 0.002)
     assert sorted(map(tuple, got.collect())) == plain and len(plain) > 200
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") >= 1  # distinct boxes meet, not rows
+
+
+def test_closest_of_all_blocks_is_closest_by_cells(spark):
+    from ridgeline.operators import gaps
+
+    # places of a grid, so that many pairs are equally far, on both sides of the equator and of Greenwich
+    at = F.pmod(F.hash("id"), F.lit(400))
+    t = spark.range(1500).select((F.col("id") % 40).alias("line"), F.col("id").alias("seq"), ((at / 20).cast("int") * 0.0007 - 0.007).alias("lat"), ((at % 20) * 0.0007 - 0.007).alias("lon"))
+    t = t.unionByName(spark.sql("select 77L line, 0L seq, cast(null as double) lat, 0d lon"))
+    a, b = t.withColumnRenamed("line", "a"), t.withColumnRenamed("line", "b")
+    rows = lambda df: sorted((r.a, r.b, r.sa, r.sb, round(r.d, 6)) for r in df.collect())
+    want = rows(gaps.closest_vertices(a, b, 90.0, (0.002, 0.003)))
+    got = gaps.closest_of_all(a, b, 90.0, (0.002, 0.003), block=200, ways=16)
+    assert rows(got) == want and len(want) > 1000
+    assert rows(gaps.closest_of_all(a.where("a < 0"), b, 90.0, (0.002, 0.003))) == []
+    # no pair of vertices is shuffled: what meets is blocks
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
