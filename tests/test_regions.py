@@ -158,3 +158,17 @@ def test_copies_of_a_place_are_no_conflicts(spark, monkeypatch):
         if all(_km(p, q) * 1000 > 500 for _, q in kept):
             kept.append((i, p))
     assert got == {i for i, _ in kept} and seen[0] <= 25 * 24 / 2
+
+
+def test_near_route_with_copies_of_boxes(spark):
+    # 30 boxes of routes and 40 of lines, each many times; arrays of 3, so a box has several
+    box = lambda df, m, k: df.select(F.col("id").alias(k), *((F.lit(b) + F.col("id") % m * s + d).alias(c) for c, b, s, d in (("min_lat", -0.05, 0.004, 0.0), ("min_lon", 9.95, 0.003, 0.0), ("max_lat", -0.05, 0.004, 0.03), ("max_lon", 9.95, 0.003, 0.02))))
+    r, b = box(spark.range(150), 30, "route"), box(spark.range(200), 40, "line")
+    got = regions.near_route(r, b, 0.001, chunk=3)
+    rows = [(x.route, x.line) for x in got.collect()]
+    left = [tuple(x) for x in r.collect()]
+    want = [(i, j) for i, a, o, c, d in left for j, e, f, g, h in (tuple(x) for x in b.collect()) if a - 0.001 <= g and e <= c + 0.001 and o - 0.001 <= h and f <= d + 0.001]
+    assert sorted(rows) == sorted(want) and len(want) > 5000
+    # boxes meet, not rows: some hundred arrays are joined
+    assert len(rows) > 5 * got.sparkSession.createDataFrame(rows, "route long, line long").select(F.col("route") % 30, F.col("line") % 40).distinct().count()
+    assert "_route" in got._jdf.queryExecution().optimizedPlan().toString()
